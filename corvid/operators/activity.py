@@ -167,3 +167,15 @@ def forecast_dates(pred: DataFrame, start: str, horizon: int = 60, by: str = "ar
                     F.floor(F.col(value)).cast("int").alias("plays"),
                     F.date_format(F.date_add(F.lit(start).cast("date"), F.col("_rn") - 1),
                                   "yyyyMMdd").alias("ds")))
+
+
+def trend_per_artist(activity: DataFrame, by: str = "artist_id", y: str = "plays",
+                     x: str = "day_num") -> DataFrame:
+    """Closed-form one-feature least squares per artist (``regr_*``).
+
+    One grouped aggregation with partial aggregation: the per-artist model
+    costs one shuffle of a few numbers per (artist, task), however many
+    artists there are -- the scalable alternative to a driver loop of fits.
+    """
+    return activity.groupBy(by).agg(F.regr_slope(F.col(y), F.col(x)).alias("slope"),
+                                    F.regr_intercept(F.col(y), F.col(x)).alias("intercept"))

@@ -78,3 +78,63 @@ def q_daily_activity_inner(spark, sf):
     songs, actions = _inputs(spark, sf)
     return _activity_out(act.daily_activity_joined(songs, actions, origin=ORIGIN,
                                                    require_downloads=True))
+
+
+# ---- report, renumbering and forecast dates -----------------------------------
+_ACT_CTE = _WITH + f""",
+act AS (SELECT artist_id, Ds AS ds, count(*) FILTER (WHERE action_type = '1') AS plays,
+               CAST(date_diff('day', DATE '{ORIGIN}', strptime(Ds, '%Y%m%d')::DATE) AS INTEGER) AS day_num
+        FROM actions JOIN songs USING (song_id) WHERE action_type IN ('1', '2', '3')
+        GROUP BY artist_id, Ds HAVING count(*) FILTER (WHERE action_type = '1') > 0)"""
+
+
+@query("daily_report", _WITH + """
+SELECT artist_id, count(*) AS plays, strftime(strptime(Ds, '%Y%m%d'), '%Y/%m/%d') AS day,
+       max(song_init_plays) AS max_init_plays,
+       strftime(strptime(max(publish_time), '%Y%m%d'), '%Y/%m/%d') AS pub_day
+FROM actions JOIN songs USING (song_id) WHERE action_type = '1' GROUP BY artist_id, Ds""",
+       ("M26", "A05", "F10", "K02"))
+def q_daily_report(spark, sf):
+    songs, actions = _inputs(spark, sf)
+    return act.daily_report(songs, actions)
+
+
+_KEEP = "day_num >= 150 or (day_num < 150 and day_num % 2 = 0)"
+
+
+@query("renumber_days", _ACT_CTE + """
+SELECT artist_id, ds, day_num,
+       CAST(180 + row_number() OVER (PARTITION BY artist_id ORDER BY day_num DESC) AS BIGINT) AS new_day
+FROM act WHERE day_num >= 150 OR (day_num < 150 AND day_num % 2 = 0)""", ("W01", "P04", "M24"))
+def q_renumber_days(spark, sf):
+    songs, actions = _inputs(spark, sf)
+    a = act.daily_activity(songs, actions, origin=ORIGIN)
+    return act.renumber_days(a, keep=_KEEP).select("artist_id", "ds", "day_num", "new_day")
+
+
+# Stand-in training cut (the reference's "< 200" leaks its test days; ours
+# trains on the first 1800 days and forecasts the renumbered test days).
+_TRAIN_BELOW = 1800
+_FORECAST_START = "2001-12-01"
+
+
+@query("forecast_dates", _ACT_CTE + f""",
+coef AS (SELECT artist_id, regr_slope(plays, day_num) AS s, regr_intercept(plays, day_num) AS i
+         FROM act WHERE day_num < {_TRAIN_BELOW} GROUP BY artist_id),
+test AS (SELECT artist_id, 180 + row_number() OVER (PARTITION BY artist_id ORDER BY day_num DESC) AS new_day
+         FROM act WHERE day_num >= 150 OR (day_num < 150 AND day_num % 2 = 0)),
+pred AS (SELECT t.artist_id, t.new_day, round(round(c.i, 6) + round(c.s, 6) * t.new_day, 6) AS prediction,
+                row_number() OVER (PARTITION BY t.artist_id ORDER BY t.new_day) AS rn
+         FROM test t JOIN coef c USING (artist_id))
+SELECT artist_id, CAST(floor(prediction) AS INTEGER) AS plays,
+       strftime(DATE '{_FORECAST_START}' + CAST(rn - 1 AS INTEGER), '%Y%m%d') AS ds
+FROM pred WHERE rn <= 60""", ("W02", "F13", "F14", "K03", "M06"))
+def q_forecast_dates(spark, sf):
+    songs, actions = _inputs(spark, sf)
+    a = act.daily_activity(songs, actions, origin=ORIGIN)
+    coef = act.trend_per_artist(a.filter(F.col("day_num") < _TRAIN_BELOW))
+    test = act.renumber_days(a, keep=_KEEP).select("artist_id", "new_day")
+    pred = test.join(coef, "artist_id").select(
+        "artist_id", "new_day",
+        F.round(F.round("intercept", 6) + F.round("slope", 6) * F.col("new_day"), 6).alias("prediction"))
+    return act.forecast_dates(pred, _FORECAST_START, 60, order_col="new_day")

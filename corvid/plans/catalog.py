@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corvid.plans import activity_queries, basic_queries  # noqa: F401
+from corvid.plans import activity_queries, basic_queries, text_queries  # noqa: F401
 from corvid.plans.registry import REGISTRY
 
 
