@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from corvid.plans import activity_queries, basic_queries, text_queries  # noqa: F401
+from corvid.plans import (activity_queries, basic_queries, json_queries,  # noqa: F401
+                          regression_queries, text_queries)
 from corvid.plans.registry import REGISTRY
 
 
