@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corvid.plans import (activity_queries, basic_queries, json_queries,  # noqa: F401
-                          regression_queries, text_queries)
+                          regression_queries, stream_queries, text_queries)
 from corvid.plans.registry import REGISTRY
 
 
