@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corvid.plans import (activity_queries, basic_queries, json_queries,  # noqa: F401
+from corvid.plans import (activity_queries, basic_queries, io_queries, json_queries,  # noqa: F401
                           regression_queries, stream_queries, text_queries)
 from corvid.plans.registry import REGISTRY
 
