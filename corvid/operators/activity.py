@@ -56,14 +56,17 @@ def daily_activity(songs: DataFrame, actions: DataFrame, origin: str = "2015-03-
                 F.count_if(F.col("action_type") == DOWNLOAD).alias("downloads"),
                 F.count_if(F.col("action_type") == FAVOUR).alias("favors"),
                 F.sum(on_play(_num("song_init_plays"))).alias("init_count"),
-                F.max(on_play(F.col("publish_time"))).alias("pub_date"),
+                # yyyyMMdd text: its max is the max date; a date keeps the
+                # aggregation buffer fixed-width (hash aggregate, no sort)
+                F.max(on_play(F.to_date("publish_time", "yyyyMMdd"))).alias("_pub"),
                 F.avg(on_play(_num("Language"))).alias("lang"),
                 F.avg(on_play(_num("Gender"))).alias("gender"),
                 F.sum(on_play(_num("gmt_create"))).alias("p_span")))
     if require_plays:
         out = out.filter(F.col("plays") > 0)
     return out.select(F.col("artist_id"), F.col("Ds").alias("ds"), "plays", "downloads", "favors",
-                      "init_count", "pub_date", "lang", "gender", "p_span",
+                      "init_count", F.date_format("_pub", "yyyyMMdd").alias("pub_date"),
+                      "lang", "gender", "p_span",
                       days_since("Ds", origin).alias("day_num"))
 
 

@@ -11,7 +11,8 @@ from corvid.sources.tables import load_table
 
 
 def _inputs(spark, sf):
-    return songs_view(load_table(spark, sf, "part")), actions_view(load_table(spark, sf, "lineitem"))
+    return (songs_view(load_table(spark, sf, "part")),
+            actions_view(load_table(spark, sf, "lineitem", spread=True)))
 
 
 def _r(c, n=6):

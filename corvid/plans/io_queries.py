@@ -60,7 +60,7 @@ FROM actions JOIN songs USING (song_id) WHERE action_type = '1' AND artist_id =
 GROUP BY artist_id, Ds""", ("M26", "K02", "K04"))
 def q_one_file_report(spark, sf):
     songs = songs_view(load_table(spark, sf, "part")).filter(F.col("artist_id") == _ARTIST)
-    actions = actions_view(load_table(spark, sf, "lineitem"))
+    actions = actions_view(load_table(spark, sf, "lineitem", spread=True))
     report = sinks.report_lines(act.daily_report(songs, actions))
     target = scratch_path(spark, "report") + ".csv"
     sinks.write_one_file(report, target, fmt="csv")

@@ -20,7 +20,7 @@ _FORECAST_START = "2001-12-01"
 
 def _features(spark, sf):
     songs = songs_view(load_table(spark, sf, "part"))
-    actions = actions_view(load_table(spark, sf, "lineitem"))
+    actions = actions_view(load_table(spark, sf, "lineitem", spread=True))
     feats = act.forecast_features(act.daily_activity(songs, actions, origin=ORIGIN), PUB_REFERENCE)
     # pooled model over all artists: the artist is one more (indexed) feature
     feats = ml.categorical(feats, ["artist_id"])
@@ -103,7 +103,7 @@ def q_mlp(spark, sf):
 
 
 def _doc_tokens(spark, sf):
-    docs = load_table(spark, sf, "documents")
+    docs = load_table(spark, sf, "documents", spread=True)
     return text.message_tokens(docs, "text", keep=("doc_id",))
 
 
@@ -143,7 +143,7 @@ def q_spam_score(spark, sf):
 
 @query("word2vec_titles", None, ("M19", "M20", "M21", "A13"))
 def q_word2vec_titles(spark, sf):
-    toks = text.title_tokens(load_table(spark, sf, "documents"))
+    toks = text.title_tokens(load_table(spark, sf, "documents", spread=True))
     model, vecs = ml.word2vec(toks)
     return vecs.select("doc_id", "n_tokens", vector_to_array("vector").alias("vector"))
 

@@ -21,7 +21,7 @@ kept AS (SELECT doc_id, word, pos FROM nd JOIN cnt USING (word)
 
 
 def _docs(spark, sf):
-    return load_table(spark, sf, "documents")
+    return load_table(spark, sf, "documents", spread=True)
 
 
 @query("word_count", f"""
@@ -65,7 +65,7 @@ d AS (SELECT conv_id, turn, list_filter(arr, lambda x, i: list_position(arr, x)
 SELECT conv_id, turn, array_to_string(arr, ' ') AS tokens, CAST(len(arr) AS INTEGER) AS n_tokens FROM d""",
        ("M22", "F08", "F09", "F02"))
 def q_token_chain_messages(spark, sf):
-    c = load_table(spark, sf, "conversations")
+    c = load_table(spark, sf, "conversations", spread=True)
     t = text.message_tokens(c, "text", keep=("conv_id", "turn"))
     return t.select("conv_id", "turn", F.concat_ws(" ", "tokens").alias("tokens"),
                     F.size("tokens").alias("n_tokens"))
@@ -83,7 +83,7 @@ SELECT word, count(*) AS n FROM dw WHERE NOT EXISTS (SELECT 1 FROM bw WHERE bw.w
 GROUP BY word""", ("J09", "T04"))
 def q_stop_list_batch(spark, sf):
     words = text.line_words(_docs(spark, sf), "text", " ")
-    stop = text.line_words(load_table(spark, sf, "benchmark"), "text", " ")
+    stop = text.line_words(load_table(spark, sf, "benchmark", spread=True), "text", " ")
     return text.stop_list_filter(words, stop).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
