@@ -182,3 +182,30 @@ def trend_per_artist(activity: DataFrame, by: str = "artist_id", y: str = "plays
     """
     return activity.groupBy(by).agg(F.regr_slope(F.col(y), F.col(x)).alias("slope"),
                                     F.regr_intercept(F.col(y), F.col(x)).alias("intercept"))
+
+
+def trend_forecast(activity: DataFrame, train_below: float, start: str, horizon: int = 60,
+                   keep: str = "day_num >= 150 or (day_num < 150 and day_num % 2 = 0)",
+                   base: int = 180, by: str = "artist_id") -> DataFrame:
+    """W01 + W02 + M06 in one pass over the activity table.
+
+    Per artist: a closed-form trend fitted on days < ``train_below``, test
+    days renumbered (W01), predictions for the renumbered days, the first
+    ``horizon`` of them dated from ``start`` (K03 layout).  Every window is
+    partitioned by artist, so the activity table is shuffled ONCE; an
+    artist's partition holds its days (bounded by the calendar), not its
+    actions.
+    """
+    w_all = Window.partitionBy(by)
+    train = F.col("day_num") < train_below
+    y, x = F.when(train, F.col("plays").cast("double")), F.when(train, F.col("day_num").cast("double"))
+    fitted = activity.select(by, "day_num",
+                             F.regr_slope(y, x).over(w_all).alias("slope"),
+                             F.regr_intercept(y, x).over(w_all).alias("intercept"),
+                             F.count(x).over(w_all).alias("_n_train"))
+    test = fitted.filter(keep).withColumn(
+        "new_day", F.lit(base) + F.row_number().over(Window.partitionBy(by).orderBy(F.col("day_num").desc())))
+    # artists without a training day get no forecast (no fitted trend)
+    pred = test.filter(F.col("_n_train") > 0).withColumn(
+        "prediction", F.round(F.round("intercept", 6) + F.round("slope", 6) * F.col("new_day"), 6))
+    return forecast_dates(pred, start, horizon, by=by, order_col="new_day")

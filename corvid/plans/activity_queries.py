@@ -133,9 +133,4 @@ FROM pred WHERE rn <= 60""", ("W02", "F13", "F14", "K03", "M06"))
 def q_forecast_dates(spark, sf):
     songs, actions = _inputs(spark, sf)
     a = act.daily_activity(songs, actions, origin=ORIGIN)
-    coef = act.trend_per_artist(a.filter(F.col("day_num") < _TRAIN_BELOW))
-    test = act.renumber_days(a, keep=_KEEP).select("artist_id", "new_day")
-    pred = test.join(coef, "artist_id").select(
-        "artist_id", "new_day",
-        F.round(F.round("intercept", 6) + F.round("slope", 6) * F.col("new_day"), 6).alias("prediction"))
-    return act.forecast_dates(pred, _FORECAST_START, 60, order_col="new_day")
+    return act.trend_forecast(a, _TRAIN_BELOW, _FORECAST_START, 60, keep=_KEEP)
