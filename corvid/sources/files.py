@@ -45,21 +45,31 @@ def cells(line: Column, sep: str = ",", trim: bool = True) -> Column:
     return F.transform(parts, lambda x: F.trim(x)) if trim else parts
 
 
-def typed_cells(arr: Column, schema: T.StructType, exact: bool = True) -> list[Column]:
-    """Cells -> typed columns: empty cell = null, bad text raises (ANSI cast)."""
-    n = len(schema.fields)
-    check = (F.size(arr) != n) if exact else (F.size(arr) < n)
-    guarded = F.when(check, F.raise_error(F.concat(F.lit("wrong cell count: "),
-                                                   F.array_join(arr, ","))))
-    guarded = guarded.otherwise(arr)
+def typed_cells(arr: Column, schema: T.StructType) -> list[Column]:
+    """Cells -> typed columns: empty cell = null."""
     out = []
     for i, f in enumerate(schema.fields):
-        cell = F.element_at(guarded, i + 1)
+        cell = F.element_at(arr, i + 1)
         v = cell if isinstance(f.dataType, T.StringType) else cell.cast(f.dataType)
         out.append(F.when(cell == "", F.lit(None).cast(f.dataType)).otherwise(v).alias(f.name))
     return out
 
 
+def row_check(arr: Column, line: Column, schema: T.StructType) -> Column:
+    """A filter condition that raises on a wrong cell count or a cell that is
+    not valid text for its type.  As a filter it is evaluated for every row
+    even when later steps prune the bad column -- like the reference, which
+    parses the whole row when it loads it."""
+    n = len(schema.fields)
+    bad = F.size(arr) != n
+    for i, f in enumerate(schema.fields):
+        if isinstance(f.dataType, T.StringType):
+            continue
+        cell = F.element_at(arr, i + 1)
+        bad = bad | ((F.size(arr) == n) & (cell != "") & cell.try_cast(f.dataType).isNull())
+    return F.when(bad, F.raise_error(F.concat(F.lit("bad typed row: "), line))).otherwise(F.lit(True))
+
+
 def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
     """Typed-header CSV (first line ``name:type,...``)."""
     first = spark.read.text(path).first()
@@ -67,7 +77,8 @@ def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"empty file: {path}")
     schema = parse_typed_header(first[0])
     raw = _raw_lines(spark, path, header=True)
-    return raw.select(*typed_cells(cells(F.col("line")), schema))
+    arr = cells(F.col("line"))
+    return raw.filter(row_check(arr, F.col("line"), schema)).select(*typed_cells(arr, schema))
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
