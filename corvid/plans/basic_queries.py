@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corvid.functions.dates import age_bucket, calendar_parts
+from corvid.functions.strings import uri_component
 from corvid.operators import dims, joins, rates, shape
 from corvid.plans.registry import query
 from corvid.plans.standins import SONGS_SQL, songs_view
@@ -220,3 +221,13 @@ def q_dim_filter_list(spark, sf):
 @query("dim_filter_empty", _DIM_SELECT + " WHERE false", ("P09",))
 def q_dim_filter_empty(spark, sf):
     return dims.filter_dimension(T(spark, sf, "lineitem"), [], "l_partkey").select(*_DIM_COLS)
+
+
+_URI_SQL = ("SELECT page_id, replace(replace(replace(replace(replace(url_encode(url), '%2A', '*'), "
+            "'%21', '!'), '%27', ''''), '%28', '('), '%29', ')') AS encoded FROM pages")
+
+
+@query("uri_encode", _URI_SQL, ("F19",))
+def q_uri_encode(spark, sf):
+    p = T(spark, sf, "pages")
+    return p.select("page_id", uri_component("url").alias("encoded"))

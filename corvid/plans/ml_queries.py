@@ -55,9 +55,15 @@ def q_gbt_regression(spark, sf):
 @query("linear_regression_ml", None, ("M01", "M02", "M07", "M06"))
 def q_linear_regression_ml(spark, sf):
     li = load_table(spark, sf, "lineitem")
-    data = ml.assemble(li.select(F.col("l_extendedprice").alias("label"), "l_quantity", "l_discount"),
+    data = ml.assemble(li.select(F.col("l_extendedprice").alias("label"), "l_quantity", "l_discount",
+                                 (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("_key")),
                        ["l_quantity", "l_discount"])
     rows = []
+    # 80/20 split, regularization 0.3, RMSE on the held-out part
+    train, test = ml.hash_split(data, "_key", 80)
+    m, _ = ml.linear_regression(train, max_iter=100, reg=0.3, elastic_net=0.8)
+    rows.append(("split_80_20", [float(x) for x in m.coefficients], float(m.intercept),
+                 float(ml.rmse(m.transform(test))), float(m.summary.r2), int(m.summary.totalIterations)))
     for name, reg, en in (("elastic_net", 0.0, 0.8), ("ridge", 0.3, 0.0), ("lasso", 0.3, 1.0)):
         m, _ = ml.linear_regression(data, max_iter=100, reg=reg, elastic_net=en)
         s = m.summary
@@ -170,3 +176,12 @@ def q_crime_model(spark, sf):
     scored = ml.probability_of(glm.transform(scored), 1, "p_glm")
     return scored.select("o_orderkey", F.round("p_gbt", 6).alias("p_gbt"), F.round("p_glm", 6).alias("p_glm"),
                          F.lit(auc_train).alias("auc_train"), F.lit(auc_test).alias("auc_test"))
+
+
+@query("word2vec_synonyms", None, ("M19",))
+def q_word2vec_synonyms(spark, sf):
+    toks = text.title_tokens(load_table(spark, sf, "documents", spread=True))
+    model, _ = ml.word2vec(toks)
+    top = (toks.select(F.explode("tokens").alias("w")).groupBy("w").count()
+           .orderBy(F.col("count").desc(), F.col("w")).limit(1).first())
+    return model.findSynonyms(top["w"], 5).withColumn("of_word", F.lit(top["w"]))
