@@ -14,13 +14,34 @@ from corvid.operators.dims import BROADCAST_ROWS, has_at_most
 
 
 def maybe_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint after a bounded probe (cheap for a scan or a filter of one)."""
     return F.broadcast(dim) if has_at_most(dim, max_rows) else dim
 
 
+def materialize(dim: DataFrame, name: str = "dim") -> DataFrame:
+    """Write a derived table (e.g. an aggregate) once into the shared scratch
+    folder and read it back: probing its size and joining it then cost no
+    second computation, and the lineage is cut (survives executor loss)."""
+    from corvid.session import scratch_path
+    path = scratch_path(dim.sparkSession, name)
+    dim.write.mode("overwrite").parquet(path)
+    return dim.sparkSession.read.parquet(path)
+
+
+def broadcast_derived(dim: DataFrame, max_rows: int = BROADCAST_ROWS, name: str = "dim") -> DataFrame:
+    """A derived dimension: materialize, then broadcast only if the bound holds."""
+    return maybe_broadcast(materialize(dim, name), max_rows)
+
+
 def join_on_keys(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner",
-                 max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Equi-join on several key columns (e.g. year, month, day)."""
-    return fact.join(maybe_broadcast(dim, max_rows), keys, how)
+                 max_rows: int = BROADCAST_ROWS, derived: bool = False) -> DataFrame:
+    """Equi-join on several key columns (e.g. year, month, day).
+
+    ``derived=True`` for a dimension that is itself an aggregate: it is
+    materialized once instead of being computed for the probe and again
+    for the join."""
+    d = broadcast_derived(dim, max_rows) if derived else maybe_broadcast(dim, max_rows)
+    return fact.join(d, keys, how)
 
 
 def enrich(fact: DataFrame, dims: list[tuple[DataFrame, Column | str | list[str]]],

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.operators.joins import maybe_broadcast
+from corvid.operators.joins import broadcast_derived
 
 
 def fit_line(df: DataFrame, x: str, y: str, by: str | None = None) -> DataFrame:
@@ -23,7 +23,8 @@ def fit_line(df: DataFrame, x: str, y: str, by: str | None = None) -> DataFrame:
 
 def _scored(df: DataFrame, coef: DataFrame, x: str, y: str, by: str | None) -> DataFrame:
     if by:
-        j = df.join(maybe_broadcast(coef, 100_000), by)
+        # coefficients: one row per group, materialized once, broadcast if bounded
+        j = df.join(broadcast_derived(coef, 100_000, "coef"), by)
     else:
         j = df.join(F.broadcast(coef.withColumn("_k", F.lit(0))), F.lit(0) == F.col("_k"))
     return j.withColumn("prediction", F.col("intercept") + F.col("slope") * F.col(x))

@@ -69,7 +69,7 @@ def q_join_three_keys(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("qty")))
     od = o.select("o_orderkey", F.year("o_orderdate").alias("year"),
                   F.month("o_orderdate").alias("month"), F.dayofmonth("o_orderdate").alias("day"))
-    out = joins.join_on_keys(od, ship, ["year", "month", "day"])
+    out = joins.join_on_keys(od, ship, ["year", "month", "day"], derived=True)
     return out.select("o_orderkey", "year", "month", "day", "n_lines", F.round("qty", 4).alias("qty"))
 
 

@@ -18,9 +18,9 @@ def _events(spark, sf):
 
 
 @query("json_rows", """
-SELECT event_id, to_json({'event_id': event_id, 'ts': epoch_us(ts) // 1000, 'user_id': user_id,
+SELECT event_id, CAST(to_json({'event_id': event_id, 'ts': epoch_us(ts) // 1000, 'user_id': user_id,
                           'event_type': CASE WHEN event_type <> 'error' THEN event_type END,
-                          'value': value, 'props': props}) AS json
+                          'value': value, 'props': props}) AS VARCHAR) AS json
 FROM events""", ("F16", "K05"))
 def q_json_rows(spark, sf):
     e = _events(spark, sf)
