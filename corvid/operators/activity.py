@@ -88,7 +88,8 @@ def daily_activity_joined(songs: DataFrame, actions: DataFrame, origin: str = "2
         return j.groupBy("artist_id", "Ds").agg(F.count("action_type").alias("n"), *extra)
 
     plays = per_type(PLAY, (F.sum(_num("song_init_plays")).alias("init_count"),
-                            F.max("publish_time").alias("pub_date"),
+                            F.date_format(F.max(F.to_date("publish_time", "yyyyMMdd")),
+                                          "yyyyMMdd").alias("pub_date"),
                             F.avg(_num("Language")).alias("lang"),
                             F.avg(_num("Gender")).alias("gender"),
                             F.sum(_num("gmt_create")).alias("p_span"))) \

@@ -27,8 +27,11 @@ from corvid.operators.dims import BROADCAST_ROWS, has_at_most
 def line_stream(spark: SparkSession, path: str | None = None, fmt: str = "text",
                 text_col: str = "value", glob: str | None = None, schema=None,
                 host: str | None = None, port: int | None = None,
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """A stream of text lines (column ``line``)."""
+                max_files_per_trigger: int | None = None, spread: int | None = None) -> DataFrame:
+    """A stream of text lines (column ``line``).
+
+    ``spread``: round-robin each micro-batch over that many partitions before
+    the per-line work (for sources whose files are a single split)."""
     if fmt == "socket":
         raw = spark.readStream.format("socket").option("host", host).option("port", port).load()
         return raw.select(F.col("value").alias("line"))
@@ -40,6 +43,8 @@ def line_stream(spark: SparkSession, path: str | None = None, fmt: str = "text",
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.load(path)
+    if spread:
+        raw = raw.repartition(spread)
     if fmt == "text":
         return raw.select(F.col("value").alias("line"))
     return raw.select(F.explode(text_lines(text_col)).alias("line"))
