@@ -67,3 +67,19 @@ def test_stop_list_filter_keeps_duplicates(spark):
 def test_lower_unicode(spark):
     df = spark.createDataFrame([("ÄBC",)], "s string")
     assert df.select(F.lower("s")).first()[0] == "äbc"
+
+
+def test_uri_component(spark):
+    from corvid.functions.strings import uri_component
+    df = spark.createDataFrame([("a b*!'()~é/?",)], "s string")
+    assert df.select(uri_component("s")).first()[0] == "a%20b*!'()~%C3%A9%2F%3F"
+
+
+def test_predicates(spark):
+    from corvid.functions.strings import eq_number, eq_optional, text_is_true
+    df = spark.createDataFrame([("1", "true", "x"), ("01", "TRUE ", None), ("2", "false", "x")],
+                               "t string, b string, o string")
+    assert df.filter(eq_number("t", 1)).count() == 2
+    assert df.filter(text_is_true("b")).count() == 2
+    assert df.filter(eq_optional("o", "x")).count() == 2
+    assert df.filter(eq_optional("o", None)).count() == 0
