@@ -21,7 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LIST_LIMIT = 10
-BROADCAST_ROWS = 2_000_000
+# Key-only sides (one or two columns, ~16-32 bytes a row): up to 1M rows is
+# a broadcast of a few tens of MB.  Wider dimension rows get a lower bound.
+BROADCAST_ROWS = 1_000_000
+DIM_BROADCAST_ROWS = 200_000
 
 
 def has_at_most(df: DataFrame, n: int) -> bool:

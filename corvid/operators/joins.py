@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.operators.dims import BROADCAST_ROWS, has_at_most
+from corvid.operators.dims import DIM_BROADCAST_ROWS as BROADCAST_ROWS, has_at_most
 
 
 def maybe_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

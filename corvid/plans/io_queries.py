@@ -66,3 +66,31 @@ def q_one_file_report(spark, sf):
     sinks.write_one_file(report, target, fmt="csv")
     return spark.read.schema("artist_id string, plays long, day string, max_init_plays string, pub_day string") \
         .csv(target)
+
+
+@query("delimited_roundtrip", """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS cust_id,
+       o_orderstatus AS status, o_orderpriority AS priority, '' AS note FROM orders""", ("S03", "S02", "F01"))
+def q_delimited_roundtrip(spark, sf):
+    o = load_table(spark, sf, "orders")
+    path = scratch_path(spark, "delimited")
+    # header-less lines, blanks around cells and an empty trailing cell
+    line = F.concat_ws(" , ", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
+                       "o_orderstatus", "o_orderpriority", F.lit(""))
+    o.select(line.alias("value")).write.mode("overwrite").text(path)
+    return src.read_delimited_strings(spark, path, ["order_id", "cust_id", "status", "priority", "note"])
+
+
+@query("libsvm_roundtrip", """
+SELECT l_extendedprice AS label, l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem""",
+       ("S06",))
+def q_libsvm_roundtrip(spark, sf):
+    li = load_table(spark, sf, "lineitem")
+    path = scratch_path(spark, "libsvm")
+    line = F.concat_ws(" ", F.col("l_extendedprice").cast("string"),
+                       *[F.concat(F.lit(f"{i + 1}:"), F.col(c).cast("string"))
+                         for i, c in enumerate(("l_quantity", "l_discount", "l_tax"))])
+    li.select(line.alias("value")).write.mode("overwrite").text(path)
+    arr = vector_to_array("features")
+    return src.read_libsvm(spark, path, num_features=3).select(
+        "label", arr[0].alias("f0"), arr[1].alias("f1"), arr[2].alias("f2"))
