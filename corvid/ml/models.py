@@ -193,4 +193,20 @@ def spam_flags(pred: DataFrame, threshold: float = 0.5, ham_index: int = 0) -> D
         "verdict", F.when(F.col("p_ham") < threshold, "spam").otherwise("ham"))
 
 
+def fit_per_key(data: DataFrame, key: str, fit, max_keys: int = 64, workers: int = 8) -> dict:
+    """M25 (parallel variant): one model per key, fitted as concurrent Spark
+    jobs from a driver thread pool (use the FAIR scheduler to share the
+    cluster).  Only for a bounded number of keys -- the key count is probed
+    first; for many keys use one pooled model with the key as a feature, or
+    the closed-form per-group trend (one aggregation)."""
+    from concurrent.futures import ThreadPoolExecutor
+    keys_df = data.select(key).distinct()
+    if keys_df.limit(max_keys + 1).count() > max_keys:
+        raise ValueError(f"more than {max_keys} keys: use a pooled model instead")
+    keys = [r[0] for r in keys_df.collect()]
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = {k: pool.submit(fit, data.filter(F.col(key) == F.lit(k))) for k in keys}
+        return {k: f.result() for k, f in futures.items()}
+
+
 __all__ = [n for n in dir() if not n.startswith("_")] + ["PipelineModel"]

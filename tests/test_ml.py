@@ -55,3 +55,13 @@ def test_word2vec_unknown_word_is_zero(spark):
     m, vecs = ml.word2vec(df, size=4, min_count=5)
     v = vecs.filter(F.array_contains("tokens", "zzz")).select(vector_to_array("vector")).first()[0]
     assert v == [0.0, 0.0, 0.0, 0.0]
+
+
+def test_fit_per_key_bounded(spark):
+    rows = [("a", float(i), 2.0 * i) for i in range(10)] + [("b", float(i), 3.0 * i) for i in range(10)]
+    df = ml.assemble(spark.createDataFrame(rows, "k string, x double, label double"), ["x"])
+    models = ml.fit_per_key(df, "k", lambda d: ml.linear_regression(d, reg=0.0)[0])
+    assert models["a"].coefficients[0] == pytest.approx(2.0, abs=1e-6)
+    assert models["b"].coefficients[0] == pytest.approx(3.0, abs=1e-6)
+    with pytest.raises(ValueError):
+        ml.fit_per_key(df, "x", lambda d: None, max_keys=5)
