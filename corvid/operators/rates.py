@@ -17,25 +17,26 @@ def rate_table(df: DataFrame, type_col: str, flag: Column) -> DataFrame:
 
     Types without a flagged row and the null type are absent; the global
     totals count every row (null type included), as the reference does.
-    Sorted by rate descending.  ("arrests to all crimes" is computed as the
+    Sorted by rate descending.  ("flagged to all rows" is computed as the
     evident intent, flagged / all rows; the reference divides by the type
     total there, which repeats the rate.)
 
-    One grouped pass gives the per-type counts; the totals are a one-row
-    aggregate of that small result, attached by a broadcast equi-join on a
-    constant key -- nothing is collected to the driver.
+    One grouped pass (map-side partial aggregation) gives the per-type
+    counts; that small result is written once to the shared scratch folder,
+    so the two global totals -- two numbers -- are read from it without
+    aggregating the input a second time, and enter the plan as literals.
     """
-    per = (df.groupBy(type_col)
-           .agg(F.count_if(flag).alias("num_flagged"), F.count(F.lit(1)).alias("num_rows")))
-    tot = (per.agg(F.sum("num_flagged").alias("_all_flagged"), F.sum("num_rows").alias("_all_rows"))
-           .withColumn("_k", F.lit(0)))
+    from corvid.operators.joins import materialize
+    per = materialize(df.groupBy(type_col)
+                      .agg(F.count_if(flag).alias("num_flagged"), F.count(F.lit(1)).alias("num_rows")),
+                      "rate-per-type")
+    tot = per.agg(F.sum("num_flagged").alias("f"), F.sum("num_rows").alias("r")).first()
+    all_flagged, all_rows = F.lit(tot["f"] or 0).cast("double"), F.lit(tot["r"] or 0).cast("double")
     out = (per.filter((F.col("num_flagged") > 0) & F.col(type_col).isNotNull())
-           .withColumn("_k", F.lit(0))
-           .join(F.broadcast(tot), "_k")
            .select(F.col(type_col),
                    (F.col("num_flagged") / F.col("num_rows")).alias("rate"),
                    "num_flagged", "num_rows",
-                   (F.col("num_flagged") / F.col("_all_flagged")).alias("flagged_to_all_flagged"),
-                   (F.col("num_flagged") / F.col("_all_rows")).alias("flagged_to_all_rows"),
-                   (F.col("num_rows") / F.col("_all_rows")).alias("rows_to_all_rows")))
+                   (F.col("num_flagged") / all_flagged).alias("flagged_to_all_flagged"),
+                   (F.col("num_flagged") / all_rows).alias("flagged_to_all_rows"),
+                   (F.col("num_rows") / all_rows).alias("rows_to_all_rows")))
     return out.orderBy(F.col("rate").desc(), F.col(type_col))
