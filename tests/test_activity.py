@@ -84,3 +84,17 @@ def test_preaggregated_small(spark):
     one = sorted(tuple(r) for r in act.daily_activity(s, a).collect())
     pre = sorted(tuple(r) for r in act.daily_activity(s, a, broadcast_rows=0).collect())
     assert one == pre
+
+
+def test_bad_numeric_text_raises(spark):
+    import pytest
+    s, a = _inputs(spark)
+    bad = s.withColumn("song_init_plays", F.lit("x9953"))
+    with pytest.raises(Exception):
+        act.daily_activity(bad, a).collect()
+
+
+def test_cli_lists_queries(capsys):
+    from corvid.__main__ import main
+    assert main(["list"]) == 0
+    assert "daily_activity" in capsys.readouterr().out
