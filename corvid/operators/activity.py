@@ -9,9 +9,9 @@ Plan shape (A08): one scan of the actions, one equi-join with the songs on
 ``song_id`` and ONE aggregation on (artist_id, Ds) with conditional counts.
 The aggregation has a map-side partial step, so only one row per
 (artist, day, task) crosses the shuffle even if one artist owns a third of
-all actions.  The join is left to the planner: AQE turns it into a
-broadcast when the pruned song side is small at run time, otherwise it is a
-sort-merge join whose skewed partitions AQE splits.
+all actions.  The song side is broadcast only after a bounded size probe;
+a large song table instead meets actions pre-aggregated per (song, day) in
+a shuffled join whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
