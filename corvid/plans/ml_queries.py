@@ -185,3 +185,31 @@ def q_word2vec_synonyms(spark, sf):
     top = (toks.select(F.explode("tokens").alias("w")).groupBy("w").count()
            .orderBy(F.col("count").desc(), F.col("w")).limit(1).first())
     return model.findSynonyms(top["w"], 5).withColumn("of_word", F.lit(top["w"]))
+
+
+_OLS_SQL = """
+WITH m AS (SELECT covar_pop(l_quantity, l_quantity) AS c11, covar_pop(l_discount, l_discount) AS c22,
+                  covar_pop(l_quantity, l_discount) AS c12, covar_pop(l_quantity, l_extendedprice) AS c1y,
+                  covar_pop(l_discount, l_extendedprice) AS c2y, var_pop(l_extendedprice) AS vy,
+                  avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_extendedprice) AS my FROM lineitem),
+b AS (SELECT (c22 * c1y - c12 * c2y) / (c11 * c22 - c12 * c12) AS b1,
+             (c11 * c2y - c12 * c1y) / (c11 * c22 - c12 * c12) AS b2, * FROM m)
+SELECT round(b1, 4) AS coef_quantity, round(b2, 2) AS coef_discount,
+       round(my - b1 * m1 - b2 * m2, 2) AS intercept, round((b1 * c1y + b2 * c2y) / vy, 6) AS r2
+FROM b"""
+
+
+@query("ols_two_features", _OLS_SQL, ("M01", "S04"))
+def q_ols_two_features(spark, sf):
+    """M01 without regularization: Spark ML's normal-equation solver gives the
+    exact least-squares fit, so closed-form SQL can check it."""
+    li = load_table(spark, sf, "lineitem")
+    data = ml.assemble(li.select(F.col("l_extendedprice").alias("label"), "l_quantity", "l_discount"),
+                       ["l_quantity", "l_discount"])
+    m, _ = ml.linear_regression(data, reg=0.0, elastic_net=0.0, solver="normal")
+    fit = spark.createDataFrame(
+        [(float(m.coefficients[0]), float(m.coefficients[1]), float(m.intercept), float(m.summary.r2))],
+        "coef_quantity double, coef_discount double, intercept double, r2 double")
+    return fit.select(F.round("coef_quantity", 4).alias("coef_quantity"),
+                      F.round("coef_discount", 2).alias("coef_discount"),
+                      F.round("intercept", 2).alias("intercept"), F.round("r2", 6).alias("r2"))
