@@ -45,20 +45,57 @@ def to_json_row(df: DataFrame, cols=None) -> Column:
     return F.to_json(st, {"ignoreNullFields": "false"})
 
 
+def _wire_type(dt: T.DataType) -> T.DataType:
+    """The JSON-side type: dates/timestamps are epoch ms, binary is a byte list."""
+    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return T.LongType()
+    if isinstance(dt, T.BinaryType):
+        return T.ArrayType(T.IntegerType())
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, _wire_type(f.dataType), True) for f in dt.fields])
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(_wire_type(dt.elementType), True)
+    if isinstance(dt, T.MapType):
+        return T.MapType(T.StringType(), _wire_type(dt.valueType), True)
+    return dt
+
+
+def _from_wire(c: Column, dt: T.DataType) -> Column:
+    if isinstance(dt, T.DateType):
+        return F.to_date(F.timestamp_millis(c))
+    if isinstance(dt, T.TimestampType):
+        return F.timestamp_millis(c)
+    if isinstance(dt, T.TimestampNTZType):
+        return F.timestamp_millis(c).cast("timestamp_ntz")
+    if isinstance(dt, T.BinaryType):
+        hexes = F.transform(c, lambda x: F.lpad(F.hex(F.pmod(x, F.lit(256))), 2, "0"))
+        return F.unhex(F.array_join(hexes, ""))
+    if isinstance(dt, T.StructType):
+        return F.when(c.isNull(), F.lit(None)).otherwise(
+            F.struct(*[_from_wire(c[f.name], f.dataType).alias(f.name) for f in dt.fields]))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda x: _from_wire(x, dt.elementType))
+    if isinstance(dt, T.MapType):
+        return F.transform_values(c, lambda k, v: _from_wire(v, dt.valueType))
+    return c
+
+
 def from_json_row(c, schema: T.StructType | str, strict: bool = True) -> Column:
-    """JSON object -> struct by ``schema``; a missing field is null when
-    nullable, otherwise an error (checked explicitly: Spark itself would
-    silently give null)."""
+    """JSON object -> struct by ``schema`` (the inverse of
+    :func:`to_json_row`: epoch ms -> date/timestamp, byte lists -> binary).
+    A missing field is null when nullable, otherwise an error -- checked
+    explicitly, since Spark itself would silently give null."""
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     col = F.col(c) if isinstance(c, str) else c
-    parsed = F.from_json(col, schema, {"mode": "FAILFAST"} if strict else {})
+    parsed = F.from_json(col, _wire_type(schema), {"mode": "FAILFAST"} if strict else {})
+    out = F.struct(*[_from_wire(parsed[f.name], f.dataType).alias(f.name) for f in schema.fields])
     required = [f.name for f in schema.fields if not f.nullable]
     if not required:
-        return parsed
+        return out
     bad = None
     for name in required:
         cond = parsed[name].isNull()
         bad = cond if bad is None else (bad | cond)
     return F.when(col.isNotNull() & bad,
-                  F.raise_error(F.concat(F.lit("missing NOT NULL field in: "), col))).otherwise(parsed)
+                  F.raise_error(F.concat(F.lit("missing NOT NULL field in: "), col))).otherwise(out)

@@ -30,3 +30,14 @@ def test_parse_missing_not_null_raises(spark):
     df = spark.createDataFrame([('{"b": "x"}',)], "j string")
     with pytest.raises(Exception):
         df.select(from_json_row("j", "a int not null, b string").alias("r")).collect()
+
+
+def test_round_trip_all_types(spark):
+    schema = ("i int, d double, s string, dt date, ts timestamp, bin binary, "
+              "st struct<x:int,y:string>, arr array<int>, m map<string,double>")
+    row = (1, 1.5, None, datetime.date(2015, 3, 1), datetime.datetime(2015, 3, 1, 12, 30, 5),
+           bytearray(b"\x01\xff\x00"), (3, None), [1, None], {"k": 2.0})
+    df = spark.createDataFrame([row], schema)
+    js = df.select(to_json_row(df).alias("j"))
+    back = js.select(from_json_row("j", df.schema).alias("r")).select("r.*").first()
+    assert tuple(back) == tuple(df.first())
