@@ -171,11 +171,18 @@ def q_crime_model(spark, sf):
     train, test = ml.hash_split(data, "o_orderkey", 80)
     gbt = ml.gbt_classifier(train)
     glm, _ = ml.binomial_glm(train)
-    auc_train, auc_test = ml.auc(gbt, train), ml.auc(gbt, test)
-    scored = ml.probability_of(gbt.transform(test), 1, "p_gbt").drop("rawPrediction", "probability", "prediction")
-    scored = ml.probability_of(glm.transform(scored), 1, "p_glm")
+    mlp = ml.mlp_classifier(train, len(cols), 2, hidden=(200, 200), epochs=10)
+    # Train and test AUC of two models (boosted trees, neural network)
+    auc_gbt_train, auc_gbt_test = ml.auc(gbt, train), ml.auc(gbt, test)
+    auc_mlp_train, auc_mlp_test = ml.auc(mlp, train), ml.auc(mlp, test)
+    drop = ("rawPrediction", "probability", "prediction")
+    scored = ml.probability_of(gbt.transform(test), 1, "p_gbt").drop(*drop)
+    scored = ml.probability_of(glm.transform(scored), 1, "p_glm").drop(*drop)
+    scored = ml.probability_of(mlp.transform(scored), 1, "p_mlp")
     return scored.select("o_orderkey", F.round("p_gbt", 6).alias("p_gbt"), F.round("p_glm", 6).alias("p_glm"),
-                         F.lit(auc_train).alias("auc_train"), F.lit(auc_test).alias("auc_test"))
+                         F.round("p_mlp", 6).alias("p_mlp"),
+                         F.lit(auc_gbt_train).alias("auc_gbt_train"), F.lit(auc_gbt_test).alias("auc_gbt_test"),
+                         F.lit(auc_mlp_train).alias("auc_mlp_train"), F.lit(auc_mlp_test).alias("auc_mlp_test"))
 
 
 @query("word2vec_synonyms", None, ("M19",))
