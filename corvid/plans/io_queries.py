@@ -48,24 +48,24 @@ def q_labeled_points_roundtrip(spark, sf):
     return lp.select("label", arr[0].alias("f0"), arr[1].alias("f1"), arr[2].alias("f2"))
 
 
-_ARTIST = "Brand#13"
-
-
-@query("one_file_report", f"""
+@query("report_files", f"""
 WITH songs AS ({SONGS_SQL}), actions AS ({ACTIONS_SQL})
 SELECT artist_id, count(*) AS plays, strftime(strptime(Ds, '%Y%m%d'), '%Y/%m/%d') AS day,
        max(song_init_plays) AS max_init_plays,
        strftime(strptime(max(publish_time), '%Y%m%d'), '%Y/%m/%d') AS pub_day
-FROM actions JOIN songs USING (song_id) WHERE action_type = '1' AND artist_id = '{_ARTIST}'
+FROM actions JOIN songs USING (song_id) WHERE action_type = '1'
 GROUP BY artist_id, Ds""", ("M26", "K02", "K04"))
-def q_one_file_report(spark, sf):
-    songs = songs_view(load_table(spark, sf, "part")).filter(F.col("artist_id") == _ARTIST)
+def q_report_files(spark, sf):
+    """The daily report written as one CSV file per artist (the reference
+    wrote one file for its one artist), then read back."""
+    songs = songs_view(load_table(spark, sf, "part"))
     actions = actions_view(load_table(spark, sf, "lineitem", spread=True))
     report = sinks.report_lines(act.daily_report(songs, actions))
-    target = scratch_path(spark, "report") + ".csv"
-    sinks.write_one_file(report, target, fmt="csv")
-    return spark.read.schema("artist_id string, plays long, day string, max_init_plays string, pub_day string") \
-        .csv(target)
+    path = scratch_path(spark, "report")
+    sinks.write_per_key_files(report, "artist_id", path, fmt="csv")
+    back = spark.read.schema("plays long, day string, max_init_plays string, pub_day string, artist_id string") \
+        .csv(path)
+    return back.select("artist_id", "plays", "day", "max_init_plays", "pub_day")
 
 
 @query("delimited_roundtrip", """
