@@ -41,8 +41,15 @@ def _semi(df: DataFrame, keys: DataFrame, names: list[str], broadcast_rows: int)
 
 def filter_dimension(df: DataFrame, keys, name: str, *, list_limit: int = LIST_LIMIT,
                      broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """One key column."""
+    """One key column.
+
+    A key table with at most ``list_limit`` distinct keys (bounded probe)
+    becomes a literal key list -- a predicate Parquet evaluates in the scan;
+    a larger one a LEFT SEMI join (broadcast behind its own size probe)."""
     if isinstance(keys, DataFrame):
+        k = keys.select(F.col(keys.columns[0]).alias(name)).distinct()
+        if has_at_most(k, list_limit):
+            return filter_dimension(df, [r[0] for r in k.collect()], name, list_limit=list_limit)
         return _semi(df, keys, [name], broadcast_rows)
     keys = list(keys)
     if not keys:

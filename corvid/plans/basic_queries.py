@@ -183,8 +183,6 @@ def q_sql_text(spark, sf):
 # ---- J06-J08 / P09 dimension filters ----------------------------------------
 _DIM_COLS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 _DIM_SELECT = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem"
-_SMALL_KEYS = [1, 3, 5, 7]
-_LIST_KEYS = list(range(0, 2000, 7))
 
 
 @query("dim_filter_one", _DIM_SELECT + " WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 45)",
@@ -204,18 +202,22 @@ def q_dim_filter_pair(spark, sf):
     return dims.filter_dimension_pairs(li, pairs, "l_partkey", "l_suppkey").select(*_DIM_COLS)
 
 
-@query("dim_filter_small", _DIM_SELECT + f" WHERE l_suppkey IN ({', '.join(map(str, _SMALL_KEYS))})",
-       ("J06", "J08"))
+_SMALL_DIM = "SELECT s_suppkey FROM supplier WHERE s_nationkey = 7"
+_LARGE_DIM = "SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000"
+
+
+@query("dim_filter_small", _DIM_SELECT + f" WHERE l_suppkey IN ({_SMALL_DIM})", ("J06", "J08"))
 def q_dim_filter_small(spark, sf):
-    li = T(spark, sf, "lineitem")
-    return dims.filter_products(li, _SMALL_KEYS, name="l_suppkey").select(*_DIM_COLS)
+    """Few keys (<= 10 at sf0.01): the keys become a predicate pushed into the scan."""
+    keys = T(spark, sf, "supplier").filter(F.col("s_nationkey") == 7).select(F.col("s_suppkey").alias("l_suppkey"))
+    return dims.filter_products(T(spark, sf, "lineitem"), keys, name="l_suppkey").select(*_DIM_COLS)
 
 
-@query("dim_filter_list", _DIM_SELECT + f" WHERE l_partkey IN ({', '.join(map(str, _LIST_KEYS))})",
-       ("J06", "U01"))
+@query("dim_filter_list", _DIM_SELECT + f" WHERE l_suppkey IN ({_LARGE_DIM})", ("J06", "U01"))
 def q_dim_filter_list(spark, sf):
-    li = T(spark, sf, "lineitem")
-    return dims.filter_dimension(li, _LIST_KEYS, "l_partkey").select(*_DIM_COLS)
+    """Many keys: LEFT SEMI join, broadcast after the size probe."""
+    keys = T(spark, sf, "supplier").filter(F.col("s_acctbal") > 5000).select(F.col("s_suppkey").alias("l_suppkey"))
+    return dims.filter_dimension(T(spark, sf, "lineitem"), keys, "l_suppkey").select(*_DIM_COLS)
 
 
 @query("dim_filter_empty", _DIM_SELECT + " WHERE false", ("P09",))

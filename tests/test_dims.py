@@ -32,11 +32,19 @@ def test_null_key_never_matches(spark):
     assert filter_dimension(df, [None, "p1"], "productKey").count() == 4
 
 
-def test_table_form_is_broadcast_semi_join(spark):
+def test_table_form_small_becomes_predicate(spark):
     df = _facts(spark)
     keys = spark.createDataFrame([("p1",), ("p2",), ("p2",)], "productKey string")
     out = filter_dimension(df, keys, "productKey")
     assert out.count() == 8  # duplicates in the key table do not duplicate rows
+    assert "LeftSemi" not in explain_text(out)
+
+
+def test_table_form_large_is_broadcast_semi_join(spark):
+    df = _facts(spark)
+    keys = spark.createDataFrame([(f"p{i}",) for i in range(11)] * 2, "productKey string")
+    out = filter_dimension(df, keys, "productKey")
+    assert out.count() == 44
     plan = explain_text(out)
     assert "LeftSemi" in plan and "Broadcast" in plan
 

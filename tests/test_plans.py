@@ -28,6 +28,6 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in plan
 
 
-def test_list_filter_pushed_as_in(spark):
-    plan = explain_text(E.queries()["dim_filter_small"](spark, SF_SMALL))
+def test_small_key_table_pushed_into_scan(spark):
+    plan = explain_text(E.queries()["dim_filter_small"](spark, "/root/testdata/sf0.01"))
     assert "PushedFilters" in plan and ("EqualTo(l_suppkey" in plan or "In(l_suppkey" in plan)
