@@ -8,7 +8,7 @@ from corvid.functions.text import STREAM_STOP_LIST
 from corvid.plans.registry import query
 from corvid.plans.sqltext import jsplit, lines
 from corvid.session import scratch_path
-from corvid.sources.tables import SPREAD_MAX_BYTES, load_table, path_bytes, table_path
+from corvid.sources.tables import load_table, needs_spread
 from corvid.streaming import text_streams as ts
 
 _WORDS_SQL = f"""
@@ -17,10 +17,11 @@ dw AS (SELECT unnest({jsplit('line', ' ', ' +$')}) AS word FROM dl)"""
 
 
 def _doc_lines(spark, sf):
-    schema = load_table(spark, sf, "documents").schema
-    small = path_bytes(spark, table_path(sf, "documents")) <= SPREAD_MAX_BYTES
+    static = load_table(spark, sf, "documents")
+    few_splits = needs_spread(static)
     return ts.line_stream(spark, sf, fmt="parquet", text_col="text", glob="documents.parquet",
-                          schema=schema, spread=spark.sparkContext.defaultParallelism if small else None)
+                          schema=static.schema,
+                          spread=spark.sparkContext.defaultParallelism if few_splits else None)
 
 
 @query("stream_word_count", _WORDS_SQL + """

@@ -3,10 +3,11 @@
 Small inputs are spread over the cores: a table stored as one Parquet row
 group is read by ONE task (a row group is Parquet's smallest split), so
 every per-row step before the first shuffle would run on one core.  When the
-table's files total at most ``SPREAD_MAX_BYTES`` (a size read from the file
-listing, no data read) the scan is followed by a round-robin repartition to
-the default parallelism.  Large tables -- the 100 TB case -- have many files
-and row groups, are never repartitioned, and keep their native splits.
+planned scan has fewer splits than the default parallelism (known from the
+file listing the scan needs anyway, no data read) the scan is followed by a
+round-robin repartition to the default parallelism.  Large tables -- the
+100 TB case -- have far more splits than cores, are never repartitioned and
+keep their native splits.
 """
 
 from __future__ import annotations
@@ -17,9 +18,6 @@ TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
 
-SPREAD_MAX_BYTES = 256 * 1024 * 1024
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -32,21 +30,24 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
-def spread_if_small(df: DataFrame, nbytes: int, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    if par > 1 and nbytes <= max_bytes:
-        return df.repartition(par)
+def needs_spread(df: DataFrame) -> bool:
+    """True when a scan plans fewer splits than there are cores."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return par > 1 and df.rdd.getNumPartitions() < par
+
+
+def spread_if_small(df: DataFrame) -> DataFrame:
+    if needs_spread(df):
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     return df
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Lazy parquet scan; column pruning and filters still reach the reader."""
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    if spread:
-        df = spread_if_small(df, path_bytes(spark, path))
-    return df
+    """Lazy parquet scan; column pruning and filters still reach the reader.
+
+    ``spread=True`` for per-row-heavy jobs (tokenizers, text-typed views)."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread_if_small(df) if spread else df
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> None:
