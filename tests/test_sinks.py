@@ -41,3 +41,21 @@ def test_json_rows_iterator_and_document(spark):
 def test_reformat_dates(spark):
     df = spark.createDataFrame([("20150301",)], "d string")
     assert sinks.reformat_dates(df, ["d"]).first().d == "2015/03/01"
+
+
+def test_per_key_files(spark):
+    p = scratch_path(spark, "perkey")
+    df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", 9)], "k string, v int")
+    sinks.write_per_key_files(df.repartition(3), "k", p)
+    for k in ("a", "b"):
+        files = [f for f in os.listdir(os.path.join(p, f"k={k}")) if f.startswith("part-")]
+        assert len(files) == 1
+    back = spark.read.schema("v int, k string").csv(p)
+    assert sorted((r.k, r.v) for r in back.collect()) == sorted((r.k, r.v) for r in df.collect())
+
+
+def test_cluster_conf_sizes():
+    from corvid.session import cluster_conf
+    c = cluster_conf()
+    assert int(c["spark.sql.shuffle.partitions"]) == 40960
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"

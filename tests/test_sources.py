@@ -73,3 +73,17 @@ def test_jdbc_options():
     from corvid.sources.jdbc import jdbc_options
     o = jdbc_options("jdbc:x", table="t", user="u", partitionColumn="id", numPartitions=4)
     assert o == {"url": "jdbc:x", "dbtable": "t", "user": "u", "partitionColumn": "id", "numPartitions": "4"}
+
+
+def test_valid_rows_and_inferred_csv(spark, tmp_dir):
+    p = _write(tmp_dir, "w.csv", "year,temp\n2015,1.5\nbad,x\n2016,2.5\n")
+    df = src.read_csv_valid_rows(spark, p, "year int, temp double")
+    assert sorted(r.year for r in df.collect()) == [2015, 2016]
+    inf = src.read_csv_inferred(spark, p)
+    assert inf.columns == ["year", "temp"]
+
+
+def test_patients_reader(spark, tmp_dir):
+    p = _write(tmp_dir, "pat.csv", "1,0,65,1,2,1,1.4,0.0,6\n")
+    df = src.read_patients(spark, p)
+    assert df.columns[1] == "CAPSULE" and df.first().AGE == 65.0
