@@ -28,8 +28,12 @@ DIM_BROADCAST_ROWS = 200_000
 
 
 def has_at_most(df: DataFrame, n: int) -> bool:
-    """Bounded size probe: reads at most n + 1 rows of ``df``."""
-    return df.limit(n + 1).count() <= n
+    """Bounded size probe: at most n + 1 one-int rows reach the driver.
+
+    ``take`` scans partitions incrementally (1, then 4x more per round), so a
+    large input is recognised after reading a few of its splits, and a small
+    one -- which is about to be broadcast anyway -- is read once."""
+    return len(df.select(F.lit(1).alias("_one")).limit(n + 1).take(n + 1)) <= n
 
 
 def _semi(df: DataFrame, keys: DataFrame, names: list[str], broadcast_rows: int) -> DataFrame:
