@@ -51,9 +51,10 @@ def filter_dimension(df: DataFrame, keys, name: str, *, list_limit: int = LIST_L
     becomes a literal key list -- a predicate Parquet evaluates in the scan;
     a larger one a LEFT SEMI join (broadcast behind its own size probe)."""
     if isinstance(keys, DataFrame):
-        k = keys.select(F.col(keys.columns[0]).alias(name)).distinct()
-        if has_at_most(k, list_limit):
-            return filter_dimension(df, [r[0] for r in k.collect()], name, list_limit=list_limit)
+        k = keys.select(F.col(keys.columns[0]).alias(name))
+        if has_at_most(k, list_limit):  # like the reference: key rows counted as read
+            few = list(dict.fromkeys(r[0] for r in k.take(list_limit)))
+            return filter_dimension(df, few, name, list_limit=list_limit)
         return _semi(df, keys, [name], broadcast_rows)
     keys = list(keys)
     if not keys:
