@@ -5,10 +5,13 @@
   an In/InSet predicate pushed into the Parquet scan; more keys -> a small
   DataFrame of the keys joined LEFT SEMI with a broadcast hint (its size is
   the list length, known on the driver).
-* key table: LEFT SEMI join.  The broadcast hint is only given after a
-  bounded probe proves the key side has at most ``broadcast_rows`` rows;
-  otherwise the planner shuffles both sides (and AQE may still switch to a
-  broadcast from run-time sizes).
+* key table (one key column): at most ``list_limit`` key rows (bounded
+  probe) -> those keys become the literal predicate above, like the
+  reference's collected key list; otherwise a LEFT SEMI join.
+* LEFT SEMI join: the broadcast hint is only given after a bounded probe
+  proves the key side has at most ``broadcast_rows`` rows; otherwise the
+  planner shuffles both sides (and AQE may still switch to a broadcast from
+  run-time sizes, or split a skewed key's partition).
 
 Null keys never match (semi-join semantics).
 """

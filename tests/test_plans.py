@@ -31,3 +31,14 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_small_key_table_pushed_into_scan(spark):
     plan = explain_text(E.queries()["dim_filter_small"](spark, "/root/testdata/sf0.01"))
     assert "PushedFilters" in plan and ("EqualTo(l_suppkey" in plan or "In(l_suppkey" in plan)
+
+
+def test_rate_table_has_no_cartesian_join(spark):
+    plan = explain_text(E.queries()["rate_table"](spark, SF_SMALL))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_no_python_udfs_in_registered_plans(spark):
+    for name in ("daily_activity", "token_chain_titles", "token_chain_messages", "json_rows", "uri_encode"):
+        plan = explain_text(E.queries()[name](spark, SF_SMALL))
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
