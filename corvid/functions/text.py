@@ -62,8 +62,8 @@ def text_lines(c) -> Column:
 
 
 def no_digit(x: Column) -> Column:
-    """the whole word matches ``[^0-9]*``."""
-    return x.rlike(r"^[^0-9]*\z")
+    """the whole word matches ``[^0-9]*``, i.e. it holds no digit."""
+    return ~x.rlike("[0-9]")
 
 
 def raw_title_words(c) -> Column:
