@@ -23,6 +23,18 @@ def iter_json_rows(df: DataFrame):
         yield r["j"]
 
 
+def iter_json_chunks(df: DataFrame, size: int = 100):
+    """JSON rows in chunks of ``size`` (the reference sent groups of 100)."""
+    chunk = []
+    for j in iter_json_rows(df):
+        chunk.append(j)
+        if len(chunk) == size:
+            yield chunk
+            chunk = []
+    if chunk:
+        yield chunk
+
+
 def result_document(df: DataFrame, drop: int | None = None, take: int | None = None,
                     order_by: str | None = None, extra: dict | None = None) -> dict:
     """``{schema, rows, count, extra}``; ``count`` = rows before drop/take.

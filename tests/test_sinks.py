@@ -59,3 +59,9 @@ def test_cluster_conf_sizes():
     c = cluster_conf()
     assert int(c["spark.sql.shuffle.partitions"]) == 40960
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_json_chunks(spark):
+    from corvid.sinks.results import iter_json_chunks
+    sizes = [len(c) for c in iter_json_chunks(spark.range(250).repartition(3), 100)]
+    assert sizes == [100, 100, 50]
