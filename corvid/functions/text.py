@@ -38,10 +38,26 @@ def _tail_regex(sep_regex: str) -> str:
     return (sep_regex if sep_regex.endswith("+") else f"(?:{sep_regex})+") + r"\z"
 
 
+_ONE_CHAR = re.compile(r"^(?:\\.|\\[A-Za-z]|[^\\\[\](){}.*+?^$|])\+?$")
+
+
+def _strip_trailing(col: Column, sep_regex: str) -> Column:
+    r"""Remove the trailing separator run in linear time.
+
+    A ``...\z`` regex is retried at every position of a long separator run
+    in the middle of a text (quadratic on junk).  For one-character
+    separators (``\W+``, a blank, a comma) the run is stripped from the
+    front of the reversed text instead, where ``^`` allows a single try."""
+    if _ONE_CHAR.match(sep_regex):
+        unit = sep_regex[:-1] if sep_regex.endswith("+") else sep_regex
+        return F.reverse(F.regexp_replace(F.reverse(col), f"^(?:{unit})+", ""))
+    return F.regexp_replace(col, _tail_regex(sep_regex), "")
+
+
 def java_split(c, sep_regex: str) -> Column:
     """``String.split(sep_regex)`` semantics on a string column."""
     col = _c(c)
-    stripped = F.regexp_replace(col, _tail_regex(sep_regex), "")
+    stripped = _strip_trailing(col, sep_regex)
     return (F.when(col == "", F.array(F.lit("")))
             .when(stripped == "", F.array().cast("array<string>"))
             .otherwise(F.split(stripped, sep_regex, -1)))

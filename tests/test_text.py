@@ -83,3 +83,13 @@ def test_predicates(spark):
     assert df.filter(text_is_true("b")).count() == 2
     assert df.filter(eq_optional("o", "x")).count() == 2
     assert df.filter(eq_optional("o", None)).count() == 0
+
+
+def test_java_split_long_separator_run_is_linear(spark):
+    import time
+    df = spark.createDataFrame([("#" * 200_000 + "a" + " " * 100_000 + "b  ",)], "s string")
+    t0 = time.time()
+    w = df.select(java_split("s", r"\W+")).first()[0]
+    b = df.select(java_split("s", " ")).first()[0]
+    assert w == ["", "a", "b"] and b[-1] == "b" and len(b) == 100_000 + 1
+    assert time.time() - t0 < 30
