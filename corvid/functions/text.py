@@ -44,13 +44,14 @@ _ONE_CHAR = re.compile(r"^(?:\\.|\\[A-Za-z]|[^\\\[\](){}.*+?^$|])\+?$")
 def _strip_trailing(col: Column, sep_regex: str) -> Column:
     r"""Remove the trailing separator run in linear time.
 
-    A ``...\z`` regex is retried at every position of a long separator run
+    A plain ``sep+\z`` is retried at every position of a long separator run
     in the middle of a text (quadratic on junk).  For one-character
-    separators (``\W+``, a blank, a comma) the run is stripped from the
-    front of the reversed text instead, where ``^`` allows a single try."""
+    separators (``\W+``, a blank, a comma) the match may only start where a
+    run starts (negative look-behind) and takes the run possessively, so
+    every run is scanned once."""
     if _ONE_CHAR.match(sep_regex):
         unit = sep_regex[:-1] if sep_regex.endswith("+") else sep_regex
-        return F.reverse(F.regexp_replace(F.reverse(col), f"^(?:{unit})+", ""))
+        return F.regexp_replace(col, f"(?<!{unit})(?:{unit})++\\z", "")
     return F.regexp_replace(col, _tail_regex(sep_regex), "")
 
 
