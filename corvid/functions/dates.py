@@ -56,7 +56,7 @@ def calendar_parts(ts, prefix: str = "") -> list[Column]:
     WeekNum is the ISO week, WeekDay is 1 = Sunday .. 7 = Saturday and
     Weekend is 1 for Saturday/Sunday, else 0.
     """
-    t = _c(ts).cast("timestamp")
+    t = _c(ts)  # no cast: a timestamp_ntz keeps its wall clock in any session zone
     month = F.month(t)
     dow = F.dayofweek(t)
     return [

@@ -21,11 +21,29 @@ def _bytes_list(c: Column) -> Column:
     return F.when(n == 0, F.array().cast("array<int>")).otherwise(signed)
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("date")
+
+
+def _epoch_ms_local(c: Column) -> Column:
+    """Epoch ms of a wall-clock (timestamp_ntz) value, independent of the
+    session time zone (a cast to timestamp would apply the zone, and shift
+    wall times that fall in a daylight-saving gap)."""
+    day_ms = F.datediff(F.to_date(c), _epoch()).cast("long") * F.lit(86_400_000)
+    sec = F.date_part(F.lit("SECOND"), c)  # seconds with micro fraction
+    ms_in_day = (F.hour(c).cast("long") * 3_600_000 + F.minute(c).cast("long") * 60_000
+                 + F.floor(sec * 1000).cast("long"))
+    return day_ms + ms_in_day
+
+
 def _encodable(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.DateType):
-        return F.unix_millis(c.cast("timestamp"))
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_millis(c.cast("timestamp"))
+        # midnight UTC of the day, whatever the session zone
+        return F.datediff(c, _epoch()).cast("long") * F.lit(86_400_000)
+    if isinstance(dt, T.TimestampType):
+        return F.unix_millis(c)
+    if isinstance(dt, T.TimestampNTZType):
+        return _epoch_ms_local(c)
     if isinstance(dt, T.BinaryType):
         return _bytes_list(c)
     if isinstance(dt, T.StructType):
@@ -60,13 +78,28 @@ def _wire_type(dt: T.DataType) -> T.DataType:
     return dt
 
 
+def _day_of(ms: Column) -> Column:
+    return F.date_add(_epoch(), F.floor(ms / F.lit(86_400_000)).cast("int"))
+
+
+def _local_from_ms(ms: Column) -> Column:
+    """Epoch ms -> timestamp_ntz (wall clock at UTC), session-zone free."""
+    d = _day_of(ms)
+    rem = ms - F.floor(ms / F.lit(86_400_000)) * F.lit(86_400_000)
+    secs = F.pmod(rem, F.lit(60_000)).cast("decimal(12,3)") / F.lit(1000)
+    return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d),
+                                F.floor(rem / F.lit(3_600_000)).cast("int"),
+                                F.floor(F.pmod(rem, F.lit(3_600_000)) / F.lit(60_000)).cast("int"),
+                                secs.cast("decimal(16,6)"))
+
+
 def _from_wire(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.DateType):
-        return F.to_date(F.timestamp_millis(c))
+        return _day_of(c)
     if isinstance(dt, T.TimestampType):
         return F.timestamp_millis(c)
     if isinstance(dt, T.TimestampNTZType):
-        return F.timestamp_millis(c).cast("timestamp_ntz")
+        return _local_from_ms(c)
     if isinstance(dt, T.BinaryType):
         hexes = F.transform(c, lambda x: F.lpad(F.hex(F.pmod(x, F.lit(256))), 2, "0"))
         return F.unhex(F.array_join(hexes, ""))

@@ -40,7 +40,7 @@ def actions_view(lineitem: DataFrame) -> DataFrame:
         F.col("l_partkey").cast("string").alias("song_id"),
         F.col("l_linenumber").cast("string").alias("gmt_create"),
         action.alias("action_type"),
-        F.date_format("l_shipdate", "yyyyMMdd").alias("Ds"))
+        F.date_format(F.to_date("l_shipdate"), "yyyyMMdd").alias("Ds"))
 
 
 SONGS_SQL = """

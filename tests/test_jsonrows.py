@@ -41,3 +41,33 @@ def test_round_trip_all_types(spark):
     js = df.select(to_json_row(df).alias("j"))
     back = js.select(from_json_row("j", df.schema).alias("r")).select("r.*").first()
     assert tuple(back) == tuple(df.first())
+
+
+def test_encoding_ignores_session_zone(spark):
+    from pyspark.sql import functions as F
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([("2024-03-10 02:30:00.123456", "2024-03-10")], "t string, d string") \
+            .select(F.to_timestamp_ntz("t").alias("t"), F.to_date("d").alias("d"))
+        obj = json.loads(df.select(to_json_row(df)).first()[0])
+        assert obj["t"] == 1710037800123 and obj["d"] == 1710028800000
+        from corvid.functions.dates import calendar_parts
+        assert df.select(*calendar_parts("t")).first().hour_of_day == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_round_trip_ntz_and_date_in_other_zone(spark):
+    from pyspark.sql import functions as F
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([("2024-03-10 02:30:00.123", "2024-03-10"), ("1969-12-31 23:59:59.5", "1969-12-31")],
+                                   "t string, d string") \
+            .select(F.to_timestamp_ntz("t").alias("t"), F.to_date("d").alias("d"))
+        js = df.select(to_json_row(df).alias("j"))
+        back = js.select(from_json_row("j", df.schema).alias("r")).select("r.*").collect()
+        assert [tuple(r) for r in back] == [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
