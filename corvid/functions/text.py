@@ -70,10 +70,14 @@ def split_keep(c, delim: str, trim: bool = True) -> Column:
     return F.transform(parts, lambda x: F.trim(x)) if trim else parts
 
 
+LINE_BREAK = "\r\n|\r|\n"
+
+
 def text_lines(c) -> Column:
-    """Lines of a text as a line reader yields them: a final newline does not
-    open an extra empty line."""
-    parts = F.split(_c(c), "\n", -1)
+    """Lines of a text as a line reader yields them: ``\r\n``, ``\r`` or
+    ``\n`` ends a line, and a final line break does not open an extra empty
+    line."""
+    parts = F.split(_c(c), LINE_BREAK, -1)
     n = F.size(parts)
     return F.when((n > 1) & (F.element_at(parts, -1) == ""), F.slice(parts, 1, n - 1)).otherwise(parts)
 

@@ -11,7 +11,7 @@ def jsplit(expr: str, sep: str, tail: str) -> str:
 
 
 def lines(expr: str) -> str:
-    l = f"string_split({expr}, chr(10))"
+    l = f"regexp_split_to_array({expr}, '\r\n|\r|\n')"
     return f"(CASE WHEN len({l}) > 1 AND {l}[-1] = '' THEN {l}[1:-2] ELSE {l} END)"
 
 

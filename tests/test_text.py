@@ -93,3 +93,8 @@ def test_java_split_long_separator_run_is_linear(spark):
     b = df.select(java_split("s", " ")).first()[0]
     assert w == ["", "a", "b"] and b[-1] == "b" and len(b) == 100_000 + 1
     assert time.time() - t0 < 30
+
+
+def test_text_lines_all_line_breaks(spark):
+    df = spark.createDataFrame([("a\r\nb\rc\n",), ("x\r\n",)], "s string")
+    assert [r[0] for r in df.select(text_lines("s")).collect()] == [["a", "b", "c"], ["x"]]
