@@ -101,6 +101,12 @@ def title_words(c, stopwords=TITLE_STOPWORDS, min_len: int = 2) -> Column:
                     lambda x: (~F.array_contains(stop, x)) & (F.length(x) >= min_len))
 
 
+def jvm_length(x: Column) -> Column:
+    """Length in UTF-16 code units, like ``String.length`` on the JVM (a
+    character outside the Basic Multilingual Plane counts twice)."""
+    return (F.octet_length(F.encode(x, "UTF-16BE")) / 2).cast("int")
+
+
 def message_words(c, ignored_words=MESSAGE_IGNORED_WORDS, ignored_chars=MESSAGE_IGNORED_CHARS,
                   min_len: int = 3) -> Column:
     """Lower (F03), listed chars -> blank (F08), split on blank (F02),
@@ -110,5 +116,5 @@ def message_words(c, ignored_words=MESSAGE_IGNORED_WORDS, ignored_chars=MESSAGE_
     text = F.translate(F.lower(_c(c)), chars, " " * len(chars))
     ign = F.array(*[F.lit(w) for w in ignored_words])
     words = F.filter(java_split(text, " "),
-                     lambda x: (~F.array_contains(ign, x)) & (F.length(x) >= min_len))
+                     lambda x: (~F.array_contains(ign, x)) & (jvm_length(x) >= min_len))
     return F.array_distinct(words)

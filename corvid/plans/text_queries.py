@@ -60,7 +60,7 @@ WITH m AS (SELECT conv_id, turn,
                   {jsplit(f"translate(lower(text), '{_CHARS}', '{' ' * len(MESSAGE_IGNORED_CHARS)}')", ' ', ' +$')} AS arr
            FROM conversations),
 f AS (SELECT conv_id, turn, list_filter(arr, lambda x: NOT list_contains({str_list(MESSAGE_IGNORED_WORDS)}, x)
-                                                   AND length(x) >= 3) AS arr FROM m),
+                                                   AND length(x) + length(regexp_replace(x, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')) >= 3) AS arr FROM m),
 d AS (SELECT conv_id, turn, list_filter(arr, lambda x, i: list_position(arr, x) = i) AS arr FROM f)
 SELECT conv_id, turn, array_to_string(arr, ' ') AS tokens, CAST(len(arr) AS INTEGER) AS n_tokens FROM d""",
        ("M22", "F08", "F09", "F02"))

@@ -98,3 +98,10 @@ def test_java_split_long_separator_run_is_linear(spark):
 def test_text_lines_all_line_breaks(spark):
     df = spark.createDataFrame([("a\r\nb\rc\n",), ("x\r\n",)], "s string")
     assert [r[0] for r in df.select(text_lines("s")).collect()] == [["a", "b", "c"], ["x"]]
+
+
+def test_message_word_length_counts_utf16_units(spark):
+    from corvid.functions.text import jvm_length
+    df = spark.createDataFrame([("ab", ), ("a\U0001F600",), ("\U0001F600\U0001F600 xy",)], "s string")
+    assert [r[0] for r in df.select(jvm_length("s")).collect()] == [2, 3, 7]
+    assert df.select(message_words("s")).collect()[2][0] == ["\U0001F600\U0001F600"]
