@@ -142,8 +142,11 @@ def read_tab_pairs(spark: SparkSession, path: str, names=("target", "text")) ->
 def read_csv_drop_header(spark: SparkSession, path: str, marker: str = "category",
                          names=("category", "title")) -> DataFrame:
     """Drop lines containing ``marker`` (the header) and take the first cells."""
+    from corvid.functions.text import java_split
     raw = _raw_lines(spark, path, header=False).filter(~F.col("line").contains(marker))
-    parts = F.split("line", ",", -1)
+    parts = java_split("line", ",")  # like String.split: trailing empty cells vanish
+    parts = F.when(F.size(parts) < len(names), F.raise_error(
+        F.concat(F.lit("too few cells: "), F.col("line")))).otherwise(parts)
     return raw.select(*[F.element_at(parts, i + 1).alias(n) for i, n in enumerate(names)])
 
 
