@@ -132,11 +132,14 @@ def read_dense_vectors(spark: SparkSession, path: str) -> DataFrame:
 
 def read_tab_pairs(spark: SparkSession, path: str, names=("target", "text")) -> DataFrame:
     """Tab-separated (label, text); rows with an empty label dropped."""
+    from corvid.functions.text import java_split
     raw = _raw_lines(spark, path, header=False)
-    parts = F.split("line", "\t", -1)
-    df = raw.select(F.element_at(parts, 1).alias(names[0]),
-                    F.when(F.size(parts) > 1, F.element_at(parts, 2)).alias(names[1]))
-    return df.filter(F.col(names[0]) != "")
+    parts = java_split("line", "\t")  # like String.split: trailing empty cells vanish
+    df = raw.select(F.element_at(parts, 1).alias(names[0]), parts.alias("_p"), "line")
+    df = df.filter(F.col(names[0]) != "")
+    text = F.when(F.size("_p") < 2, F.raise_error(F.concat(F.lit("no text cell: "), F.col("line")))) \
+        .otherwise(F.element_at("_p", 2))
+    return df.select(names[0], text.alias(names[1]))
 
 
 def read_csv_drop_header(spark: SparkSession, path: str, marker: str = "category",
