@@ -94,3 +94,15 @@ def q_libsvm_roundtrip(spark, sf):
     arr = vector_to_array("features")
     return src.read_libsvm(spark, path, num_features=3).select(
         "label", arr[0].alias("f0"), arr[1].alias("f1"), arr[2].alias("f2"))
+
+
+@query("tab_pairs_roundtrip", """
+SELECT role AS target, replace(text, chr(10), ' ') AS text FROM conversations""", ("S08", "K01"))
+def q_tab_pairs_roundtrip(spark, sf):
+    """Messages as ``label<TAB>text`` lines (one message per line: line breaks
+    inside a message become blanks), read back by the tab-pair reader."""
+    c = load_table(spark, sf, "conversations")
+    path = scratch_path(spark, "tab-pairs")
+    line = F.concat_ws("\t", "role", F.regexp_replace("text", "\n", " "))
+    c.select(line.alias("value")).write.mode("overwrite").text(path)
+    return src.read_tab_pairs(spark, path)
