@@ -1,6 +1,6 @@
 """All queries of this subpackage.  Importing this module fills the registry."""
 
-from corvid.llm import q_exact  # noqa: F401
+from corvid.llm import q_exact, q_packing  # noqa: F401
 from corvid.llm.registry import ORACLES, QUERIES
 
 
