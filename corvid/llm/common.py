@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from corvid.session import scratch_path
 
 RID = "__rid"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +35,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")   # the shuffles of this write are not needed once it is done
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -52,13 +58,14 @@ def with_row_ids(df: DataFrame) -> DataFrame:
     return df.withColumn(RID, F.monotonically_increasing_id())
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Stored rows (``__rid``, ``__id``, ``__text``); a null text becomes empty."""
+    rows = df.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    return store(with_row_ids(rows), "rows")
 
 
-def stored_rows(df: DataFrame) -> int:
-    """Row count of a stored table (Parquet footers only)."""
-    return df.count()
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
