@@ -1,6 +1,6 @@
 """All queries of this subpackage.  Importing this module fills the registry."""
 
-from corvid.llm import q_exact, q_near, q_packing, q_pii, q_substring, q_toxicity  # noqa: F401
+from corvid.llm import q_exact, q_near, q_packing, q_pii, q_substring, q_suffix, q_toxicity  # noqa: F401
 from corvid.llm.registry import ORACLES, QUERIES
 
 
