@@ -249,11 +249,11 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict
         stock.refresh()
     g = CLASS_TOKENS if capacity >= 512 else 1
     filler = FILLER_TOKENS if capacity >= 512 else 0
-    classes = -(-np.arange(capacity + 1) // g)
+    classes = np.maximum(np.arange(capacity + 1) // g, 1)      # rounded down: the exact fit is made below
     room = capacity // g
     demand = np.bincount(classes[1:], weights=np.where(np.arange(1, capacity + 1) > filler, stock.count[1:], 0),
                          minlength=room + 1)[1:room + 1]
-    by_class = [np.arange(max(1, (c - 1) * g + 1), c * g + 1) for c in range(room + 1)]
+    by_class = [np.flatnonzero(classes == c) for c in range(room + 1)]
     open_configs = []
     for config, times in sorted(fractional(demand, room), key=lambda x: -x[1]):
         times = int(times)
@@ -263,13 +263,14 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict
                 left = copies - (size == min(config) and sum(config.values()) > 1)
                 for length in by_class[size][::-1]:
                     n = int(stock.count[length])
-                    if n == 0 or left == 0 or length <= filler:
+                    free = capacity - sum(l * a for l, a in exact.items())
+                    use = min(left, n, free // int(length)) if length > filler else 0
+                    if use == 0:
                         continue
-                    use = min(left, n)
                     exact[int(length)] = use
                     run = min(run, n // use)
                     left -= use
-                if left:
+                if left > 0 and not exact:
                     run = 0
             if run <= 0:
                 break
