@@ -12,16 +12,20 @@ def _c(c) -> Column:
 
 def ymd_to_date(c) -> Column:
     """``yyyyMMdd`` text -> date (null for unparsable text)."""
-    return F.to_date(_c(c), "yyyyMMdd")
+    return F.try_to_timestamp(_c(c), F.lit("yyyyMMdd")).cast("date")
+
+
+def _day(c, fmt: str | None) -> Column:
+    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("date") if fmt else F.to_date(_c(c))
 
 
 def days_since(c, origin: str, fmt: str | None = "yyyyMMdd") -> Column:
     """whole days from ``origin`` (yyyy-MM-dd) to the day in ``c``.
 
     ``c`` is ``yyyyMMdd`` text by default; pass ``fmt=None`` for date/timestamp
-    columns.  Session time zone is UTC, so no clock change can shift a day.
+    columns; text that is no such day gives null.
     """
-    d = F.to_date(_c(c), fmt) if fmt else F.to_date(_c(c))
+    d = _day(c, fmt)
     return F.datediff(d, F.lit(origin).cast("date"))
 
 
@@ -30,7 +34,7 @@ def age_bucket(c, reference: str, width: int = 90, fmt: str | None = "yyyyMMdd")
 
     The division truncates toward zero (like ``div``), as the reference does.
     """
-    d = F.to_date(_c(c), fmt) if fmt else F.to_date(_c(c))
+    d = _day(c, fmt)
     days = F.datediff(F.lit(reference).cast("date"), d)
     return (days / F.lit(width)).cast("long")
 

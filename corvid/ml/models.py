@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression,
                                    LinearRegression, RandomForestRegressor)
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,14 +34,30 @@ def as_vector(df: DataFrame, array_col: str, out: str = "features") -> DataFrame
     return df.withColumn(out, array_to_vector(F.col(array_col).cast("array<double>")))
 
 
+def hash_percent(key: str, seed: int = 0) -> Column:
+    """0..99 from the first 8 hex digits of the MD5 of key and seed as text."""
+    text = F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % 100).cast("int")
+
+
 def hash_split(df: DataFrame, key: str, train_pct: int = 80, seed: int = 0):
     """Repeatable split by a hash of ``key`` (train_pct % / rest)."""
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
+    h = hash_percent(key, seed)
     return df.filter(h < train_pct), df.filter(h >= train_pct)
 
 
+def encode_key(df: DataFrame, key: str, label: str, train: Column, out: str) -> DataFrame:
+    """A key of any number of values as one number: its mean label over training rows
+    (grouped aggregate joined back; a key without training rows gets the overall mean)."""
+    seen = df.filter(train)
+    means = seen.groupBy(key).agg(F.avg(label).alias("_mean"))
+    overall = seen.agg(F.avg(label)).scalar()
+    return df.join(means, key, "left").withColumn(out, F.coalesce("_mean", overall)).drop("_mean")
+
+
 def categorical(df: DataFrame, cols, suffix: str = "_idx") -> DataFrame:
-    """String columns -> category indexes (unseen values kept as extra index)."""
+    """String columns of few values -> category indexes, the most frequent first, then by
+    value (unseen values kept as an extra index).  For keys of many values see :func:`encode_key`."""
     cols = list(cols)
     if not cols:
         return df
@@ -49,10 +65,6 @@ def categorical(df: DataFrame, cols, suffix: str = "_idx") -> DataFrame:
     return idx.fit(df).transform(df)
 
 
-def string_columns(df: DataFrame):
-    return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-
-
 def nan_for_missing(df: DataFrame, cols) -> DataFrame:
     """Missing numeric value -> NaN."""
     return df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c)
@@ -82,7 +94,8 @@ def decision_tree(data: DataFrame, training: DataFrame, test: DataFrame,
     unseen values kept), tree regressor, pipeline; returns predictions on test."""
     indexer = VectorIndexer(inputCol="features", outputCol="indexed", maxCategories=max_categories,
                             handleInvalid="keep").fit(data)
-    dt = DecisionTreeRegressor(featuresCol="indexed", maxBins=max_bins)
+    # a categorical feature may have all its categories and the one for unseen values
+    dt = DecisionTreeRegressor(featuresCol="indexed", maxBins=max(max_bins, max_categories + 1))
     model = Pipeline(stages=[indexer, dt]).fit(training)
     return model, model.transform(test)
 
@@ -114,10 +127,10 @@ def gamma_glm(df: DataFrame, link: str = "inverse", reg_grid=(0.0, 0.01, 0.1), s
 
 
 # ---- classification ---------------------------------------------------------------
-def logistic_multiclass(df: DataFrame, seed: int = 11):
-    """Multinomial logistic regression (L-BFGS), 60/40 split; returns
-    (model, (prediction, label) on the test part, accuracy)."""
-    train, test = df.randomSplit([0.6, 0.4], seed=seed)
+def logistic_multiclass(df: DataFrame, key: str, seed: int = 11):
+    """Multinomial logistic regression (L-BFGS), 60/40 split by a hash of
+    ``key``; returns (model, (prediction, label) on the test part, accuracy)."""
+    train, test = hash_split(df, key, 60, seed)
     m = LogisticRegression(family="multinomial", maxIter=100).fit(train)
     pred = m.transform(test)
     acc = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(pred)
@@ -134,7 +147,7 @@ def linear_svm(train: DataFrame, test: DataFrame, max_iter: int = 100):
     """Linear SVM; raw scores and area under ROC."""
     m = LinearSVC(maxIter=max_iter).fit(train)
     pred = m.transform(test)
-    auc = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction").evaluate(pred)
+    auc = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", numBins=0).evaluate(pred)
     return m, pred, auc
 
 
@@ -151,8 +164,8 @@ def mlp_classifier(train: DataFrame, n_features: int, n_classes: int, hidden=(20
 
 
 def auc(model, df: DataFrame) -> float:
-    """Area under ROC of a binary model on ``df``."""
-    return BinaryClassificationEvaluator().evaluate(model.transform(df))
+    """Exact area under ROC of a binary model on ``df``."""
+    return BinaryClassificationEvaluator(numBins=0).evaluate(model.transform(df))
 
 
 def probability_of(pred: DataFrame, index: int = 1, out: str = "p") -> DataFrame:
@@ -177,9 +190,11 @@ def tfidf(tokens: DataFrame, col: str = "tokens", buckets: int = 1 << 10, min_do
 
 
 def word2vec(tokens: DataFrame, col: str = "tokens", size: int = 100, min_count: int = 5,
-             seed: int = 42, max_iter: int = 1, partitions: int = 8):
+             seed: int = 42, max_iter: int = 1, partitions: int | None = None):
     """Word2Vec; ``transform`` gives the per-row mean of word
-    vectors, with unknown words counting as zero vectors (as the reference)."""
+    vectors, with unknown words counting as zero vectors (as the reference).
+    Trains in as many tasks as the input has partitions, if not told otherwise."""
+    partitions = partitions or max(1, tokens.rdd.getNumPartitions())
     w2v = Word2Vec(inputCol=col, outputCol="vector", vectorSize=size, minCount=min_count, seed=seed,
                    maxIter=max_iter, numPartitions=partitions)
     m = w2v.fit(tokens)
@@ -193,20 +208,4 @@ def spam_flags(pred: DataFrame, threshold: float = 0.5, ham_index: int = 0) -> D
         "verdict", F.when(F.col("p_ham") < threshold, "spam").otherwise("ham"))
 
 
-def fit_per_key(data: DataFrame, key: str, fit, max_keys: int = 64, workers: int = 8) -> dict:
-    """M25 (parallel variant): one model per key, fitted as concurrent Spark
-    jobs from a driver thread pool (use the FAIR scheduler to share the
-    cluster).  Only for a bounded number of keys -- the key count is probed
-    first; for many keys use one pooled model with the key as a feature, or
-    the closed-form per-group trend (one aggregation)."""
-    from concurrent.futures import ThreadPoolExecutor
-    keys_df = data.select(key).distinct()
-    if keys_df.limit(max_keys + 1).count() > max_keys:
-        raise ValueError(f"more than {max_keys} keys: use a pooled model instead")
-    keys = [r[0] for r in keys_df.collect()]
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        futures = {k: pool.submit(fit, data.filter(F.col(key) == F.lit(k))) for k in keys}
-        return {k: f.result() for k, f in futures.items()}
-
-
 __all__ = [n for n in dir() if not n.startswith("_")] + ["PipelineModel"]

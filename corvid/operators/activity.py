@@ -9,9 +9,10 @@ Plan shape (A08): one scan of the actions, one equi-join with the songs on
 ``song_id`` and ONE aggregation on (artist_id, Ds) with conditional counts.
 The aggregation has a map-side partial step, so only one row per
 (artist, day, task) crosses the shuffle even if one artist owns a third of
-all actions.  The song side is broadcast only after a bounded size probe;
-a large song table instead meets actions pre-aggregated per (song, day) in
-a shuffled join whose skewed partitions AQE splits.
+all actions.  Song attributes are parsed once per song, before the join;
+whether the songs are broadcast is left to the planner and AQE, which also
+splits a hot song's partition of a shuffled join.  ``Ds`` may be a date column
+too: days are then grouped as dates and only the result is formatted.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.functions.dates import age_bucket, days_since, reformat_ymd
-from corvid.operators.dims import DIM_BROADCAST_ROWS, has_at_most
+from corvid.functions.dates import add_days_ymd, age_bucket, days_since, reformat_ymd, ymd_to_date
 
 # The reference's action codes.
 PLAY, DOWNLOAD, FAVOUR = "1", "2", "3"
+# Fixed value: the test-day rule of the forecast split.
+TEST_DAYS = "day_num >= 150 or (day_num < 150 and day_num % 2 = 0)"
 
 
 def _num(c: str):
@@ -31,6 +33,10 @@ def _num(c: str):
     return F.col(c).cast("double")
 
 
+def _is_date(df: DataFrame, col: str) -> bool:
+    return df.schema[col].dataType.simpleString() == "date"
+
+
 def _joined(songs: DataFrame, actions: DataFrame, types, published_only: bool = False) -> DataFrame:
     s = songs.select("song_id", "artist_id", "publish_time", "song_init_plays",
                      "Language", "Gender")
@@ -45,76 +51,40 @@ def _joined(songs: DataFrame, actions: DataFrame, types, published_only: bool =
 
 
 def daily_activity(songs: DataFrame, actions: DataFrame, origin: str = "2015-03-01",
-                   require_plays: bool = True, published_only: bool = False,
-                   broadcast_rows: int = DIM_BROADCAST_ROWS) -> DataFrame:
+                   require_plays: bool = True, published_only: bool = False) -> DataFrame:
     """A08 in one pass: plays / downloads / favours per (artist, day).
 
     Play-side aggregates (init_count, pub_date, lang, gender, p_span) are
     taken over play rows only, as in the reference; a day without a download
     or favour gets 0 (P14); days without plays are dropped when
     ``require_plays`` (the plays side drives the reference's left joins).
-
-    Plan choice (probe reads at most ``broadcast_rows`` + 1 song rows):
-    * songs small -> broadcast hash join, then ONE aggregation on
-      (artist, day) with a map-side partial step: one small shuffle.
-    * songs large -> the actions are first aggregated per (song, day)
-      (map-side combine: many actions of a song on a day become one row),
-      and only those rows are shuffled to meet the songs; the song-level
-      attributes are then weighted by the per-song counts.
     """
-    if published_only or has_at_most(songs.select("song_id"), broadcast_rows):
-        out = _activity_joined_rows(F.broadcast(songs) if not published_only else songs,
-                                    actions, published_only)
-    else:
-        out = _activity_preaggregated(songs, actions)
-    if require_plays:
-        out = out.filter(F.col("plays") > 0)
-    return out.select(F.col("artist_id"), F.col("Ds").alias("ds"), "plays", "downloads", "favors",
-                      "init_count", F.date_format("_pub", "yyyyMMdd").alias("pub_date"),
-                      "lang", "gender", "p_span",
-                      days_since("Ds", origin).alias("day_num"))
-
-
-def _activity_joined_rows(songs: DataFrame, actions: DataFrame, published_only: bool) -> DataFrame:
-    j = _joined(songs, actions, (PLAY, DOWNLOAD, FAVOUR), published_only)
-    is_play = F.col("action_type") == PLAY
-    on_play = lambda c: F.when(is_play, c)
-    return (j.groupBy("artist_id", "Ds")
-            .agg(F.count_if(is_play).alias("plays"),
-                 F.count_if(F.col("action_type") == DOWNLOAD).alias("downloads"),
-                 F.count_if(F.col("action_type") == FAVOUR).alias("favors"),
-                 F.sum(on_play(_num("song_init_plays"))).alias("init_count"),
-                 # yyyyMMdd text: its max is the max date; a date keeps the
-                 # aggregation buffer fixed-width (hash aggregate, no sort)
-                 F.max(on_play(F.to_date("publish_time", "yyyyMMdd"))).alias("_pub"),
-                 F.avg(on_play(_num("Language"))).alias("lang"),
-                 F.avg(on_play(_num("Gender"))).alias("gender"),
-                 F.sum(on_play(_num("gmt_create"))).alias("p_span")))
-
-
-def _activity_preaggregated(songs: DataFrame, actions: DataFrame) -> DataFrame:
+    s = songs.select("song_id", "artist_id", ymd_to_date("publish_time").alias("_pub"),
+                     _num("song_init_plays").alias("_init"), _num("Language").alias("_lang"),
+                     _num("Gender").alias("_gender"))
     a = actions.select("song_id", "action_type", "Ds", "gmt_create") \
         .filter(F.col("action_type").isin(PLAY, DOWNLOAD, FAVOUR))
+    j = a.join(s, "song_id", "inner")
+    dates = _is_date(actions, "Ds")
+    if published_only:
+        j = j.filter(F.col("_pub") >= (F.col("Ds") if dates else ymd_to_date("Ds")))
     is_play = F.col("action_type") == PLAY
-    per_song = (a.groupBy("song_id", "Ds")
-                .agg(F.count_if(is_play).alias("n_play"),
-                     F.count_if(F.col("action_type") == DOWNLOAD).alias("n_down"),
-                     F.count_if(F.col("action_type") == FAVOUR).alias("n_fav"),
-                     F.sum(F.when(is_play, _num("gmt_create"))).alias("gmt_sum")))
-    s = songs.select("song_id", "artist_id", "publish_time", "song_init_plays", "Language", "Gender")
-    j = per_song.join(s, "song_id", "inner")
-    played = F.col("n_play") > 0
-    w = F.col("n_play").cast("double")
-    plays = F.sum("n_play")
-    return (j.groupBy("artist_id", "Ds")
-            .agg(plays.alias("plays"),
-                 F.sum("n_down").alias("downloads"),
-                 F.sum("n_fav").alias("favors"),
-                 F.sum(F.when(played, w * _num("song_init_plays"))).alias("init_count"),
-                 F.max(F.when(played, F.to_date("publish_time", "yyyyMMdd"))).alias("_pub"),
-                 (F.sum(F.when(played, w * _num("Language"))) / F.sum(F.when(played, w))).alias("lang"),
-                 (F.sum(F.when(played, w * _num("Gender"))) / F.sum(F.when(played, w))).alias("gender"),
-                 F.sum("gmt_sum").alias("p_span")))
+    on_play = lambda c: F.when(is_play, c)
+    out = (j.groupBy("artist_id", "Ds")
+           .agg(F.count_if(is_play).alias("plays"),
+                F.count_if(F.col("action_type") == DOWNLOAD).alias("downloads"),
+                F.count_if(F.col("action_type") == FAVOUR).alias("favors"),
+                F.sum(on_play(F.col("_init"))).alias("init_count"),
+                F.max(on_play(F.col("_pub"))).alias("_pub"),
+                F.avg(on_play(F.col("_lang"))).alias("lang"),
+                F.avg(on_play(F.col("_gender"))).alias("gender"),
+                F.sum(on_play(_num("gmt_create"))).alias("p_span")))
+    if require_plays:
+        out = out.filter(F.col("plays") > 0)
+    ds = F.date_format("Ds", "yyyyMMdd") if dates else F.col("Ds")
+    return out.select("artist_id", ds.alias("ds"), "plays", "downloads", "favors", "init_count",
+                      F.date_format("_pub", "yyyyMMdd").alias("pub_date"), "lang", "gender", "p_span",
+                      days_since("Ds", origin, None if dates else "yyyyMMdd").alias("day_num"))
 
 
 def daily_activity_joined(songs: DataFrame, actions: DataFrame, origin: str = "2015-03-01",
@@ -186,7 +156,7 @@ FEATURE_COLS = ["downloads", "favors", "day_num", "init_count", "pub_bucket", "l
 
 
 def renumber_days(df: DataFrame, day_col: str = "day_num", by: str = "artist_id",
-                  keep: str = "day_num >= 150 or (day_num < 150 and day_num % 2 = 0)",
+                  keep: str = TEST_DAYS,
                   base: int = 180) -> DataFrame:
     """W01 + P04: keep the test days, then day = base + position by day desc.
 
@@ -198,7 +168,7 @@ def renumber_days(df: DataFrame, day_col: str = "day_num", by: str = "artist_id"
 
 
 def train_test_days(features: DataFrame, train_below: float = 200,
-                    keep: str = "day_num >= 150 or (day_num < 150 and day_num % 2 = 0)",
+                    keep: str = TEST_DAYS,
                     base: int = 180) -> tuple[DataFrame, DataFrame]:
     """Training rows (day < ``train_below``) and renumbered test rows."""
     train = features.filter(F.col("day_num") < train_below)
@@ -216,24 +186,11 @@ def forecast_dates(pred: DataFrame, start: str, horizon: int = 60, by: str = "ar
     return (pred.withColumn("_rn", rn).filter(F.col("_rn") <= horizon)
             .select(F.col(by).alias("artist_id"),
                     F.floor(F.col(value)).cast("int").alias("plays"),
-                    F.date_format(F.date_add(F.lit(start).cast("date"), F.col("_rn") - 1),
-                                  "yyyyMMdd").alias("ds")))
-
-
-def trend_per_artist(activity: DataFrame, by: str = "artist_id", y: str = "plays",
-                     x: str = "day_num") -> DataFrame:
-    """Closed-form one-feature least squares per artist (``regr_*``).
-
-    One grouped aggregation with partial aggregation: the per-artist model
-    costs one shuffle of a few numbers per (artist, task), however many
-    artists there are -- the scalable alternative to a driver loop of fits.
-    """
-    return activity.groupBy(by).agg(F.regr_slope(F.col(y), F.col(x)).alias("slope"),
-                                    F.regr_intercept(F.col(y), F.col(x)).alias("intercept"))
+                    add_days_ymd(start, F.col("_rn") - 1).alias("ds")))
 
 
 def trend_forecast(activity: DataFrame, train_below: float, start: str, horizon: int = 60,
-                   keep: str = "day_num >= 150 or (day_num < 150 and day_num % 2 = 0)",
+                   keep: str = TEST_DAYS,
                    base: int = 180, by: str = "artist_id") -> DataFrame:
     """W01 + W02 + M06 in one pass over the activity table.
 

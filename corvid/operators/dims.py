@@ -1,104 +1,54 @@
 """Keep rows whose key (or key pair) is in a dimension.
 
-* key list on the driver: 0 keys -> constant-false filter (schema kept);
-  up to ``list_limit`` keys -> ``isin`` / OR chain, which Catalyst turns into
-  an In/InSet predicate pushed into the Parquet scan; more keys -> a small
-  DataFrame of the keys joined LEFT SEMI with a broadcast hint (its size is
-  the list length, known on the driver).
-* key table (one key column): at most ``list_limit`` key rows (bounded
-  probe) -> those keys become the literal predicate above, like the
-  reference's collected key list; otherwise a LEFT SEMI join.
-* LEFT SEMI join: the broadcast hint is only given after a bounded probe
-  proves the key side has at most ``broadcast_rows`` rows; otherwise the
-  planner shuffles both sides (and AQE may still switch to a broadcast from
-  run-time sizes, or split a skewed key's partition).
-
-Null keys never match (semi-join semantics).
+One rule whatever the number of keys: keys take the type of the column they are
+compared with (a key that is no value of that type matches nothing), null keys
+and null cells never match.  Keys held by the caller are literals, so Catalyst
+can push the predicate into the Parquet scan; a key table is a LEFT SEMI join,
+whose physical form the planner and AQE choose from byte sizes.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LIST_LIMIT = 10
-# Key-only sides (one or two columns, ~16-32 bytes a row): up to 1M rows is
-# a broadcast of a few tens of MB.  Wider dimension rows get a lower bound.
-BROADCAST_ROWS = 1_000_000
-DIM_BROADCAST_ROWS = 200_000
-
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """Bounded size probe: at most n + 1 one-int rows reach the driver.
+def _literals(values, dtype) -> list[Column]:
+    return [F.lit(v).try_cast(dtype) for v in values if v is not None]
 
-    ``take`` scans partitions incrementally (1, then 4x more per round), so a
-    large input is recognised after reading a few of its splits, and a small
-    one -- which is about to be broadcast anyway -- is read once."""
-    return len(df.select(F.lit(1).alias("_one")).limit(n + 1).take(n + 1)) <= n
 
+def _key_table(keys: DataFrame, df: DataFrame, names: list[str]) -> DataFrame:
+    """The first columns of ``keys`` under the names and types of the columns of ``df``."""
+    cols = [F.col(f"`{k}`").try_cast(df.schema[n].dataType).alias(n) for k, n in zip(keys.columns, names)]
+    return keys.select(*cols).dropna()
 
-def _semi(df: DataFrame, keys: DataFrame, names: list[str], broadcast_rows: int) -> DataFrame:
-    k = keys.select(*names)
-    if has_at_most(k, broadcast_rows):
-        k = F.broadcast(k)
-    return df.join(k, names, "left_semi")
 
+def filter_dimension(df: DataFrame, keys, name: str) -> DataFrame:
+    """One key column; ``keys`` is a list (none: no rows) or a table's first column."""
+    if isinstance(keys, DataFrame):
+        return df.join(_key_table(keys, df, [name]), name, "left_semi")
+    return df.filter(F.col(name).isin(_literals(keys, df.schema[name].dataType)))
 
-def filter_dimension(df: DataFrame, keys, name: str, *, list_limit: int = LIST_LIMIT,
-                     broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """One key column.
 
-    A key table with at most ``list_limit`` distinct keys (bounded probe)
-    becomes a literal key list -- a predicate Parquet evaluates in the scan;
-    a larger one a LEFT SEMI join (broadcast behind its own size probe)."""
-    if isinstance(keys, DataFrame):
-        k = keys.select(F.col(keys.columns[0]).alias(name))
-        if has_at_most(k, list_limit):  # like the reference: key rows counted as read
-            few = list(dict.fromkeys(r[0] for r in k.take(list_limit)))
-            return filter_dimension(df, few, name, list_limit=list_limit)
-        return _semi(df, keys, [name], broadcast_rows)
-    keys = list(keys)
-    if not keys:
-        return df.filter(F.lit(False))
-    if len(keys) <= list_limit:
-        return df.filter(reduce(lambda a, b: a | b, [F.col(name) == F.lit(k) for k in keys]))
-    if len(keys) <= broadcast_rows:
-        kdf = df.sparkSession.createDataFrame([(k,) for k in keys], df.select(name).schema)
-        return df.join(F.broadcast(kdf), name, "left_semi")
-    return df.filter(F.col(name).isin(keys))
-
-
-def filter_dimension_pairs(df: DataFrame, keys, name1: str, name2: str, *,
-                           list_limit: int = LIST_LIMIT,
-                           broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Pair membership on two columns."""
+def filter_dimension_pairs(df: DataFrame, keys, name1: str, name2: str) -> DataFrame:
+    """Membership of two columns in a list of pairs or the first two columns of a table."""
+    names = [name1, name2]
     if isinstance(keys, DataFrame):
-        return _semi(df, keys, [name1, name2], broadcast_rows)
-    keys = list(keys)
-    if not keys:
-        return df.filter(F.lit(False))
-    if len(keys) <= list_limit:
-        conds = [(F.col(name1) == F.lit(a)) & (F.col(name2) == F.lit(b)) for a, b in keys]
-        return df.filter(reduce(lambda x, y: x | y, conds))
-    kdf = df.sparkSession.createDataFrame(keys, df.select(name1, name2).schema)
-    return df.join(F.broadcast(kdf), [name1, name2], "left_semi")
+        return df.join(_key_table(keys, df, names), names, "left_semi")
+    types = [df.schema[n].dataType for n in names]
+    pairs = [F.struct(*[F.lit(v).try_cast(t).alias(n) for v, t, n in zip(pair, types, names)])
+             for pair in keys if None not in pair]
+    return df.filter(F.col(name1).isNotNull() & F.col(name2).isNotNull() & F.struct(*names).isin(pairs))
 
 
-# Named presets (the evident intent of the reference's helpers).
-def filter_products(df: DataFrame, keys, name: str = "productKey", **kw) -> DataFrame:
-    if isinstance(keys, (str, int)):
-        keys = [keys]
-    return filter_dimension(df, keys, name, **kw)
+# Named presets; one key may be given without a list.
+def filter_products(df: DataFrame, keys, name: str = "productKey") -> DataFrame:
+    return filter_dimension(df, [keys] if isinstance(keys, (str, int)) else keys, name)
 
 
-def filter_locations(df: DataFrame, keys, name: str = "locationKey", **kw) -> DataFrame:
-    if isinstance(keys, (str, int)):
-        keys = [keys]
-    return filter_dimension(df, keys, name, **kw)
+def filter_locations(df: DataFrame, keys, name: str = "locationKey") -> DataFrame:
+    return filter_dimension(df, [keys] if isinstance(keys, (str, int)) else keys, name)
 
 
-def filter_nodes(df: DataFrame, keys, name1: str = "nodeKey", name2: str = "nodeTypeFlag",
-                 **kw) -> DataFrame:
-    return filter_dimension_pairs(df, keys, name1, name2, **kw)
+def filter_nodes(df: DataFrame, keys, name1: str = "nodeKey", name2: str = "nodeTypeFlag") -> DataFrame:
+    return filter_dimension_pairs(df, keys, name1, name2)

@@ -1,62 +1,33 @@
 """Multi-key and multi-table enrichment joins.
 
-Dimension sides get a broadcast hint only after a bounded size probe
-(:func:`corvid.operators.dims.has_at_most`); a dimension that turns out
-large is joined with a shuffle instead.
+No join is hinted: the planner broadcasts a side only when its byte size is
+below the session's limit, and AQE converts or splits from run-time bytes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from corvid.operators.dims import DIM_BROADCAST_ROWS as BROADCAST_ROWS, has_at_most
 
+def join_on_keys(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on several key columns (e.g. year, month, day)."""
+    return fact.join(dim, keys, how)
 
-def maybe_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint after a bounded probe (cheap for a scan or a filter of one)."""
-    return F.broadcast(dim) if has_at_most(dim, max_rows) else dim
 
-
-def materialize(dim: DataFrame, name: str = "dim") -> DataFrame:
-    """Write a derived table (e.g. an aggregate) once into the shared scratch
-    folder and read it back: probing its size and joining it then cost no
-    second computation, and the lineage is cut (survives executor loss)."""
-    from corvid.session import scratch_path
-    path = scratch_path(dim.sparkSession, name)
-    dim.write.mode("overwrite").parquet(path)
-    return dim.sparkSession.read.parquet(path)
-
-
-def broadcast_derived(dim: DataFrame, max_rows: int = BROADCAST_ROWS, name: str = "dim") -> DataFrame:
-    """A derived dimension: materialize, then broadcast only if the bound holds."""
-    return maybe_broadcast(materialize(dim, name), max_rows)
-
-
-def join_on_keys(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner",
-                 max_rows: int = BROADCAST_ROWS, derived: bool = False) -> DataFrame:
-    """Equi-join on several key columns (e.g. year, month, day).
-
-    ``derived=True`` for a dimension that is itself an aggregate: it is
-    materialized once instead of being computed for the probe and again
-    for the join."""
-    d = broadcast_derived(dim, max_rows) if derived else maybe_broadcast(dim, max_rows)
-    return fact.join(d, keys, how)
-
-
-def enrich(fact: DataFrame, dims: list[tuple[DataFrame, Column | str | list[str]]],
-           how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def enrich(fact: DataFrame, dims: list[tuple[DataFrame, Column | str | list[str]]], how: str = "inner") -> DataFrame:
     """Fact joined with a chain of dimensions, each on its own keys."""
     out = fact
     for dim, on in dims:
-        out = out.join(maybe_broadcast(dim, max_rows), on, how)
+        out = out.join(dim, on, how)
     return out
 
 
 def enrich_where(rows: DataFrame, dim: DataFrame, cond: Column) -> DataFrame:
-    """Join without a key, then keep pairs meeting ``cond``.
+    """Rows joined with a dimension by a condition, which must hold an equality.
 
-    Written as a conditioned join so Catalyst plans it as a hash join on
-    the equality inside ``cond`` -- no cartesian product is formed.
-    """
-    return rows.join(dim, cond, "inner")
+    Without one Spark could only compare every pair of rows; that raises."""
+    out = rows.join(dim, cond, "inner")
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    if "CartesianProduct" in plan or "NestedLoopJoin" in plan:
+        raise ValueError("the join condition has no equality between the two sides")
+    return out

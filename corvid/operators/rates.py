@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def count_where(df: DataFrame, by, cond: Column, name: str = "n") -> DataFrame:
-    """Per group, the number of rows meeting ``cond``."""
-    return df.groupBy(by).agg(F.count_if(cond).alias(name))
+def count_where(df: DataFrame, by, cond: Column, name: str = "n", all_name: str = "n_rows") -> DataFrame:
+    """Per group, the number of rows meeting ``cond`` and of all rows."""
+    return df.groupBy(by).agg(F.count_if(cond).alias(name), F.count(F.lit(1)).alias(all_name))
 
 
 def rate_table(df: DataFrame, type_col: str, flag: Column) -> DataFrame:
@@ -21,17 +21,12 @@ def rate_table(df: DataFrame, type_col: str, flag: Column) -> DataFrame:
     evident intent, flagged / all rows; the reference divides by the type
     total there, which repeats the rate.)
 
-    One grouped pass (map-side partial aggregation) gives the per-type
-    counts; that small result is written once to the shared scratch folder,
-    so the two global totals -- two numbers -- are read from it without
-    aggregating the input a second time, and enter the plan as literals.
+    One grouped pass (map-side partial aggregation) gives the per-type counts;
+    the two totals are scalar subqueries over it, whose exchange Spark reuses.
     """
-    from corvid.operators.joins import materialize
-    per = materialize(df.groupBy(type_col)
-                      .agg(F.count_if(flag).alias("num_flagged"), F.count(F.lit(1)).alias("num_rows")),
-                      "rate-per-type")
-    tot = per.agg(F.sum("num_flagged").alias("f"), F.sum("num_rows").alias("r")).first()
-    all_flagged, all_rows = F.lit(tot["f"] or 0).cast("double"), F.lit(tot["r"] or 0).cast("double")
+    per = count_where(df, type_col, flag, "num_flagged", "num_rows")
+    all_flagged = per.agg(F.sum("num_flagged").cast("double")).scalar()
+    all_rows = per.agg(F.sum("num_rows").cast("double")).scalar()
     out = (per.filter((F.col("num_flagged") > 0) & F.col(type_col).isNotNull())
            .select(F.col(type_col),
                    (F.col("num_flagged") / F.col("num_rows")).alias("rate"),

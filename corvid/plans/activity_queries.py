@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from corvid.operators import activity as act
 from corvid.plans.registry import query
 from corvid.plans.standins import ACTIONS_SQL, ORIGIN, SONGS_SQL, actions_view, songs_view
+from corvid.session import scratch_path
+from corvid.sinks.files import forecast_lines, write_text
+from corvid.sources.files import read_text_lines
 from corvid.sources.tables import load_table
 
 
-def _inputs(spark, sf):
+def _inputs(spark, sf, text_days: bool = True):
     return (songs_view(load_table(spark, sf, "part")),
-            actions_view(load_table(spark, sf, "lineitem", spread=True)))
+            actions_view(load_table(spark, sf, "lineitem"), text_days))
 
 
 def _r(c, n=6):
@@ -48,7 +51,7 @@ HAVING count(*) FILTER (WHERE action_type = '1') > 0"""
 
 @query("daily_activity", DAILY_ACTIVITY_SQL, ("J01", "A03", "A08", "P14", "F11"))
 def q_daily_activity(spark, sf):
-    songs, actions = _inputs(spark, sf)
+    songs, actions = _inputs(spark, sf, text_days=False)
     return _activity_out(act.daily_activity(songs, actions, origin=ORIGIN))
 
 
@@ -100,7 +103,7 @@ def q_daily_report(spark, sf):
     return act.daily_report(songs, actions)
 
 
-_KEEP = "day_num >= 150 or (day_num < 150 and day_num % 2 = 0)"
+_KEEP = act.TEST_DAYS
 
 
 @query("renumber_days", _ACT_CTE + """
@@ -108,7 +111,7 @@ SELECT artist_id, ds, day_num,
        CAST(180 + row_number() OVER (PARTITION BY artist_id ORDER BY day_num DESC) AS BIGINT) AS new_day
 FROM act WHERE day_num >= 150 OR (day_num < 150 AND day_num % 2 = 0)""", ("W01", "P04", "M24"))
 def q_renumber_days(spark, sf):
-    songs, actions = _inputs(spark, sf)
+    songs, actions = _inputs(spark, sf, text_days=False)
     a = act.daily_activity(songs, actions, origin=ORIGIN)
     return act.renumber_days(a, keep=_KEEP).select("artist_id", "ds", "day_num", "new_day")
 
@@ -129,8 +132,40 @@ pred AS (SELECT t.artist_id, t.new_day, round(round(c.i, 6) + round(c.s, 6) * t.
          FROM test t JOIN coef c USING (artist_id))
 SELECT artist_id, CAST(floor(prediction) AS INTEGER) AS plays,
        strftime(DATE '{_FORECAST_START}' + CAST(rn - 1 AS INTEGER), '%Y%m%d') AS ds
-FROM pred WHERE rn <= 60""", ("W02", "F13", "F14", "K03", "M06"))
+FROM pred WHERE rn <= 60""", ("W02", "F13", "F14", "M06"))
 def q_forecast_dates(spark, sf):
-    songs, actions = _inputs(spark, sf)
+    songs, actions = _inputs(spark, sf, text_days=False)
     a = act.daily_activity(songs, actions, origin=ORIGIN)
     return act.trend_forecast(a, _TRAIN_BELOW, _FORECAST_START, 60, keep=_KEEP)
+
+
+@query("published_activity", _WITH + f""",
+j AS (SELECT a.action_type, a.Ds, s.artist_id FROM actions a JOIN songs s USING (song_id)
+      WHERE s.publish_time >= a.Ds)
+SELECT artist_id, Ds AS ds, count(*) FILTER (WHERE action_type = '1') AS plays,
+       count(*) FILTER (WHERE action_type = '2') AS downloads,
+       count(*) FILTER (WHERE action_type = '3') AS favors
+FROM j GROUP BY artist_id, Ds HAVING count(*) FILTER (WHERE action_type = '1') > 0""", ("P17",))
+def q_published_activity(spark, sf):
+    songs, actions = _inputs(spark, sf, text_days=False)
+    return act.daily_activity(songs, actions, origin=ORIGIN, published_only=True).select(*_ACTIVITY_COLS)
+
+
+@query("forecast_file", _ACT_CTE + f""",
+coef AS (SELECT artist_id, regr_slope(plays, day_num) AS s, regr_intercept(plays, day_num) AS i
+         FROM act WHERE day_num < {_TRAIN_BELOW} GROUP BY artist_id),
+test AS (SELECT artist_id, 180 + row_number() OVER (PARTITION BY artist_id ORDER BY day_num DESC) AS new_day
+         FROM act WHERE {_KEEP}),
+pred AS (SELECT t.artist_id, round(round(c.i, 6) + round(c.s, 6) * t.new_day, 6) AS prediction,
+                row_number() OVER (PARTITION BY t.artist_id ORDER BY t.new_day) AS rn
+         FROM test t JOIN coef c USING (artist_id))
+SELECT artist_id || ',' || CAST(floor(prediction) AS INTEGER) || ','
+       || strftime(DATE '{_FORECAST_START}' + CAST(rn - 1 AS INTEGER), '%Y%m%d') AS line
+FROM pred WHERE rn <= 60""", ("K03", "K01", "F13"))
+def q_forecast_file(spark, sf):
+    """The forecast written as text lines artist,plays,day and read back."""
+    songs, actions = _inputs(spark, sf, text_days=False)
+    activity = act.daily_activity(songs, actions, origin=ORIGIN)
+    path = scratch_path(spark, "forecast")
+    write_text(forecast_lines(act.trend_forecast(activity, _TRAIN_BELOW, _FORECAST_START, 60)), path)
+    return read_text_lines(spark, path).withColumnRenamed("value", "line")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corvid.functions.dates import age_bucket, calendar_parts
-from corvid.functions.strings import uri_component
+from corvid.functions.dates import age_bucket, calendar_parts, parse_local_timestamp
+from corvid.functions.strings import eq_number, eq_optional, text_is_true, uri_component
 from corvid.operators import dims, joins, rates, shape
 from corvid.plans.registry import query
 from corvid.plans.standins import SONGS_SQL, songs_view
+from corvid.sources.files import clean_names, drop_position
 from corvid.sources.tables import load_table, register_tables
 
 
@@ -47,7 +48,7 @@ def q_global_aggs(spark, sf):
 
 @query("like_filter", """
 SELECT c_custkey, c_name, c_mktsegment FROM customer
-WHERE c_name LIKE '%0001%' AND c_mktsegment = 'BUILDING'""", ("P06", "P07"))
+WHERE c_name LIKE '%0001%' AND c_mktsegment = 'BUILDING'""", ("P06",))
 def q_like_filter(spark, sf):
     c = T(spark, sf, "customer")
     return c.filter(F.col("c_name").like("%0001%") & (F.col("c_mktsegment") == "BUILDING")) \
@@ -69,7 +70,7 @@ def q_join_three_keys(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("qty")))
     od = o.select("o_orderkey", F.year("o_orderdate").alias("year"),
                   F.month("o_orderdate").alias("month"), F.dayofmonth("o_orderdate").alias("day"))
-    out = joins.join_on_keys(od, ship, ["year", "month", "day"], derived=True)
+    out = joins.join_on_keys(od, ship, ["year", "month", "day"])
     return out.select("o_orderkey", "year", "month", "day", "n_lines", F.round("qty", 4).alias("qty"))
 
 
@@ -208,14 +209,12 @@ _LARGE_DIM = "SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000"
 
 @query("dim_filter_small", _DIM_SELECT + f" WHERE l_suppkey IN ({_SMALL_DIM})", ("J06", "J08"))
 def q_dim_filter_small(spark, sf):
-    """Few keys (<= 10 at sf0.01): the keys become a predicate pushed into the scan."""
     keys = T(spark, sf, "supplier").filter(F.col("s_nationkey") == 7).select(F.col("s_suppkey").alias("l_suppkey"))
     return dims.filter_products(T(spark, sf, "lineitem"), keys, name="l_suppkey").select(*_DIM_COLS)
 
 
-@query("dim_filter_list", _DIM_SELECT + f" WHERE l_suppkey IN ({_LARGE_DIM})", ("J06", "U01"))
+@query("dim_filter_list", _DIM_SELECT + f" WHERE l_suppkey IN ({_LARGE_DIM})", ("J06",))
 def q_dim_filter_list(spark, sf):
-    """Many keys: LEFT SEMI join, broadcast after the size probe."""
     keys = T(spark, sf, "supplier").filter(F.col("s_acctbal") > 5000).select(F.col("s_suppkey").alias("l_suppkey"))
     return dims.filter_dimension(T(spark, sf, "lineitem"), keys, "l_suppkey").select(*_DIM_COLS)
 
@@ -233,3 +232,68 @@ _URI_SQL = ("SELECT page_id, replace(replace(replace(replace(replace(url_encode(
 def q_uri_encode(spark, sf):
     p = T(spark, sf, "pages")
     return p.select("page_id", uri_component("url").alias("encoded"))
+
+
+_KEYS = [str(i) for i in range(1, 40, 3)]
+
+
+@query("dim_filter_keys", _DIM_SELECT + f" WHERE l_partkey IN ({', '.join(_KEYS)})", ("J06", "U01"))
+def q_dim_filter_keys(spark, sf):
+    """A list of text keys on a number column."""
+    return dims.filter_dimension(T(spark, sf, "lineitem"), [*_KEYS, None], "l_partkey").select(*_DIM_COLS)
+
+
+_PAIRS = [(i, i % 4 + 1) for i in range(1, 60)]
+
+
+@query("dim_filter_pair_list", _DIM_SELECT + " WHERE (l_partkey, l_linenumber) IN ("
+       + ", ".join(f"({a}, {b})" for a, b in _PAIRS) + ")", ("J07", "J08", "U02"))
+def q_dim_filter_pair_list(spark, sf):
+    pairs = [(str(a), str(b)) for a, b in _PAIRS]
+    return dims.filter_nodes(T(spark, sf, "lineitem"), pairs, "l_partkey", "l_linenumber").select(*_DIM_COLS)
+
+
+@query("predicate_columns", """
+SELECT c_custkey, c_nationkey = 7 AS number_equal, c_mktsegment = 'BUILDING' AS optional_equal,
+       false AS optional_none, c_acctbal > 0 AS text_true FROM customer""", ("P05", "P07", "P08"))
+def q_predicate_columns(spark, sf):
+    c = T(spark, sf, "customer").withColumn("nation", F.col("c_nationkey").cast("string")) \
+        .withColumn("flag", F.when(F.col("c_acctbal") > 0, "True ").otherwise("no"))
+    return c.select("c_custkey", eq_number("nation", 7).alias("number_equal"),
+                    eq_optional("c_mktsegment", "BUILDING").alias("optional_equal"),
+                    eq_optional("c_mktsegment", None).alias("optional_none"), text_is_true("flag").alias("text_true"))
+
+
+@query("clean_columns", "SELECT r_regionkey AS region_key, r_name AS a_b FROM region", ("P12", "P13"))
+def q_clean_columns(spark, sf):
+    r = T(spark, sf, "region").select(F.col("r_regionkey").alias(" region key"), F.lit(1).alias("x"),
+                                      F.col("r_name").alias("a+b "))
+    return clean_names(drop_position(r, 1))
+
+
+@query("missing_as_nan", """
+SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal ELSE 'NaN'::DOUBLE END AS balance FROM customer""", ("P15",))
+def q_missing_as_nan(spark, sf):
+    from corvid.ml.models import nan_for_missing
+    c = T(spark, sf, "customer").select("c_custkey", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("balance"))
+    return nan_for_missing(c, ["balance"])
+
+
+@query("sorted_top", """
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 50""", ("O01", "O04"))
+def q_sorted_top(spark, sf):
+    return shape.shape(T(spark, sf, "orders"), select="o_orderkey,o_totalprice",
+                       order_by="o_totalprice desc,o_orderkey asc", limit=50)
+
+
+@query("text_timestamp_parts", """
+SELECT event_id, CAST(year(t) AS INTEGER) AS year, CAST(month(t) AS INTEGER) AS month, CAST(day(t) AS INTEGER) AS day,
+       CAST(weekofyear(t) AS INTEGER) AS week_num, CAST(hour(t) AS INTEGER) AS hour_of_day,
+       CASE WHEN dayofweek(t) IN (0, 6) THEN 1 ELSE 0 END AS weekend,
+       CAST((month(t) % 12) // 3 + 1 AS INTEGER) AS season, CAST(dayofweek(t) + 1 AS INTEGER) AS week_day
+FROM (SELECT event_id, date_trunc('second', ts) + INTERVAL 5 HOUR AS t FROM events) e""", ("F18",))
+def q_text_timestamp_parts(spark, sf):
+    """Timestamps as text in a zone five hours behind UTC, parsed and split into calendar parts."""
+    e = T(spark, sf, "events").select("event_id", F.date_format("ts", "MM/dd/yyyy hh:mm:ss a").alias("text"))
+    return e.select("event_id", parse_local_timestamp("text", zone="-05:00").alias("t")) \
+        .select("event_id", *calendar_parts("t"))

@@ -11,7 +11,7 @@ from corvid.operators import activity as act
 from corvid.operators import joins
 from corvid.operators import text
 from corvid.plans.registry import query
-from corvid.plans.standins import ORIGIN, PUB_REFERENCE, actions_view, songs_view
+from corvid.plans.standins import ACTIONS_SQL, ORIGIN, PUB_REFERENCE, SONGS_SQL, actions_view, songs_view
 from corvid.sources.tables import load_table
 
 _TRAIN_BELOW = 1800
@@ -20,19 +20,19 @@ _FORECAST_START = "2001-12-01"
 
 def _features(spark, sf):
     songs = songs_view(load_table(spark, sf, "part"))
-    actions = actions_view(load_table(spark, sf, "lineitem", spread=True))
+    actions = actions_view(load_table(spark, sf, "lineitem"))
     feats = act.forecast_features(act.daily_activity(songs, actions, origin=ORIGIN), PUB_REFERENCE)
-    # pooled model over all artists: the artist is one more (indexed) feature
-    feats = ml.categorical(feats, ["artist_id"])
-    return ml.assemble(feats, act.FEATURE_COLS + ["artist_id_idx"])
+    # one model over all artists: the artist enters as its mean label on training days
+    feats = ml.encode_key(feats, "artist_id", "label", F.col("day_num") < _TRAIN_BELOW, "artist_mean")
+    return ml.assemble(feats, act.FEATURE_COLS + ["artist_mean"])
 
 
 @query("tree_forecast", None, ("M03", "M23", "M24", "M25", "K03", "W02"))
 def q_tree_forecast(spark, sf):
-    data = _features(spark, sf)
+    data = _features(spark, sf).cache()
     train, test = act.train_test_days(data.drop("features"), train_below=_TRAIN_BELOW)
-    train = ml.assemble(train, act.FEATURE_COLS + ["artist_id_idx"])
-    test = ml.assemble(test, act.FEATURE_COLS + ["artist_id_idx"])
+    train = ml.assemble(train, act.FEATURE_COLS + ["artist_mean"])
+    test = ml.assemble(test, act.FEATURE_COLS + ["artist_mean"])
     _, pred = ml.decision_tree(data, train, test)
     return act.forecast_dates(pred, _FORECAST_START, 60, order_col="day_num")
 
@@ -95,7 +95,7 @@ def q_kmeans(spark, sf):
 
 @query("logistic_multiclass", None, ("M08",))
 def q_logistic(spark, sf):
-    _, pred, acc = ml.logistic_multiclass(_embeddings(spark, sf))
+    _, pred, acc = ml.logistic_multiclass(_embeddings(spark, sf), "vec_id")
     return pred.withColumn("accuracy", F.lit(acc))
 
 
@@ -104,12 +104,13 @@ def q_mlp(spark, sf):
     data = _embeddings(spark, sf)
     n = len(data.select("embedding").first()[0])
     train, test = ml.hash_split(data, "vec_id", 80)
-    m = ml.mlp_classifier(train, n, 10, epochs=10)
+    classes = int(data.agg(F.max("label")).first()[0]) + 1
+    m = ml.mlp_classifier(train, n, classes, epochs=10)
     return m.transform(test).select("vec_id", "label", "prediction")
 
 
 def _doc_tokens(spark, sf):
-    docs = load_table(spark, sf, "documents", spread=True)
+    docs = load_table(spark, sf, "documents")
     return text.message_tokens(docs, "text", keep=("doc_id",))
 
 
@@ -149,7 +150,7 @@ def q_spam_score(spark, sf):
 
 @query("word2vec_titles", None, ("M19", "M20", "M21", "A13"))
 def q_word2vec_titles(spark, sf):
-    toks = text.title_tokens(load_table(spark, sf, "documents", spread=True))
+    toks = text.title_tokens(load_table(spark, sf, "documents"))
     model, vecs = ml.word2vec(toks)
     return vecs.select("doc_id", "n_tokens", vector_to_array("vector").alias("vector"))
 
@@ -187,7 +188,7 @@ def q_crime_model(spark, sf):
 
 @query("word2vec_synonyms", None, ("M19",))
 def q_word2vec_synonyms(spark, sf):
-    toks = text.title_tokens(load_table(spark, sf, "documents", spread=True))
+    toks = text.title_tokens(load_table(spark, sf, "documents"))
     model, _ = ml.word2vec(toks)
     top = (toks.select(F.explode("tokens").alias("w")).groupBy("w").count()
            .orderBy(F.col("count").desc(), F.col("w")).limit(1).first())
@@ -220,3 +221,79 @@ def q_ols_two_features(spark, sf):
     return fit.select(F.round("coef_quantity", 4).alias("coef_quantity"),
                       F.round("coef_discount", 2).alias("coef_discount"),
                       F.round("intercept", 2).alias("intercept"), F.round("r2", 6).alias("r2"))
+
+
+_ACT_LABEL_SQL = f"""
+WITH songs AS ({SONGS_SQL}), actions AS ({ACTIONS_SQL}),
+act AS (SELECT artist_id, CAST(count(*) FILTER (WHERE action_type = '1') AS DOUBLE) AS label,
+               date_diff('day', DATE '{ORIGIN}', strptime(Ds, '%Y%m%d')::DATE) AS day_num
+        FROM actions JOIN songs USING (song_id) GROUP BY artist_id, Ds
+        HAVING count(*) FILTER (WHERE action_type = '1') > 0)"""
+
+
+@query("artist_encoding", _ACT_LABEL_SQL + f"""
+SELECT artist_id, count(*) AS n_days, round(coalesce(avg(label) FILTER (WHERE day_num < {_TRAIN_BELOW}),
+       (SELECT avg(label) FROM act WHERE day_num < {_TRAIN_BELOW})), 6) AS artist_mean
+FROM act GROUP BY artist_id""", ("M23", "M25"))
+def q_artist_encoding(spark, sf):
+    """The numeric artist feature of the pooled forecast models, for any number of artists."""
+    return _features(spark, sf).groupBy("artist_id").agg(
+        F.count(F.lit(1)).alias("n_days"), F.round(F.first("artist_mean"), 6).alias("artist_mean"))
+
+
+@query("hash_split_rows", """
+SELECT o_orderkey, ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|0'), 1, 8))::BIGINT % 100 < 80 AS train
+FROM orders""", ("M14",))
+def q_hash_split_rows(spark, sf):
+    orders = load_table(spark, sf, "orders").select("o_orderkey")
+    train, test = ml.hash_split(orders, "o_orderkey", 80)
+    return train.withColumn("train", F.lit(True)).unionByName(test.withColumn("train", F.lit(False)))
+
+
+@query("category_index", """
+SELECT value, CAST(row_number() OVER (ORDER BY n DESC, value) - 1 AS DOUBLE) AS idx
+FROM (SELECT o_orderpriority AS value, count(*) AS n FROM orders GROUP BY 1) t""", ("P16",))
+def q_category_index(spark, sf):
+    rows = ml.categorical(load_table(spark, sf, "orders").select(F.col("o_orderpriority").alias("value")), ["value"])
+    return rows.select("value", F.col("value_idx").alias("idx")).distinct()
+
+
+@query("auc_exact", """
+WITH r AS (SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y,
+                  rank() OVER (ORDER BY o_totalprice) + (count(*) OVER (PARTITION BY o_totalprice) - 1) / 2.0 AS rk
+           FROM orders)
+SELECT round((sum(rk) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))), 8) AS auc
+FROM r""", ("M15", "M09"))
+def q_auc_exact(spark, sf):
+    """Area under ROC of a plain score column, without binning (ties count half)."""
+    rows = load_table(spark, sf, "orders").select(F.col("o_totalprice").alias("rawPrediction"),
+                                                  (F.col("o_orderstatus") == "F").cast("double").alias("label"))
+    auc = ml.BinaryClassificationEvaluator(numBins=0).evaluate(rows)
+    return spark.range(1).select(F.round(F.lit(float(auc)), 8).alias("auc"))
+
+
+@query("ridge_closed_form", """
+WITH m AS (SELECT count(*) AS n, avg(l_quantity) AS mx, avg(l_extendedprice) AS my,
+                  stddev_samp(l_quantity) AS sx, stddev_samp(l_extendedprice) AS sy,
+                  covar_pop(l_quantity, l_extendedprice) AS cxy, var_pop(l_quantity) AS vx FROM lineitem),
+b AS (SELECT (cxy / sx) / (vx / (sx * sx) + 0.3 / sy) / sx AS b1, * FROM m)
+SELECT round(b1, 2) AS slope, round(my - b1 * mx, 1) AS intercept FROM b""", ("M07",))
+def q_ridge_closed_form(spark, sf):
+    """Ridge on one feature: Spark standardises feature and label by the sample deviation."""
+    li = load_table(spark, sf, "lineitem").select(F.col("l_extendedprice").alias("label"), "l_quantity")
+    m, _ = ml.linear_regression(ml.assemble(li, ["l_quantity"]), reg=0.3, elastic_net=0.0, solver="normal")
+    return spark.range(1).select(F.round(F.lit(float(m.coefficients[0])), 2).alias("slope"),
+                                 F.round(F.lit(float(m.intercept)), 1).alias("intercept"))
+
+
+@query("document_frequency", """
+WITH t AS (SELECT DISTINCT conv_id, turn, unnest(string_split(lower(text), ' ')) AS word FROM conversations),
+d AS (SELECT word, count(*) AS df FROM t WHERE word <> '' GROUP BY word HAVING count(*) >= 4)
+SELECT word, df, round(ln(((SELECT count(*) FROM conversations) + 1) / (df + 1)), 6) AS idf FROM d""", ("M17",))
+def q_document_frequency(spark, sf):
+    """Document frequency and IDF weight per word, in how many messages it occurs (4 at least)."""
+    conv = load_table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    words = conv.select("conv_id", "turn", F.explode(F.array_distinct(F.split(F.lower("text"), " "))).alias("word"))
+    counts = words.filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("df")).filter("df >= 4")
+    total = conv.agg(F.count(F.lit(1))).scalar()
+    return counts.withColumn("idf", F.round(F.log((total + 1) / (F.col("df") + 1)), 6))

@@ -32,7 +32,9 @@ def songs_view(part: DataFrame) -> DataFrame:
         (F.col("p_size") % 3 + 1).cast("string").alias("Gender"))
 
 
-def actions_view(lineitem: DataFrame) -> DataFrame:
+def actions_view(lineitem: DataFrame, text_days: bool = True) -> DataFrame:
+    """``Ds`` as yyyyMMdd text, the reference's layout, or as the date it is made from."""
+    day = F.to_date("l_shipdate")
     flag = F.col("l_returnflag")
     action = F.when(flag == "N", "1").when(flag == "A", "2").when(flag == "R", "3")
     return lineitem.select(
@@ -40,7 +42,7 @@ def actions_view(lineitem: DataFrame) -> DataFrame:
         F.col("l_partkey").cast("string").alias("song_id"),
         F.col("l_linenumber").cast("string").alias("gmt_create"),
         action.alias("action_type"),
-        F.date_format(F.to_date("l_shipdate"), "yyyyMMdd").alias("Ds"))
+        (F.date_format(day, "yyyyMMdd") if text_days else day).alias("Ds"))
 
 
 SONGS_SQL = """

@@ -79,6 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only if unset."""
     d = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="corvid-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, d)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

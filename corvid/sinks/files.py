@@ -1,10 +1,8 @@
 """File writers and cache scopes.
 
-Writers run in the executors.  The one-file writer (K04) is only for
-results with a proven row bound: it probes the row count (reading at most
-``max_rows + 1`` rows) and refuses larger frames, which are written as a
-normal multi-part folder instead -- a single file means a single writer
-task, which must never receive an unbounded result.
+Writers run in the executors.  A single file means a single writer task, so the
+one-file writer (K04) is for results that are small by nature (a report per
+artist, a rate table); everything else is written as a multi-part folder.
 """
 
 from __future__ import annotations
@@ -17,10 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.functions.dates import reformat_ymd
-from corvid.operators.dims import has_at_most
-
-ONE_FILE_MAX_ROWS = 5_000_000
-
 
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One line per row (columns joined by commas)."""
@@ -38,13 +32,9 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def write_one_file(df: DataFrame, target: str, fmt: str = "csv",
-                   max_rows: int = ONE_FILE_MAX_ROWS, **options) -> str:
+def write_one_file(df: DataFrame, target: str, fmt: str = "csv", **options) -> str:
     """Write ``df`` as ONE file at ``target``; an existing target is
-    replaced by rename (last writer wins).  Raises for frames above
-    ``max_rows`` (use the folder writers for those)."""
-    if not has_at_most(df, max_rows):
-        raise ValueError(f"more than {max_rows} rows: write a folder instead of one file")
+    replaced by rename (last writer wins)."""
     spark = df.sparkSession
     tmp = f"{target.rstrip('/')}.tmp-{uuid.uuid4().hex}"
     df.coalesce(1).write.mode("overwrite").format(fmt).options(**options).save(tmp)

@@ -39,19 +39,19 @@ def result_document(df: DataFrame, drop: int | None = None, take: int | None = N
                     order_by: str | None = None, extra: dict | None = None) -> dict:
     """``{schema, rows, count, extra}``; ``count`` = rows before drop/take.
 
-    Paging needs an order: ``order_by`` (``"a,b desc"``) or, if absent,
-    every column as the tie-break.
+    Paging needs an order: ``order_by`` (``"a,b desc"``) or, if absent, the
+    whole row.  ``rows`` is a lazy iterator that holds one partition at a time.
     """
-    from corvid.operators.shape import parse_order_spec
+    from corvid.operators.shape import parse_order_spec, whole_row
     page = df
     if drop is not None or take is not None:
-        page = df.orderBy(*(parse_order_spec(df, order_by) if order_by else df.columns))
+        page = df.orderBy(*(parse_order_spec(df, order_by) if order_by else [whole_row(df)]))
         if drop:
             page = page.offset(drop)
         if take is not None:
             page = page.limit(take)
     count = df.count()
-    rows = [json.loads(j) for j in iter_json_rows(page)]
+    rows = (json.loads(j) for j in iter_json_rows(page))
     return {"schema": json.loads(df.schema.json()), "rows": rows, "count": count, "extra": extra or {}}
 
 

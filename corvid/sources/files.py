@@ -17,7 +17,7 @@ HEADER_TYPES = {"string": T.StringType(), "integer": T.IntegerType(),
 # Column names of the 9-field patient records.
 PATIENT_COLUMNS = ("ID", "CAPSULE", "AGE", "RACE", "DPROS", "DCAPS", "PSA", "VOL", "GLEASON")
 
-_NO_CHAR = "\u0000"
+_MARK = "\u0001"
 
 
 def parse_typed_header(line: str) -> T.StructType:
@@ -31,12 +31,10 @@ def parse_typed_header(line: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def _raw_lines(spark: SparkSession, path: str, header: bool) -> DataFrame:
-    """Each line as one string column; ``header`` skips the first line of each file."""
-    return (spark.read.schema("line string").option("header", header)
-            .option("sep", _NO_CHAR).option("quote", _NO_CHAR).option("escape", _NO_CHAR)
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .csv(path))
+def _raw_lines(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
+    """Every line of the files, blank ones too, as one string column; lines equal to ``header`` are dropped."""
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
+    return lines.filter(F.col("line") != header) if header is not None else lines
 
 
 def cells(line: Column, sep: str = ",", trim: bool = True) -> Column:
@@ -49,7 +47,7 @@ def typed_cells(arr: Column, schema: T.StructType) -> list[Column]:
     """Cells -> typed columns: empty cell = null."""
     out = []
     for i, f in enumerate(schema.fields):
-        cell = F.element_at(arr, i + 1)
+        cell = F.try_element_at(arr, F.lit(i + 1))
         v = cell if isinstance(f.dataType, T.StringType) else cell.cast(f.dataType)
         out.append(F.when(cell == "", F.lit(None).cast(f.dataType)).otherwise(v).alias(f.name))
     return out
@@ -65,7 +63,7 @@ def row_check(arr: Column, line: Column, schema: T.StructType) -> Column:
     for i, f in enumerate(schema.fields):
         if isinstance(f.dataType, T.StringType):
             continue
-        cell = F.element_at(arr, i + 1)
+        cell = F.try_element_at(arr, F.lit(i + 1))
         bad = bad | ((F.size(arr) == n) & (cell != "") & cell.try_cast(f.dataType).isNull())
     return F.when(bad, F.raise_error(F.concat(F.lit("bad typed row: "), line))).otherwise(F.lit(True))
 
@@ -76,7 +74,7 @@ def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
     if first is None:
         raise ValueError(f"empty file: {path}")
     schema = parse_typed_header(first[0])
-    raw = _raw_lines(spark, path, header=True)
+    raw = _raw_lines(spark, path, header=first[0])
     arr = cells(F.col("line"))
     return raw.filter(row_check(arr, F.col("line"), schema)).select(*typed_cells(arr, schema))
 
@@ -90,17 +88,22 @@ def read_delimited_strings(spark: SparkSession, path: str, names, sep: str = ","
     """Header-less delimited text -> named all-string columns
     (trailing empties kept, cells trimmed; too few cells raise)."""
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    raw = _raw_lines(spark, path, header=False)
+    raw = _raw_lines(spark, path)
     arr = cells(F.col("line"), sep)
-    guarded = F.when(F.size(arr) < len(names), F.raise_error(
-        F.concat(F.lit("too few cells: "), F.col("line")))).otherwise(arr)
-    return raw.select(*[F.element_at(guarded, i + 1).alias(f.name) for i, f in enumerate(schema.fields)])
+    enough = F.when(F.size(arr) < len(names), F.raise_error(
+        F.concat(F.lit("too few cells: "), F.col("line")))).otherwise(F.lit(True))
+    return raw.filter(enough).select(*[F.try_element_at(arr, F.lit(i + 1)).alias(f.name) for i, f in enumerate(schema.fields)])
 
 
 def read_numeric_csv(spark: SparkSession, path: str, names: str = "y x") -> DataFrame:
     """Positional numeric CSV, names from a blank-separated string."""
-    ddl = ", ".join(f"{n} double" for n in names.split())
-    return spark.read.schema(ddl).option("mode", "FAILFAST").csv(path)
+    return _checked(spark, path, T.StructType([T.StructField(n, T.DoubleType()) for n in names.split()]))
+
+
+def _checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Comma-separated typed rows; a bad row raises whichever columns are read later."""
+    arr = cells(F.col("line"))
+    return _raw_lines(spark, path).filter(row_check(arr, F.col("line"), schema)).select(*typed_cells(arr, schema))
 
 
 def _vec(arr: Column) -> Column:
@@ -133,7 +136,7 @@ def read_dense_vectors(spark: SparkSession, path: str) -> DataFrame:
 def read_tab_pairs(spark: SparkSession, path: str, names=("target", "text")) -> DataFrame:
     """Tab-separated (label, text); rows with an empty label dropped."""
     from corvid.functions.text import java_split
-    raw = _raw_lines(spark, path, header=False)
+    raw = _raw_lines(spark, path)
     parts = java_split("line", "\t")  # like String.split: trailing empty cells vanish
     df = raw.select(F.element_at(parts, 1).alias(names[0]), parts.alias("_p"), "line")
     df = df.filter(F.col(names[0]) != "")
@@ -146,16 +149,31 @@ def read_csv_drop_header(spark: SparkSession, path: str, marker: str = "category
                          names=("category", "title")) -> DataFrame:
     """Drop lines containing ``marker`` (the header) and take the first cells."""
     from corvid.functions.text import java_split
-    raw = _raw_lines(spark, path, header=False).filter(~F.col("line").contains(marker))
+    raw = _raw_lines(spark, path).filter(~F.col("line").contains(marker))
     parts = java_split("line", ",")  # like String.split: trailing empty cells vanish
     parts = F.when(F.size(parts) < len(names), F.raise_error(
         F.concat(F.lit("too few cells: "), F.col("line")))).otherwise(parts)
-    return raw.select(*[F.element_at(parts, i + 1).alias(n) for i, n in enumerate(names)])
+    return raw.select(*[F.try_element_at(parts, F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
 
 
 def read_csv_valid_rows(spark: SparkSession, path: str, schema, header: bool = True) -> DataFrame:
-    """Typed CSV keeping only rows that parse (malformed rows dropped)."""
-    return spark.read.schema(schema).option("header", header).option("mode", "DROPMALFORMED").csv(path)
+    """Typed CSV (quoted cells allowed) keeping only rows all of whose cells parse, whichever
+    columns are read later; ``header`` drops the lines equal to the first one."""
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    first = spark.read.text(path).first() if header else None
+    lines = _raw_lines(spark, path, first[0] if first else None).filter(F.trim("line") != "")
+    n = len(schema.fields)
+    # a mark as one more cell: it lands in column n exactly if the line has n cells, empty ones included
+    names = ", ".join(f"c{i} string" for i in range(n + 1))
+    rows = lines.select(F.from_csv(F.concat("line", F.lit(f",{_MARK}")), names).alias("r"))
+    good, out = F.col(f"r.c{n}") == _MARK, []
+    for i, f in enumerate(schema.fields):
+        cell = F.trim(F.col(f"r.c{i}"))
+        typed = cell.try_cast(f.dataType)
+        good = good & (cell.isNull() | (cell == "") | typed.isNotNull())
+        out.append(F.when(cell != "", typed).alias(f.name))
+    return rows.filter(good).select(*out)
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -165,8 +183,7 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 def read_patients(spark: SparkSession, path: str) -> DataFrame:
     """9-field patient records."""
-    ddl = ", ".join(f"{n} double" for n in PATIENT_COLUMNS)
-    return spark.read.schema(ddl).option("mode", "FAILFAST").csv(path)
+    return _checked(spark, path, T.StructType([T.StructField(n, T.DoubleType()) for n in PATIENT_COLUMNS]))
 
 
 def rows_to_table(spark: SparkSession, rows, schema) -> DataFrame:

@@ -1,14 +1,4 @@
-"""Reading the parquet tables of a scale-factor folder (S18 style access).
-
-Small inputs are spread over the cores: a table stored as one Parquet row
-group is read by ONE task (a row group is Parquet's smallest split), so
-every per-row step before the first shuffle would run on one core.  When the
-planned scan has fewer splits than the default parallelism (known from the
-file listing the scan needs anyway, no data read) the scan is followed by a
-round-robin repartition to the default parallelism.  Large tables -- the
-100 TB case -- have far more splits than cores, are never repartitioned and
-keep their native splits.
-"""
+"""Reading the parquet tables of a scale-factor folder (S18 style access)."""
 
 from __future__ import annotations
 
@@ -18,36 +8,14 @@ TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
 
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (file-system metadata only)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def needs_spread(df: DataFrame) -> bool:
-    """True when a scan plans fewer splits than there are cores."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return par > 1 and df.rdd.getNumPartitions() < par
-
-
-def spread_if_small(df: DataFrame) -> DataFrame:
-    if needs_spread(df):
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return df
-
-
-def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Lazy parquet scan; column pruning and filters still reach the reader.
-
-    ``spread=True`` for per-row-heavy jobs (tokenizers, text-typed views)."""
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return spread_if_small(df) if spread else df
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy parquet scan; column pruning and filters still reach the reader."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> None:

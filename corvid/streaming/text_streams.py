@@ -8,9 +8,8 @@
   output (idempotent).  ``running_word_count`` is the carried-over variant
   (``complete`` mode, state in the checkpoint).
 * T02 stop-list filter is a stream-static LEFT ANTI join in ``append`` mode
-  into a file sink (exactly-once through the checkpoint).  A stop list given
-  as a list is broadcast (its size is known); a table is broadcast only
-  after a bounded size probe.
+  into a file sink (exactly-once through the checkpoint); a stop list given
+  as a list is a plain predicate.
 * Checkpoints and outputs live under ``spark.checkpoint.dir``.
 """
 
@@ -21,17 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corvid.functions.text import STREAM_STOP_LIST, java_split, text_lines
-from corvid.operators.dims import BROADCAST_ROWS, has_at_most
+from corvid.operators.text import stop_list_filter
 
 
 def line_stream(spark: SparkSession, path: str | None = None, fmt: str = "text",
                 text_col: str = "value", glob: str | None = None, schema=None,
                 host: str | None = None, port: int | None = None,
-                max_files_per_trigger: int | None = None, spread: int | None = None) -> DataFrame:
-    """A stream of text lines (column ``line``).
-
-    ``spread``: round-robin each micro-batch over that many partitions before
-    the per-line work (for sources whose files are a single split)."""
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of text lines (column ``line``)."""
     if fmt == "socket":
         raw = spark.readStream.format("socket").option("host", host).option("port", port).load()
         return raw.select(F.col("value").alias("line"))
@@ -43,8 +39,6 @@ def line_stream(spark: SparkSession, path: str | None = None, fmt: str = "text",
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.load(path)
-    if spread:
-        raw = raw.repartition(spread)
     if fmt == "text":
         return raw.select(F.col("value").alias("line"))
     return raw.select(F.explode(text_lines(text_col)).alias("line"))
@@ -77,17 +71,9 @@ def running_word_count(words: DataFrame) -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def stop_list_stream(words: DataFrame, stop=STREAM_STOP_LIST,
-                     broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Words not on the stop list, duplicates kept."""
-    spark = words.sparkSession
-    if isinstance(stop, DataFrame):
-        s = stop.select(F.col(stop.columns[0]).alias("word"))
-        if has_at_most(s, broadcast_rows):
-            s = F.broadcast(s)
-    else:
-        s = F.broadcast(spark.createDataFrame([(w,) for w in stop], "word string"))
-    return words.join(s, "word", "left_anti")
+def stop_list_stream(words: DataFrame, stop=STREAM_STOP_LIST) -> DataFrame:
+    """Words not on the stop list (a list or a table), duplicates kept."""
+    return stop_list_filter(words, stop)
 
 
 def start_append(df: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",

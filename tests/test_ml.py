@@ -19,11 +19,11 @@ def test_linear_regression_exact_line(spark):
 def test_kmeans_two_groups(spark, tmp_dir):
     p = os.path.join(tmp_dir, "km.txt")
     with open(p, "w") as f:
-        f.write("0.0 0.0 0.0\n0.1 0.1 0.1\n0.2 0.2 0.2\n9.0 9.0 9.0\n9.1 9.1 9.1\n9.2 9.2 9.2\n")
+        f.write("1.0 0.0 0.0\n1.5 0.0 0.0\n2.0 0.0 0.0\n7.0 0.0 0.0\n7.5 0.0 0.0\n8.0 0.0 0.0\n")
     m, pred, cost = ml.kmeans(src.read_dense_vectors(spark, p), k=2)
     centres = sorted(round(c[0], 6) for c in m.clusterCenters())
-    assert centres == [0.1, 9.1]
-    assert cost == pytest.approx(0.12, abs=1e-6)
+    assert centres == [1.5, 7.5]
+    assert cost == pytest.approx(1.0, abs=1e-6)
 
 
 def test_hash_split_is_repeatable(spark):
@@ -57,11 +57,24 @@ def test_word2vec_unknown_word_is_zero(spark):
     assert v == [0.0, 0.0, 0.0, 0.0]
 
 
-def test_fit_per_key_bounded(spark):
-    rows = [("a", float(i), 2.0 * i) for i in range(10)] + [("b", float(i), 3.0 * i) for i in range(10)]
-    df = ml.assemble(spark.createDataFrame(rows, "k string, x double, label double"), ["x"])
-    models = ml.fit_per_key(df, "k", lambda d: ml.linear_regression(d, reg=0.0)[0])
-    assert models["a"].coefficients[0] == pytest.approx(2.0, abs=1e-6)
-    assert models["b"].coefficients[0] == pytest.approx(3.0, abs=1e-6)
-    with pytest.raises(ValueError):
-        ml.fit_per_key(df, "x", lambda d: None, max_keys=5)
+def test_tree_fits_any_number_of_artists(spark):
+    rows = spark.range(5000 * 4).select((F.col("id") % 5000).cast("string").alias("artist_id"),
+                                        (F.col("id") / 5000).cast("int").cast("double").alias("day_num"),
+                                        (F.col("id") % 7).cast("double").alias("label"))
+    df = ml.encode_key(rows, "artist_id", "label", F.col("day_num") < 2, "artist_mean")
+    data = ml.assemble(df, ["day_num", "artist_mean"])
+    for fit in (lambda: ml.decision_tree(data, data, data)[1], lambda: ml.random_forest(data, num_trees=2)[1],
+                lambda: ml.gbt_regression(data, data, trees=2)[1]):
+        assert fit().count() == 20_000
+
+
+def test_key_encoding_uses_training_rows_only(spark):
+    rows = spark.createDataFrame([("a", 1, 2.0), ("a", 1, 4.0), ("a", 9, 100.0), ("b", 9, 7.0)], "k string, d int, y double")
+    got = {r.k: r.m for r in ml.encode_key(rows, "k", "y", F.col("d") < 5, "m").collect()}
+    assert got == {"a": 3.0, "b": 3.0}
+
+
+def test_tree_with_as_many_values_as_categories(spark):
+    df = ml.assemble(spark.range(400).select((F.col("id") % 100).cast("double").alias("x"),
+                                             F.col("id").cast("double").alias("label")), ["x"])
+    assert ml.decision_tree(df, df, df)[1].count() == 400

@@ -15,11 +15,6 @@ def test_one_file_writer_replaces_target(spark):
     assert sorted(int(l) for l in open(target).read().split()) == [0, 1]
 
 
-def test_one_file_writer_refuses_unbounded(spark):
-    with pytest.raises(ValueError):
-        sinks.write_one_file(spark.range(100), scratch_path(spark, "big") + ".csv", max_rows=10)
-
-
 def test_text_writer_and_cache_scope(spark):
     p = scratch_path(spark, "txt")
     df = spark.createDataFrame([(1, "a"), (2, None)], "x int, y string")
