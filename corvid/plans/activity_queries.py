@@ -141,13 +141,15 @@ def q_forecast_dates(spark, sf):
 
 @query("published_activity", _WITH + f""",
 j AS (SELECT a.action_type, a.Ds, s.artist_id FROM actions a JOIN songs s USING (song_id)
-      WHERE s.publish_time >= a.Ds)
+      WHERE strftime(strptime(s.publish_time, '%Y%m%d') + INTERVAL 1500 DAY, '%Y%m%d') >= a.Ds)
 SELECT artist_id, Ds AS ds, count(*) FILTER (WHERE action_type = '1') AS plays,
        count(*) FILTER (WHERE action_type = '2') AS downloads,
        count(*) FILTER (WHERE action_type = '3') AS favors
 FROM j GROUP BY artist_id, Ds HAVING count(*) FILTER (WHERE action_type = '1') > 0""", ("P17",))
 def q_published_activity(spark, sf):
     songs, actions = _inputs(spark, sf, text_days=False)
+    later = F.date_add(F.to_date("publish_time", "yyyyMMdd"), 1500)     # into the time of the actions
+    songs = songs.withColumn("publish_time", F.date_format(later, "yyyyMMdd"))
     return act.daily_activity(songs, actions, origin=ORIGIN, published_only=True).select(*_ACTIVITY_COLS)
 
 

@@ -166,7 +166,7 @@ def q_patients_roundtrip(spark, sf):
 
 
 @query("literal_rows_join", """
-SELECT o_orderkey, w AS weight FROM orders JOIN (VALUES ('F', 1.5), ('O', 0.5)) AS t(s, w) ON o_orderstatus = s""", ("S13",))
+SELECT o_orderkey, w AS weight FROM orders JOIN (VALUES ('F', CAST(1.5 AS DOUBLE)), ('O', CAST(0.5 AS DOUBLE))) AS t(s, w) ON o_orderstatus = s""", ("S13",))
 def q_literal_rows_join(spark, sf):
     weights = src.rows_to_table(spark, [("F", 1.5), ("O", 0.5)], "o_orderstatus string, weight double")
     return load_table(spark, sf, "orders").join(weights, "o_orderstatus").select("o_orderkey", "weight")
