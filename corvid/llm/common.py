@@ -45,11 +45,11 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_stored(df: DataFrame) -> None:
-    """Delete the scratch files behind a table made by :func:`store`."""
+    """Delete the scratch files behind a table made by :func:`store`, once nothing reads it any more."""
     spark = df.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(f)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
 
 
@@ -85,7 +85,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def byte_slices(batch: pa.RecordBatch, text_col: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def byte_slices(batch: pa.RecordBatch, text_col: str | int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of at most ``limit`` text bytes (one row at least)."""
     _, off = text_buffer(batch.column(text_col))
     start, n = 0, batch.num_rows
@@ -124,9 +124,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                  .unionByName(low.select("u", F.col("m").alias("v")))
                  .filter("u <> v").distinct())
         after = store(small, "cc")
-        state = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.countDistinct("v")).first()
-        drop_stored_if_any(large)
-        drop_stored_if_any(pairs)
+        state = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
+        drop_stored(large)
+        drop_stored(pairs)
         pairs = after
         if tuple(state) == before:
             break
@@ -135,8 +135,3 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle; raise max_rounds")
     return (pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
-
-
-def drop_stored_if_any(df: DataFrame) -> None:
-    if df.inputFiles():
-        drop_stored(df)

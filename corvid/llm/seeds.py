@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import RID, byte_slices, store, text_buffer
+from corvid.llm.common import RID, byte_slices, drop_stored, store, text_buffer
 from corvid.llm.hashing import BYTE_VALUE, Stretches, word_hashes, words
 
-CHUNK = 1 << 22     # windows hashed at a time
+CHUNK = 1 << 20     # windows hashed at a time
 _POS = np.uint64((1 << 24) - 1)
 
 
@@ -46,7 +46,7 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(values: np.ndarray, off: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(text number, first window in the text, windows, anchor hash, content hash) of every segment."""
+    """(text number, first window in the text, windows, anchor's place in the segment, anchor hash, content hash)."""
     parts = []
     for lo in range(0, max(0, len(values) - length + 1), CHUNK):
         chunk = values[lo:lo + CHUNK + length - 1]
@@ -75,26 +75,26 @@ def segments(values: np.ndarray, off: np.ndarray, length: int, gram: int) -> tup
         stops = np.flatnonzero(stop)
         count = stops[np.searchsorted(stops, first, "right")] - first
         doc = np.searchsorted(off, first + lo, "right") - 1
-        parts.append((doc, first + lo - off[doc], count, grams[anchor[first]].view(np.int64),
+        parts.append((doc, first + lo - off[doc], count, anchor[first] - first, grams[anchor[first]].view(np.int64),
                       hashes.hash(first, first + count + length - 1).view(np.int64)))
     if not parts:
         none = np.zeros(0, np.int64)
-        return none, none, none, none, none
+        return none, none, none, none, none, none
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
 def listed(rows: DataFrame, units, length: int, gram: int) -> DataFrame:
-    """(``a`` anchor hash, ``s`` content hash, ``__rid``, ``w`` first window, ``n`` windows) of all segments."""
+    """(``a`` anchor hash, ``s`` content hash, ``__rid``, ``w`` first window, ``n`` windows, ``p`` anchor's place)."""
     def find(batches):
         for batch in batches:
             for part in byte_slices(batch, "__text"):
                 values, off = units(*text_buffer(part.column("__text")))
-                doc, first, count, anchor, content = segments(values, off, length, gram)
+                doc, first, count, place, anchor, content = segments(values, off, length, gram)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor), pa.array(content), part.column(RID).take(pa.array(doc)),
-                     pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32))], names=["a", "s", RID, "w", "n"])
+                     *[pa.array(x.astype(np.int32)) for x in (first, count, place)]], names=["a", "s", RID, "w", "n", "p"])
 
-    return rows.select(RID, "__text").mapInArrow(find, f"a long, s long, {RID} long, w int, n int")
+    return rows.select(RID, "__text").mapInArrow(find, f"a long, s long, {RID} long, w int, n int, p int")
 
 
 def hits(rows: DataFrame, units, length: int, gram: int) -> DataFrame:
@@ -103,12 +103,13 @@ def hits(rows: DataFrame, units, length: int, gram: int) -> DataFrame:
     again = (every.groupBy("a").agg(F.count("*").alias("__c"), F.min("s").alias("__lo"), F.max("s").alias("__hi"))
              .filter("__c > 1").select(F.col("a").alias("__a"), (F.col("__lo") != F.col("__hi")).alias("mixed")))
     found = store(every.join(again, F.col("a") == F.col("__a")).drop("__a"), "hits")
+    drop_stored(every)
     return found
 
 
 def distinct_segments(found: DataFrame) -> DataFrame:
     """Each distinct content of the mixed segments: ``a, s, copies`` and where one of them is."""
-    one = F.min(F.struct(RID, "w", "n")).alias("at")
+    one = F.min(F.struct(RID, "w", "n", "p")).alias("at")
     return (found.filter("mixed").groupBy("a", "s").agg(F.count("*").alias("copies"), one)
             .select("a", "s", "copies", "at.*"))
 
@@ -152,15 +153,25 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
             .select("a", "s", "i"))
 
 
-def covered(found: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Per row the repeated windows as ``ranges``, an array of (first window ``w``, windows ``n``)."""
-    by_segment = repeated.groupBy("a", "s").agg(F.sort_array(F.collect_set("i")).alias("__i"))
-    mixed = (found.filter("mixed").join(by_segment.select(F.col("a").alias("__a"), F.col("s").alias("__s"), "__i"),
-                                        (F.col("a") == F.col("__a")) & (F.col("s") == F.col("__s")))
-             .select(RID, F.explode("__i").alias("__j"), "w").select(RID, (F.col("w") + F.col("__j")).alias("w"),
-                                                                      F.lit(1).alias("n")))
-    plain = found.filter("not mixed").select(RID, "w", "n")
-    return plain.unionByName(mixed).groupBy(RID).agg(F.collect_list(F.struct("w", "n")).alias("ranges"))
+def runs_of(windows: DataFrame) -> DataFrame:
+    """Maximal runs (``a``, ``s``, ``w0`` first window, ``n``) of consecutive windows per segment."""
+    listed = windows.groupBy("a", "s").agg(F.collect_set("i").alias("i"))
+    heads = F.sort_array(F.filter("i", lambda x: ~F.array_contains("i", x - 1)))
+    tails = F.sort_array(F.filter("i", lambda x: ~F.array_contains("i", x + 1)))
+    return (listed.select("a", "s", F.explode(F.arrays_zip(heads.alias("h"), tails.alias("t"))).alias("r"))
+            .select("a", "s", F.col("r")["h"].alias("w0"), (F.col("r")["t"] - F.col("r")["h"] + 1).alias("n")))
+
+
+def covered(found: DataFrame, runs: DataFrame) -> DataFrame:
+    """Stored: per row the repeated windows as ``ranges``, an array of (first window ``w``, windows ``n``).
+
+    ``runs``: the runs of repeated windows (``a``, ``s``, ``w0``, ``n``) in mixed segments.
+    """
+    again = runs.select(F.col("a").alias("__a"), F.col("s").alias("__s"), "w0", F.col("n").alias("__n"))
+    mixed = (found.filter("mixed").join(again, (F.col("a") == F.col("__a")) & (F.col("s") == F.col("__s")))
+             .select(RID, (F.col("w") + F.col("w0")).alias("w"), F.col("__n").alias("n")))
+    every = found.filter("not mixed").select(RID, "w", "n").unionByName(mixed)
+    return store(every.groupBy(RID).agg(F.collect_list(F.struct("w", "n")).alias("ranges")), "ranges")
 
 
 def covered_units(n_units: int, ranges: tuple[np.ndarray, np.ndarray], length: int) -> np.ndarray:

@@ -27,9 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import RID, numbered, store
-from corvid.llm.seeds import (covered, covered_units, distinct_segments, hits, repeated_windows, window_hashes,
-                              word_units)
+from corvid.llm.common import RID, drop_stored, numbered, store
+from corvid.llm.seeds import (covered, covered_units, distinct_segments, hits, repeated_windows, runs_of,
+                              window_hashes, word_units)
 
 LENGTH = 35
 GRAM = 8
@@ -39,7 +39,10 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     """``__rid`` and ``ranges`` of repeated windows, for numbered rows that have any."""
     found = hits(rows, word_units, length, gram)
     windows = store(window_hashes(rows, distinct_segments(found), word_units, length), "windows")
-    return covered(found, repeated_windows(windows))
+    ranges = covered(found, runs_of(repeated_windows(windows)))
+    drop_stored(windows)
+    drop_stored(found)
+    return ranges
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,

@@ -4,7 +4,10 @@ Texts are split into segments around winnowed anchors (:mod:`corvid.llm.seeds`,
 units are bytes): two equal windows of ``LENGTH`` bytes lie in segments with the
 same anchor hash.  Equal segments are merged first, keeping their number; an
 anchor all of whose segments are equal needs no further comparison.  All other
-distinct segments are dealt to tasks by anchor.  A task joins its segments, with
+distinct segments are dealt to tasks by anchor.  A task sorts the segments of an
+anchor by what follows it and by what precedes it; the common parts of
+neighbours bound how far each segment can agree with any other, and what lies
+beyond is cut off.  The task joins what is left, each distinct string once, with
 unique separators, builds their suffix array and Burrows-Wheeler transform and
 derives common prefixes by increasing value: interval boundaries of value v
 yield those of value v + 1 by one backward-extension step, and the search stops
@@ -32,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import RID, byte_slices, numbered, store, text_buffer
-from corvid.llm.seeds import (byte_units, covered, covered_units, distinct_segments, hits, repeated_windows,
+from corvid.llm.common import RID, byte_slices, drop_stored, numbered, store, text_buffer
+from corvid.llm.seeds import (byte_units, covered, covered_units, distinct_segments, hits, repeated_windows, runs_of,
                               window_hashes, with_texts)
 
 LENGTH = 200
@@ -44,22 +47,39 @@ BLOCK = 4 << 20      # bytes of segments compared at a time
 
 # --- one block: suffix array, transform, bounded common prefixes -------------------
 
-def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling; symbols are non-negative and the last is unique."""
+def suffix_array(symbols: np.ndarray, separators: int, depth: int) -> np.ndarray:
+    """Suffixes in order of their first ``depth`` symbols or more, by prefix doubling.
+
+    Symbols below ``separators`` are unique; the rest are bytes plus
+    ``separators``.  The first ranks compare 7 symbols packed in one number.
+    """
     n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
-    rank = np.empty(n, np.int64)
-    changed = np.concatenate([[0], np.cumsum(symbols[order][1:] != symbols[order][:-1])])
-    rank[order] = changed
-    h = 1
-    while changed[-1] < n - 1:
+    is_end = symbols < separators
+    code = np.where(is_end, 0, symbols - separators + 1)
+    packed, ended = code.copy(), is_end.copy()
+    code, is_end = np.append(code, np.zeros(7, np.int64)), np.append(is_end, np.ones(7, bool))
+    for i in range(1, 7):
+        packed *= 257
+        packed += np.where(ended, 0, code[i:n + i])
+        ended |= is_end[i:n + i]
+    order = np.argsort(packed)
+    key = packed
+    rank, h = np.empty(n, np.int64), 7
+    while True:
+        # stretches that reach a separator equal no other
+        new = np.ones(n, bool)
+        new[1:] = (key[order[1:]] != key[order[:-1]]) | ended[order[1:]]
+        number = np.cumsum(new) - 1
+        rank[order] = number
+        if h >= depth or number[-1] == n - 1:
+            return order
         key = rank * (n + 1)
-        key[:n - h] += rank[h:] + 1
-        order = np.argsort(key, kind="stable")
-        changed = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
-        rank[order] = changed
+        key[:max(0, n - h)] += rank[h:] + 1
+        reach = np.ones(n, bool)
+        reach[:max(0, n - h)] = ended[h:]
+        ended = ended | reach
+        order = np.argsort(key)
         h *= 2
-    return order
 
 
 def bounded_prefixes(symbols: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
@@ -100,6 +120,39 @@ def bounded_prefixes(symbols: np.ndarray, sa: np.ndarray, limit: int) -> np.ndar
     return lcp
 
 
+def agreement(anchor: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Longest common beginning of each text with any other of the same anchor."""
+    n = len(texts)
+    order = np.array(sorted(range(n), key=lambda j: (anchor[j], texts[j])), np.int64)
+    sizes = np.array([len(texts[j]) for j in order])
+    width = int(sizes.max(initial=0)) + 1
+    rows = np.frombuffer(b"".join(texts[j].ljust(width, b"\0") for j in order), np.uint8).reshape(n, width)
+    with_next = np.zeros(n + 1, np.int64)
+    for lo in range(0, n - 1, 1 << 14):
+        hi = min(n - 1, lo + (1 << 14))
+        differ = rows[lo:hi] != rows[lo + 1:hi + 1]
+        differ[:, -1] = True
+        with_next[lo + 1:hi + 1] = np.minimum(differ.argmax(axis=1), np.minimum(sizes[lo:hi], sizes[lo + 1:hi + 1]))
+    with_next[1:n][anchor[order[1:]] != anchor[order[:-1]]] = 0
+    out = np.zeros(n, np.int64)
+    out[order] = np.maximum(with_next[:-1], with_next[1:])
+    return out
+
+
+def clipped(anchor: np.ndarray, place: np.ndarray, copies: np.ndarray, texts: list[bytes],
+            length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the part of each segment that may hold repeated windows (empty if none)."""
+    right = agreement(anchor, [t[p:] for t, p in zip(texts, place.tolist())])
+    left = agreement(anchor, [t[:p][::-1] for t, p in zip(texts, place.tolist())])
+    start, end = place - left, place + right
+    many = copies > 1
+    start[many] = 0
+    end[many] = np.array([len(t) for t in texts])[many]
+    end[end - start < length] = 0
+    start[end == 0] = 0
+    return start, end
+
+
 def repeated_starts(segments: list[bytes], copies: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(segment, window) of the windows that occur twice among the segments, counting ``copies``."""
     m = len(segments)
@@ -107,7 +160,7 @@ def repeated_starts(segments: list[bytes], copies: np.ndarray, length: int) -> t
     text = np.frombuffer(b"\0".join(segments) + b"\0", np.uint8).astype(np.int64) + m
     ends = np.cumsum(sizes + 1) - 1
     text[ends] = np.arange(m)                      # a unique separator after each segment
-    sa = suffix_array(text)
+    sa = suffix_array(text, m, length)
     lcp = bounded_prefixes(text, sa, length)
     deep = np.flatnonzero(lcp >= length)
     at = np.unique(np.concatenate([sa[deep], sa[deep - 1]]))
@@ -121,48 +174,67 @@ def repeated_starts(segments: list[bytes], copies: np.ndarray, length: int) -> t
     return both // (sizes.max() + 1), both % (sizes.max() + 1)
 
 
+def block_starts(anchor: np.ndarray, place: np.ndarray, copies: np.ndarray, texts: list[bytes],
+                 length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(segment, window) of repeated windows among the segments of some anchors."""
+    start, end = clipped(anchor, place, copies, texts, length)
+    live = np.flatnonzero(end)
+    if not len(live):
+        return live, live
+    number: dict[bytes, int] = {}
+    of = np.array([number.setdefault(texts[j][start[j]:end[j]], len(number)) for j in live], np.int64)
+    total = np.bincount(of, weights=copies[live], minlength=len(number)).astype(np.int64)
+    seg, win = repeated_starts(list(number), total, length)
+    # back from distinct strings to all segments that hold them
+    by = np.argsort(of, kind="stable")
+    first = np.searchsorted(of[by], np.arange(len(number) + 1))
+    holders = first[seg + 1] - first[seg]
+    pick = by[np.repeat(first[seg], holders) + np.arange(holders.sum()) - np.repeat(np.cumsum(holders) - holders, holders)]
+    return live[pick], np.repeat(win, holders) + start[live[pick]]
+
+
 def compare(pieces: DataFrame, length: int) -> DataFrame:
-    """(``a``, ``s``, ``i``) of repeated windows among ``pieces`` (``a``, ``s``, ``copies``, ``bytes``), by anchor."""
+    """Runs (``a``, ``s``, ``w0`` first window, ``n``) of repeated windows among ``pieces`` (``a, s, copies, p, bytes``), by anchor."""
     dealt = pieces.repartition("a").sortWithinPartitions("a", "s")
 
     def search(batches):
         def block(parts):
-            a, s, copies, text = (np.concatenate([p[i] for p in parts]) for i in range(4))
-            seg, win = repeated_starts(list(text), copies, length)
-            return pa.RecordBatch.from_arrays([pa.array(a[seg]), pa.array(s[seg]), pa.array(win.astype(np.int32))],
-                                              names=["a", "s", "i"])
+            a, s, copies, place, text = (np.concatenate([x[i] for x in parts]) for i in range(5))
+            seg, win = block_starts(a, place.astype(np.int64), copies, list(text), length)
+            by = np.lexsort((win, seg))
+            seg, win = seg[by], win[by]
+            head = np.ones(len(seg), bool)
+            head[1:] = (seg[1:] != seg[:-1]) | (win[1:] != win[:-1] + 1)
+            first = np.flatnonzero(head)
+            n = np.diff(np.append(first, len(seg)))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a[seg[first]]), pa.array(s[seg[first]]), pa.array(win[first].astype(np.int32)),
+                 pa.array(n.astype(np.int32))], names=["a", "s", "w0", "n"])
 
         held, size = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            text = np.array(batch.column(3).to_pylist(), dtype=object)
-            held.append(tuple(np.asarray(batch.column(i)) for i in range(3)) + (text,))
-            size += sum(map(len, text))
-            if size >= BLOCK and held[0][0][0] != held[-1][0][-1]:
-                whole = [np.concatenate([p[i] for p in held]) for i in range(4)]
-                sums = np.cumsum([len(t) for t in whole[3]])
-                lo = 0
-                while True:      # blocks of whole anchors; the last, open anchor stays
-                    hi = int(np.searchsorted(sums, (sums[lo - 1] if lo else 0) + BLOCK))
-                    last = int(np.searchsorted(whole[0], whole[0][-1]))
-                    hi = min(int(np.searchsorted(whole[0], whole[0][min(hi, len(sums) - 1)], "right")), last)
-                    if hi <= lo:
-                        break
-                    yield block([tuple(x[lo:hi] for x in whole)])
-                    lo = hi
-                held = [tuple(x[lo:] for x in whole)]
-                size = sum(map(len, held[0][3]))
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                text = np.empty(part.num_rows, object)
+                text[:] = part.column(4).to_pylist()
+                held.append(tuple(np.asarray(part.column(i)) for i in range(4)) + (text,))
+                size += sum(map(len, text))
+                if size >= BLOCK and held[0][0][0] != held[-1][0][-1]:
+                    whole = [np.concatenate([x[i] for x in held]) for i in range(5)]
+                    cut = int(np.searchsorted(whole[0], whole[0][-1]))     # the last, open anchor stays
+                    yield block([tuple(x[:cut] for x in whole)])
+                    held = [tuple(x[cut:] for x in whole)]
+                    size = sum(map(len, held[0][4]))
         if held:
             yield block(held)
 
-    return dealt.select("a", "s", "copies", "bytes").mapInArrow(search, "a long, s long, i int")
+    return dealt.select("a", "s", "copies", "p", "bytes").mapInArrow(search, "a long, s long, w0 int, n int")
 
 
 # --- the whole ----------------------------------------------------------------------
 
 def stretches(rows: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """``a, s, copies, w0, bytes`` of ``places`` (``__rid``, ``w``, ``n``, ``a``, ``s``, ``copies``, ``w0``)."""
+    """``a, s, copies, w0, p, bytes`` of ``places`` (those fields but ``bytes``, and ``__rid``, ``w``, ``n``)."""
     def cut(batches):
         for batch in batches:
             for part in byte_slices(batch, "__text"):
@@ -173,20 +245,12 @@ def stretches(rows: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 start = off[doc] + np.asarray(flat.field("w"))
                 end = start + np.asarray(flat.field("n")) + length - 1
                 texts = [raw[x:y] for x, y in zip(start.tolist(), end.tolist())]
-                yield pa.RecordBatch.from_arrays([*[flat.field(f) for f in ("a", "s", "copies", "w0")],
-                                                  pa.array(texts, pa.binary())], names=["a", "s", "copies", "w0", "bytes"])
-
-    joined = with_texts(rows, places, ["w", "n", "a", "s", "copies", "w0"]).select("__text", "places")
-    return joined.mapInArrow(cut, "a long, s long, copies long, w0 int, bytes binary")
-
+                yield pa.RecordBatch.from_arrays([*[flat.field(f) for f in ("a", "s", "copies", "w0", "p")],
+                                                  pa.array(texts, pa.binary())],
+                                                 names=["a", "s", "copies", "w0", "p", "bytes"])
 
-def runs_of(windows: DataFrame) -> DataFrame:
-    """Maximal runs (``a``, ``s``, ``w0`` first window, ``n``) of consecutive windows per segment."""
-    listed = windows.groupBy("a", "s").agg(F.sort_array(F.collect_set("i")).alias("i"))
-    heads = F.filter("i", lambda x: ~F.array_contains("i", x - 1))
-    tails = F.filter("i", lambda x: ~F.array_contains("i", x + 1))
-    return (listed.select("a", "s", F.explode(F.arrays_zip(heads.alias("h"), tails.alias("t"))).alias("r"))
-            .select("a", "s", F.col("r")["h"].alias("w0"), (F.col("r")["t"] - F.col("r")["h"] + 1).alias("n")))
+    joined = with_texts(rows, places, ["w", "n", "a", "s", "copies", "w0", "p"]).select("__text", "places")
+    return joined.mapInArrow(cut, "a long, s long, copies long, w0 int, p int, bytes binary")
 
 
 def repeated_ranges(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT_SEGMENTS) -> DataFrame:
@@ -201,16 +265,23 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
     windows = store(window_hashes(rows, crowd, byte_units, length), "windows")
     runs = runs_of(repeated_windows(windows))
     parts = (runs.withColumnRenamed("n", "__n").join(crowd, ["a", "s"])
-             .select(RID, "a", "s", "copies", "w0", (F.col("w") + F.col("w0")).alias("w"), F.col("__n").alias("n")))
-    fields = [RID, "a", "s", "copies", "w0", "w", "n"]
+             .select(RID, "a", "s", "copies", "w0", (F.col("w") + F.col("w0")).alias("w"), F.col("__n").alias("n"),
+                     (F.col("p") - F.col("w0")).alias("p")))
+    fields = [RID, "a", "s", "copies", "w0", "w", "n", "p"]
     pieces = store(stretches(rows, calm.select(fields).unionByName(parts.select(fields)), length), "pieces")
+    for done in (distinct, crowded, crowd, windows):
+        drop_stored(done)
     unique = (pieces.withColumn("t", F.xxhash64("bytes", F.lit(1)))
-              .groupBy("a", "t", "bytes").agg(F.sum("copies").alias("copies")))
-    repeated = store(compare(unique.select("a", F.col("t").alias("s"), "copies", "bytes"), length), "repeated")
-    back = (pieces.select(F.col("a").alias("__a"), F.col("s").alias("__s"), "w0", F.xxhash64("bytes", F.lit(1)).alias("__t"))
+              .groupBy("a", "t", "p", "bytes").agg(F.sum("copies").alias("copies")))
+    repeated = store(compare(unique.select("a", F.col("t").alias("s"), "copies", "p", "bytes"), length), "repeated")
+    back = (pieces.select(F.col("a").alias("__a"), F.col("s").alias("__s"), F.col("w0").alias("__w"),
+                          F.xxhash64("bytes", F.lit(1)).alias("__t"))
             .join(repeated, (F.col("__a") == F.col("a")) & (F.col("__t") == F.col("s")))
-            .select(F.col("__a").alias("a"), F.col("__s").alias("s"), (F.col("i") + F.col("w0")).alias("i")))
-    return covered(found, back)
+            .select(F.col("__a").alias("a"), F.col("__s").alias("s"), (F.col("w0") + F.col("__w")).alias("w0"), "n"))
+    ranges = covered(found, back)
+    for done in (pieces, repeated, found):
+        drop_stored(done)
+    return ranges
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
