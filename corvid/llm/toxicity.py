@@ -34,10 +34,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POSITIVES = 3000
-UNLABELLED = 6000
+POSITIVES = 2000
+UNLABELLED = 3500
 FEATURES = 4096
-CLEAN = 2000            # rows marked clean, for validation only
+CLEAN = 1000            # rows marked clean, for validation only
 EVIDENCE = (4.0, 7.0, 10.0, 14.0, 20.0)   # log-likelihood gains tried for choosing features
 CLASSIFIERS = 3
 FOLDS = 5
@@ -138,6 +138,20 @@ def fitting_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     return picked.mapInArrow(features, "positive int, unlabelled int, clean int, features array<long>").toArrow()
 
 
+def frequent_only(cells: pa.ChunkedArray, positive: np.ndarray, least: int = 3) -> list[np.ndarray]:
+    """The features of each row that ``least`` positive rows have; no other feature can be chosen."""
+    rows = [np.asarray(chunk.values)[a:b] for chunk in cells.chunks
+            for a, b in zip(np.asarray(chunk.offsets)[:-1], np.asarray(chunk.offsets)[1:])]
+    of_positive = [r for r, k in zip(rows, positive) if k]
+    if not of_positive:
+        return [r[:0] for r in rows]
+    hashes, counts = np.unique(np.concatenate(of_positive), return_counts=True)
+    hashes = hashes[counts >= least]
+    if not len(hashes):
+        return [r[:0] for r in rows]
+    return [r[hashes[np.minimum(np.searchsorted(hashes, r), len(hashes) - 1)] == r] for r in rows]
+
+
 def choose_features(pos: list[np.ndarray], unl: list[np.ndarray], limit: int, evidence: float) -> np.ndarray:
     """Hashes more frequent among positives than among unlabelled rows, by a log-likelihood gain over ``evidence``."""
     hashes, counts = np.unique(np.concatenate([*pos, *unl]), return_counts=True)
@@ -235,11 +249,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.filter(F.col(label_col).isNotNull() & F.col(label_id).isNotNull() & ~held_out(label_id))
     prior = known.agg(F.avg(F.col(label_col).cast("double")).alias("prior")).first()["prior"] or 0.0
     rows = fitting_rows(docs, labels, id_col, text_col, label_id, label_col, positives, unlabelled, clean)
-    features = rows.column("features").combine_chunks()
-    flat, off = np.asarray(features.values), np.asarray(features.offsets)
-    each = [flat[a:b] for a, b in zip(off[:-1], off[1:])]
-    pos, unl, ok = ([x for x, k in zip(each, rows.column(c).to_numpy()) if k]
-                    for c in ("positive", "unlabelled", "clean"))
+    roles = [rows.column(c).to_numpy() for c in ("positive", "unlabelled", "clean")]
+    each = frequent_only(rows.column("features"), roles[0] > 0)
+    del rows
+    pos, unl, ok = ([x for x, k in zip(each, role) if k] for role in roles)
     if not pos or not unl or not 0 < prior < 1:
         return Model({}, np.zeros((0, CLASSIFIERS)), prior)
     order = np.random.default_rng(11).permutation(len(pos))
