@@ -35,9 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from corvid.llm.common import byte_slices
+
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-MEMO_UNITS = 400_000
+MEMO_UNITS = 200_000
+ROWS = 256          # rows decoded at a time
 
 
 class Codec:
@@ -140,13 +143,14 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str
     def run(batches):
         c = codec(model_path)
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            data = [c.encode(t) if t is not None else b"" for t in texts]
-            off = np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int32)
-            ids = pa.array(np.frombuffer(b"".join(data), "<i4"))
-            mask = pa.array([t is None for t in texts])
-            cell = pa.ListArray.from_arrays(pa.array(off), ids, mask=mask)
-            yield pa.RecordBatch.from_arrays([*batch.columns, cell], names=[*batch.schema.names, ids_col])
+            for part in byte_slices(batch, at):
+                texts = part.column(at).to_pylist()
+                data = [c.encode(t) if t is not None else b"" for t in texts]
+                off = np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int32)
+                ids = pa.array(np.frombuffer(b"".join(data), "<i4"))
+                mask = pa.array([t is None for t in texts])
+                cell = pa.ListArray.from_arrays(pa.array(off), ids, mask=mask)
+                yield pa.RecordBatch.from_arrays([*part.columns, cell], names=[*part.schema.names, ids_col])
 
     return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
 
@@ -158,11 +162,13 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str =
     def run(batches):
         c = codec(model_path)
         for batch in batches:
-            cells = batch.column(at)
-            off, flat = np.asarray(cells.offsets), np.asarray(cells.values)
-            valid = np.asarray(cells.is_valid())
-            texts = [c.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(off[:-1], off[1:], valid)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
-                                             names=[*batch.schema.names, text_col])
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                cells = part.column(at)
+                off, flat = np.asarray(cells.offsets), np.asarray(cells.values)
+                valid = np.asarray(cells.is_valid())
+                texts = [c.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(off[:-1], off[1:], valid)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
+                                                 names=[*part.schema.names, text_col])
 
     return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(text_col, T.StringType())]))
