@@ -10,11 +10,11 @@
    dealt over blocks by a hash that differs from tree to tree, so that a group
    of any size is linked through many small overlapping random blocks.
 4. Within a region the one-byte minima of all 128 positions estimate each
-   similarity.  What is passed on are not all pairs but a maximum spanning
-   forest of the sure ones and, for every set, its best partner in each other
-   sure cluster of the region, from ``MAYBE`` on.
-5. Candidates are confirmed on the full sets, and confirmed links contracted to
-   connected components.
+   similarity.  A first round passes on, for every set, its three most similar
+   partners (from ``MAYBE`` on); they are confirmed on the full sets, and
+   confirmed links contracted to connected components.  A second round asks for
+   all partners in another group that were not tested yet: a group linked by
+   the first round never makes all its pairs, and no partner is left out.
 
 A pair of similarity 0.75 shares a region with probability over 1 - 1e-5, and its
 estimate falls below ``MAYBE`` with probability under 1e-6.
@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import RID, byte_slices, connected_components, numbered, store, text_buffer, with_row_ids
+from corvid.llm.common import (RID, byte_slices, connected_components, numbered, store, text_buffer,
+                               with_row_ids)
 from corvid.llm.hashing import LOWER, Stretches, mix, word_hashes, words
 
 SHINGLE = 5
@@ -43,7 +44,8 @@ MINIMA = 128
 TREES = 32
 DEPTHS = (4, 8, 16, 32)
 REGION = 512
-SURE, MAYBE = 0.875, 0.55
+MAYBE = 0.55
+PARTNERS = (3, 2 * REGION)
 
 _rng = np.random.default_rng(77)
 _XOR = _rng.integers(0, 2**32, MINIMA, dtype=np.uint64).astype(np.uint32)
@@ -116,7 +118,7 @@ def _matrix(column: pa.Array, dtype) -> np.ndarray:
 
 
 def signed_rows(rows: DataFrame) -> DataFrame:
-    """``__rid``, number of shingles, digest of the set (null if empty) and signature of numbered rows."""
+    """``__rid``, ``__id``, number of shingles, digest of the set (null if empty) and signature of numbered rows."""
 
     def sign(batches):
         for batch in batches:
@@ -127,10 +129,14 @@ def signed_rows(rows: DataFrame) -> DataFrame:
                 sigs[has] = signatures(sets)
                 digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(RID), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()),
-                     _binary(sigs)], names=[RID, "n_shingles", "digest", "signature"])
+                    [part.column(RID), part.column("__id"), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array(digest, pa.binary()), _binary(sigs)],
+                    names=[RID, "__id", "n_shingles", "digest", "signature"])
 
-    return rows.select(RID, "__text").mapInArrow(sign, f"{RID} long, n_shingles long, digest binary, signature binary")
+    rows = rows.select(RID, "__id", "__text")
+    return rows.mapInArrow(sign, T.StructType([
+        rows.schema[RID], rows.schema["__id"], T.StructField("n_shingles", T.LongType()),
+        T.StructField("digest", T.BinaryType()), T.StructField("signature", T.BinaryType())]))
 
 
 def sets_of(rows: DataFrame) -> DataFrame:
@@ -188,117 +194,107 @@ def regions(signed: DataFrame, region: int = REGION) -> DataFrame:
     return out
 
 
-def spanning(a: np.ndarray, b: np.ndarray, order: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning forest of n nodes preferring edges early in ``order`` (Boruvka): edge numbers, node labels."""
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    label = np.arange(n)
-    taken = np.zeros(len(order), bool)
-    live = np.arange(len(order))
-    while True:
-        la, lb = label[a[live]], label[b[live]]
-        live = live[la != lb]
-        if not len(live):
-            return np.flatnonzero(taken), label
-        la, lb = label[a[live]], label[b[live]]
-        best = np.full(n, len(order), np.int64)
-        np.minimum.at(best, la, rank[live])
-        np.minimum.at(best, lb, rank[live])
-        picked = order[np.unique(best[best < len(order)])]
-        taken[picked] = True
-        while True:                     # contract the picked edges
-            low = np.minimum(label[a[picked]], label[b[picked]])
-            new = label.copy()
-            np.minimum.at(new, label[a[picked]], low)
-            np.minimum.at(new, label[b[picked]], low)
-            new = new[label]
-            while not np.array_equal(new, new[new]):
-                new = new[new]
-            if np.array_equal(new, label):
-                break
-            label = new
-
-
-def select_pairs(key: np.ndarray, node: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate links among rows sorted by region key (see step 4 of the module text)."""
-    n = len(key)
+def select_pairs(key: np.ndarray, node: np.ndarray, sketch: np.ndarray, group: np.ndarray,
+                 partners: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each row its ``partners`` most similar rows of the same region and another group; rows sorted by key."""
     left, right, score = [], [], []
-    lag = 1
-    at = np.arange(n)
+    lag, at = 1, np.arange(len(key))
     while True:
-        at = at[at + lag < n]
+        at = at[at + lag < len(key)]
         at = at[key[at] == key[at + lag]]
         if not len(at):
             break
-        for lo in range(0, len(at), 1 << 16):
-            i = at[lo:lo + (1 << 16)]
-            same = (sketch[i] == sketch[i + lag]).mean(axis=1)
-            ok = same >= MAYBE
-            left.append(i[ok])
-            right.append(i[ok] + lag)
-            score.append(same[ok])
+        i = at[group[at] != group[at + lag]]
+        same = (sketch[i] == sketch[i + lag]).mean(axis=1)
+        ok = same >= MAYBE
+        left.append(i[ok])
+        right.append(i[ok] + lag)
+        score.append(same[ok])
         lag += 1
     if not left:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     a, b, s = np.concatenate(left), np.concatenate(right), np.concatenate(score)
-    differ = node[a] != node[b]
-    a, b, s = a[differ], b[differ], s[differ]
-    sure = np.flatnonzero(s >= SURE)
-    low, high = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
-    order = np.lexsort((high[sure], low[sure], -s[sure]))
-    picked, label = spanning(a[sure], b[sure], order, n)
-    chosen = [sure[picked]]
-    maybe = np.flatnonzero((s < SURE) & (label[a] != label[b]))
-    if len(maybe):
-        x = np.concatenate([a[maybe], b[maybe]])
-        other = label[np.concatenate([b[maybe], a[maybe]])]
-        edge = np.concatenate([maybe, maybe])
-        by = np.lexsort((high[edge], low[edge], -s[edge], other, x))
-        head = np.ones(len(by), bool)
-        head[1:] = (x[by][1:] != x[by][:-1]) | (other[by][1:] != other[by][:-1])
-        chosen.append(np.unique(edge[by][head]))
-    edges = np.concatenate(chosen)
-    return low[edges], high[edges]
-
-
-def candidates(members: DataFrame, signed: DataFrame) -> DataFrame:
-    """Distinct candidate pairs (``a`` < ``b``) of the regions."""
+    x, y, s = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([s, s])
+    by = np.lexsort((node[y], -s, x))
+    x, y = x[by], y[by]
+    first = np.searchsorted(x, x, "left")
+    keep = np.arange(len(x)) - first < partners
+    one, two = node[x[keep]], node[y[keep]]
+    both = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)]), axis=1)
+    return both[0], both[1]
+
+
+def with_sketches(members: DataFrame, signed: DataFrame) -> DataFrame:
+    """Stored ``key, node, sketch``: the members of regions with their one-byte minima."""
     def sketch(batches):
         for batch in batches:
             minima = _matrix(batch.column(1), np.uint32)
             yield pa.RecordBatch.from_arrays([batch.column(0), _binary((minima & 255).astype(np.uint8))],
                                              names=["node", "sketch"])
 
-    members = store(members, "forest_members")
-    used = signed.join(members.select("node").distinct(), "node", "left_semi")
-    sketches = used.select("node", "signature").mapInArrow(sketch, "node long, sketch binary")
-    rows = (members.join(sketches, "node").select("key", "node", "sketch").repartition("key")
-            .sortWithinPartitions("key", "node"))
+    sketches = signed.select("node", "signature").mapInArrow(sketch, "node long, sketch binary")
+    return store(members.join(sketches, "node").select("key", "node", "sketch"), "forest_sketches")
+
+
+def candidates(sketched: DataFrame, groups: DataFrame | None, partners: int) -> DataFrame:
+    """Distinct candidate pairs (``a`` < ``b``) between groups (``node``, ``component``; others stand alone)."""
+    if groups is None:
+        rows = sketched.withColumn("group", F.col("node"))
+    else:
+        rows = (sketched.join(groups.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left")
+                .withColumn("group", F.coalesce("component", "node")))
+        # a region within one group has nothing left to ask
+        open_keys = (rows.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi"))
+                     .filter("lo <> hi").select(F.col("key").alias("__k")))
+        rows = rows.join(open_keys, F.col("key") == F.col("__k"), "left_semi")
+    rows = rows.select("key", "node", "sketch", "group").repartition("key").sortWithinPartitions("key", "node")
 
     def pairs(batches):
         def emit(parts):
-            key, node, sk = (np.concatenate(x) for x in zip(*parts))
-            a, b = select_pairs(key, node, sk)
+            a, b = select_pairs(*(np.concatenate(x) for x in zip(*parts)), partners)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         held, size = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, node = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            held.append((key, node, _matrix(batch.column(2), np.uint8)))
-            size += len(key)
-            if size >= 50_000 and held[0][0][0] != key[-1]:
-                whole = [np.concatenate(x) for x in zip(*held)]
-                cut = int(np.searchsorted(whole[0], whole[0][-1]))     # keep the last, open region
-                yield emit([tuple(x[:cut] for x in whole)])
-                held, size = [tuple(x[cut:] for x in whole)], len(whole[0]) - cut
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                held.append((np.asarray(part.column(0)), np.asarray(part.column(1)),
+                             _matrix(part.column(2), np.uint8), np.asarray(part.column(3))))
+                size += part.num_rows
+                if size >= 8192 and held[0][0][0] != held[-1][0][-1]:
+                    whole = [np.concatenate(x) for x in zip(*held)]
+                    cut = int(np.searchsorted(whole[0], whole[0][-1]))     # keep the last, open region
+                    yield emit([tuple(x[:cut] for x in whole)])
+                    held, size = [tuple(x[cut:] for x in whole)], len(whole[0]) - cut
         if held:
             yield emit(held)
 
     return rows.mapInArrow(pairs, "a long, b long").distinct()
 
 
+def linked(rows: DataFrame, signed: DataFrame, region: int = REGION) -> DataFrame:
+    """(``node``, ``component``) of all sets with a confirmed link."""
+    sketched = with_sketches(regions(signed, region), signed)
+    groups = tested = links = sets = None
+    for partners in PARTNERS:
+        asked = candidates(sketched, groups, partners)
+        if tested is not None:
+            asked = asked.join(tested, ["a", "b"], "left_anti")
+        asked = store(asked, "pairs")
+        if asked.isEmpty():
+            break
+        if sets is None:          # whoever has a partner at all has one in the first round
+            wanted = asked.select(F.col("a").alias(RID)).union(asked.select("b")).distinct()
+            # this list grows with the input: never a broadcast, one plan at every size
+            sets = store(sets_of(rows.join(wanted.hint("shuffle_hash"), RID, "left_semi")), "sets")
+        found = store(confirmed(asked, sets), "links")
+        tested = asked if tested is None else tested.unionByName(asked)
+        links = found if links is None else links.unionByName(found)
+        if groups is None or not found.isEmpty():
+            groups = store(connected_components(links), "components")
+    return groups if groups is not None else signed.select("node", F.col("node").alias("component")).limit(0)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs whose full sets have 100 * intersection >= percent * union."""
     both = (pairs.join(sets.select(F.col(RID).alias("a"), F.col("set").alias("sa")), "a")
@@ -311,18 +307,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``__rid, __id, n_shingles, component_id`` (smallest id of the group)."""
     rows = numbered(df, id_col, text_col)
-    marks = store(signed_rows(rows), "signatures").join(rows.select(RID, "__id"), RID)
-    marks = store(marks, "signatures")
+    marks = store(signed_rows(rows), "signatures")
     distinct = (marks.filter("digest is not null").groupBy("digest")
                 .agg(F.min(RID).alias("node"), F.min("__id").alias("low"), F.min("n_shingles").alias("n")))
     distinct = store(distinct, "sets_distinct")
     signed = marks.join(distinct.select(F.col("node").alias(RID)), RID, "left_semi").select(F.col(RID).alias("node"), "signature")
     signed = store(signed, "signed")
-    pairs = store(candidates(regions(signed), signed), "pairs")
-    wanted = pairs.select(F.col("a").alias(RID)).union(pairs.select("b")).distinct()
-    sets = store(sets_of(rows.join(wanted, RID, "left_semi")), "sets")
-    links = confirmed(pairs, sets)
-    parts = connected_components(links)
+    parts = linked(rows, signed)
     named = distinct.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
     smallest = named.groupBy("part").agg(F.min("low").alias("component_id"))
     by_set = named.join(smallest, "part").select(F.col("digest").alias("__digest"), "component_id")
