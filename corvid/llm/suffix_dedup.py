@@ -14,8 +14,8 @@ yield those of value v + 1 by one backward-extension step, and the search stops
 at ``LENGTH``.  Neighbouring suffixes without a boundary by then share at least
 ``LENGTH`` bytes: their windows repeat.
 
-Skew: an anchor with more than ``HOT_SEGMENTS`` distinct segments (a stretch
-common to very many texts that go on differently) is not dealt out whole.  Its
+Skew: an anchor with more than ``HOT_SEGMENTS`` distinct segments, more than a
+block holds (a stretch common to very many texts that go on differently) is not dealt out whole.  Its
 windows are first counted by 128-bit hash, combined map-side; windows that occur
 once cannot repeat, and what is left, again each distinct stretch once, goes to
 the same comparison.
@@ -41,8 +41,8 @@ from corvid.llm.seeds import (byte_units, covered, covered_units, distinct_segme
 
 LENGTH = 200
 GRAM = 32
-HOT_SEGMENTS = 1000
 BLOCK = 4 << 20      # bytes of segments compared at a time
+HOT_SEGMENTS = BLOCK // 256      # as many as one block holds
 
 
 # --- one block: suffix array, transform, bounded common prefixes -------------------
