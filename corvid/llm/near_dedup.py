@@ -14,9 +14,14 @@
    partners (from ``MAYBE`` on); they are confirmed on the full sets, and
    confirmed links contracted to connected components.  A second round asks for
    all partners in another group that were not tested yet: a group linked by
-   the first round never makes all its pairs, and no partner is left out.
-
-A pair of similarity 0.75 shares a region with probability over 1 - 1e-5, and its
+   the first round never makes all its pairs.
+5. Splitting parts pairs that are only just similar.  So the sets of all regions
+   of more than ``REGION`` sets are joined once more, exactly and across groups,
+   on their shingles, rarest first (:func:`rare_pairs`, a prefix filter): no pair
+   of theirs that reaches ``PERCENT`` is left out, however large the region.
+
+A pair of similarity 0.75 shares the first 4 values of a tree with probability over
+1 - 1e-5.  If one such region is large, step 5 finds it for certain; if not, its
 estimate falls below ``MAYBE`` with probability under 1e-6.
 
 Defined cases: a null, empty or blank text has an empty set and is linked with
@@ -34,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import (RID, byte_slices, connected_components, numbered, store, text_buffer,
+from corvid.llm.common import (RID, byte_slices, connected_components, drop_stored, numbered, store, text_buffer,
                                with_row_ids)
 from corvid.llm.hashing import LOWER, Stretches, mix, word_hashes, words
 
@@ -158,6 +163,11 @@ def sets_of(rows: DataFrame) -> DataFrame:
 
 def regions(signed: DataFrame, region: int = REGION) -> DataFrame:
     """(``key``, ``node``) of every region with at least two sets, each of at most about ``region`` sets."""
+    return split_regions(signed, region)[0]
+
+
+def split_regions(signed: DataFrame, region: int) -> tuple[DataFrame, DataFrame | None]:
+    """:func:`regions`, and the ``node`` of every set of a region that was split (None if none was)."""
 
     def keyed(rows: DataFrame, depth: int) -> DataFrame:
         def keys(batches):
@@ -171,7 +181,7 @@ def regions(signed: DataFrame, region: int = REGION) -> DataFrame:
         return (rows.select("node", "signature").mapInArrow(keys, "node long, keys array<long>")
                 .select("node", F.posexplode("keys").alias("tree", "key")))
 
-    done, rows, hot = [], signed, None
+    done, rows, hot, split = [], signed, None, None
     for depth in DEPTHS:
         at = keyed(rows, depth)
         if hot is not None:
@@ -183,15 +193,17 @@ def regions(signed: DataFrame, region: int = REGION) -> DataFrame:
         if large.isEmpty():
             break
         hot = store(at.join(large, "key"), "forest_hot")
+        if split is None:
+            split = store(hot.select("node").distinct(), "forest_split")
         rows = signed.join(hot.select("node").distinct(), "node", "left_semi")
     else:
         # equal to the deepest level: random blocks, other ones in each tree
-        block = F.xxhash64("tree", "node") % F.ceil(F.col("sets") / (region // 2))
+        block = F.pmod(F.xxhash64("tree", "node"), F.ceil(F.col("sets") / (region // 2)))
         done.append(hot.select(F.xxhash64("key", block).alias("key"), "node"))
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out
+    return out, split
 
 
 def select_pairs(key: np.ndarray, node: np.ndarray, sketch: np.ndarray, group: np.ndarray,
@@ -272,9 +284,50 @@ def candidates(sketched: DataFrame, groups: DataFrame | None, partners: int) ->
     return rows.mapInArrow(pairs, "a long, b long").distinct()
 
 
+def rare_pairs(sets: DataFrame, groups: DataFrame | None, percent: int = PERCENT) -> DataFrame:
+    """Distinct pairs (``a`` < ``b``) between groups that may reach ``percent``; none that does is missing.
+
+    Sets list their shingles rarest first.  From its place on, the first common
+    shingle bounds the common ones: they can only be enough if it is among the
+    first (100 - percent) / 100 of the larger set and (100 - percent) / (100 + percent)
+    of the smaller one, so that a template shared by all makes pairs only where it
+    is itself enough.  Shingles held by one group only ask nothing.
+    """
+    rows = sets.select(F.col(RID).alias("node"), "set")
+    if groups is None:
+        rows = rows.withColumn("group", F.col("node"))
+    else:
+        rows = (rows.join(groups.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left")
+                .withColumn("group", F.coalesce("component", "node")))
+    held = store(rows.select("node", "group", F.size("set").cast("long").alias("n"), F.explode("set").alias("shingle")),
+                 "hot_shingles")
+    known = store(held.groupBy("shingle").agg(F.count("*").alias("k"), F.min("group").alias("lo"), F.max("group").alias("hi"))
+                  .filter("k > 1").select(F.col("shingle").alias("__s"), "k", (F.col("lo") != F.col("hi")).alias("open")),
+                  "hot_counts")
+    # a set's own shingles: bounded by its text; those of no other set come first
+    listed = (held.join(known, F.col("shingle") == F.col("__s")).groupBy("node", "group", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("k", "shingle", "open"))).alias("list")))
+    placed = (listed.select("node", "group", "n", F.size("list").alias("m"), F.posexplode("list").alias("i", "at"))
+              .select("node", "group", "n", (F.col("n") - F.col("m") + F.col("i")).alias("i"),
+                      F.col("at")["shingle"].alias("shingle"), F.col("at")["open"].alias("open")))
+    placed = store(placed.filter(F.col("open") & (F.col("i") * 100 <= F.col("n") * (100 - percent))).drop("open"), "hot_places")
+    drop_stored(held)
+    drop_stored(known)
+    big = placed.select("shingle", *[F.col(c).alias(f"{c}1") for c in ("node", "group", "n", "i")])
+    small = (placed.filter(F.col("i") * (100 + percent) <= F.col("n") * (100 - percent))
+             .select(F.col("shingle").alias("__s"), *[F.col(c).alias(f"{c}2") for c in ("node", "group", "n", "i")]))
+    need = percent * (F.col("n1") + F.col("n2"))       # (100 + percent) * the common shingles a pair must have
+    return (big.join(small, (F.col("shingle") == F.col("__s")) & (F.col("group1") != F.col("group2"))
+                     & (F.struct("n1", "node1") > F.struct("n2", "node2"))
+                     & ((F.col("n1") - F.col("i1")) * (100 + percent) >= need)
+                     & ((F.col("n2") - F.col("i2")) * (100 + percent) >= need))
+            .select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct())
+
+
 def linked(rows: DataFrame, signed: DataFrame, region: int = REGION) -> DataFrame:
     """(``node``, ``component``) of all sets with a confirmed link."""
-    sketched = with_sketches(regions(signed, region), signed)
+    members, split = split_regions(signed, region)
+    sketched = with_sketches(members, signed)
     groups = tested = links = sets = None
     for partners in PARTNERS:
         asked = candidates(sketched, groups, partners)
@@ -292,6 +345,14 @@ def linked(rows: DataFrame, signed: DataFrame, region: int = REGION) -> DataFram
         links = found if links is None else links.unionByName(found)
         if groups is None or not found.isEmpty():
             groups = store(connected_components(links), "components")
+    if split is not None:         # what the splitting parted
+        sets = store(sets_of(rows.join(split.select(F.col("node").alias(RID)).hint("shuffle_hash"), RID, "left_semi")), "sets")
+        asked = rare_pairs(sets, groups)
+        asked = store(asked if tested is None else asked.join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = store(confirmed(asked, sets), "links")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            groups = store(connected_components(links), "components")
     return groups if groups is not None else signed.select("node", F.col("node").alias("component")).limit(0)
 
 

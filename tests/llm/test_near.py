@@ -7,9 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corvid.llm.common import connected_components
-from corvid.llm.near_dedup import (candidates, drop_near_copies, near_groups, regions, select_pairs, shingle_sets,
-                                   signatures, with_sketches)
+from corvid.llm.common import RID, connected_components, numbered, store
+from corvid.llm.near_dedup import (candidates, drop_near_copies, linked, near_groups, rare_pairs, regions, select_pairs,
+                                   shingle_sets, signatures, signed_rows, with_sketches)
 from llm_fixtures import docs, package  # noqa: F401
 
 
@@ -116,3 +116,33 @@ def test_sets_count_words_like_the_pattern():
     off = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
     sets = shingle_sets(np.frombuffer(b"".join(raw), np.uint8), off)
     assert [len(s) for s in sets] == [len(shingles(t)) for t in texts]
+
+
+def test_just_similar_pairs_of_a_split_region_are_found(docs):
+    template, rows = " ".join(f"t{i}" for i in range(340)), []
+    for i in range(200):                           # 0.71 alike; each of the first 20 pairs 0.77
+        own = [f"o{i // 2 if i < 40 and j < 20 else 1000 + i}x{j}" for j in range(70)]
+        rows.append((i, f"{template} {' '.join(own)}"))
+    want = {i: low for i, (_, low) in brute(rows).items()}
+    assert len(set(want.values())) == 180
+    numbers = numbered(docs(rows), "doc_id", "text")
+    ids = {r[RID]: r["__id"] for r in numbers.select(RID, "__id").collect()}
+    signed = store(signed_rows(numbers).select(F.col(RID).alias("node"), "signature"), "signed")
+    got = {i: i for i in range(200)}
+    parts = [(ids[r["node"]], r["component"]) for r in linked(numbers, signed, region=4).collect()]
+    got.update({i: min(j for j, c in parts if c == part) for i, part in parts})
+    assert got == want
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rare_pairs_miss_no_similar_pair(spark, seed):
+    rng = random.Random(seed)
+    base = rng.sample(range(1000), 40)
+    sets = [set(rng.sample(base, rng.randint(1, 40))) | set(rng.sample(range(1000), rng.randint(0, 6))) for _ in range(80)]
+    group = [rng.choice([i, 0]) if i < 30 else i for i in range(80)]
+    want = {(i, j) for j in range(80) for i in range(j) if group[i] != group[j]
+            and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    df = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], f"{RID} long, set array<long>")
+    groups = spark.createDataFrame([(i, 0) for i in range(30) if group[i] == 0], "node long, component long")
+    got = {tuple(r) for r in rare_pairs(df, groups).collect()}
+    assert want <= got and all(group[i] != group[j] for i, j in got)
