@@ -15,10 +15,12 @@ at ``LENGTH``.  Neighbouring suffixes without a boundary by then share at least
 ``LENGTH`` bytes: their windows repeat.
 
 Skew: an anchor with more than ``HOT_SEGMENTS`` distinct segments, more than a
-block holds (a stretch common to very many texts that go on differently) is not dealt out whole.  Its
-windows are first counted by 128-bit hash, combined map-side; windows that occur
-once cannot repeat, and what is left, again each distinct stretch once, goes to
-the same comparison.
+block holds (a stretch common to very many texts that go on differently) is not dealt out at all.  Its
+windows are counted by 128-bit hash, combined map-side; windows that occur once
+cannot repeat.  The others are confirmed by their bytes, dealt by (anchor, hash):
+the least and the greatest bytes of a hash are equal unless different windows
+share it, and such windows are counted by their bytes.  So no task holds an anchor,
+however many distinct stretches of it repeat.
 
 Defined cases: a null or empty text has no bytes; a text shorter than a window
 loses nothing; repeated rows are copies of each other; null ids are kept; an
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvid.llm.common import RID, byte_slices, drop_stored, numbered, store, text_buffer
+from corvid.llm.hashing import Stretches
 from corvid.llm.seeds import (byte_units, covered, covered_units, distinct_segments, hits, repeated_windows, runs_of,
                               window_hashes, with_texts)
 
@@ -231,6 +234,53 @@ def compare(pieces: DataFrame, length: int) -> DataFrame:
     return dealt.select("a", "s", "copies", "p", "bytes").mapInArrow(search, "a long, s long, w0 int, n int")
 
 
+# --- hot anchors ---------------------------------------------------------------------
+
+def window_bytes(rows: DataFrame, places: DataFrame, length: int) -> DataFrame:
+    """``h1, h2, a, s, i, copies, bytes`` of every window of ``places`` (``__rid, w, n, a, s, copies, w0``)."""
+    def spread(batches):
+        for batch in batches:
+            for part in byte_slices(batch, "__text"):
+                data, off = text_buffer(part.column("__text"))
+                raw = data.tobytes()
+                flat = part.column("places").flatten()
+                doc = np.repeat(np.arange(part.num_rows), np.diff(np.asarray(part.column("places").offsets)))
+                w, n, w0 = (np.asarray(flat.field(f)).astype(np.int64) for f in ("w", "n", "w0"))
+                sums = [Stretches(byte_units(data, off, which)[0], which) for which in (0, 1)]
+                ends = np.cumsum(n)
+                for lo in range(0, int(n.sum()), 1 << 14):
+                    at = np.arange(lo, min(lo + (1 << 14), int(n.sum())))
+                    place = np.searchsorted(ends, at, "right")
+                    inner = at - ends[place] + n[place]
+                    start = off[doc[place]] + w[place] + inner
+                    pick = pa.array(place)
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.array(x.hash(start, start + length).view(np.int64)) for x in sums],
+                         *[flat.field(f).take(pick) for f in ("a", "s")], pa.array((w0[place] + inner).astype(np.int32)),
+                         flat.field("copies").take(pick), pa.array([raw[x:x + length] for x in start.tolist()], pa.binary())],
+                        names=["h1", "h2", "a", "s", "i", "copies", "bytes"])
+
+    joined = with_texts(rows, places, ["w", "n", "a", "s", "copies", "w0"]).select("__text", "places")
+    return joined.mapInArrow(spread, "h1 long, h2 long, a long, s long, i int, copies long, bytes binary")
+
+
+def equal_windows(windows: DataFrame) -> DataFrame:
+    """(``a``, ``s``, ``i``) of the ``windows`` (as of :func:`window_bytes`) whose bytes occur at least twice, copies counted."""
+    key = ["a", "h1", "h2"]
+    classes = store(windows.groupBy(*key).agg(F.sum("copies").alias("c"), F.min("bytes").alias("lo"), F.max("bytes").alias("hi"))
+                    .filter("c > 1").select(*[F.col(x).alias(f"__{x}") for x in key], (F.col("lo") == F.col("hi")).alias("one")),
+                    "classes")
+    same = (F.col("a") == F.col("__a")) & (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2"))
+    found = windows.drop("bytes").join(classes.filter("one"), same).select("a", "s", "i")
+    mixed = classes.filter("not one")
+    if mixed.isEmpty():
+        return found
+    # different windows of one hash
+    odd = store(windows.join(mixed, same, "left_semi"), "odd")
+    again = odd.groupBy("a", "bytes").agg(F.sum("copies").alias("c")).filter("c > 1").select("a", "bytes")
+    return found.unionByName(odd.join(again, ["a", "bytes"]).select("a", "s", "i"))
+
+
 # --- the whole ----------------------------------------------------------------------
 
 def stretches(rows: DataFrame, places: DataFrame, length: int) -> DataFrame:
@@ -261,15 +311,15 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
                     .select(F.col("a").alias("__a")), "crowded")
     calm = distinct.join(crowded, F.col("a") == F.col("__a"), "left_anti").withColumn("w0", F.lit(0))
     crowd = store(distinct.join(crowded, F.col("a") == F.col("__a"), "left_semi"), "crowd")
-    # hot anchors: only windows whose hash occurs again, as runs; equal runs once
+    # hot anchors: only windows whose hash occurs again, then compared by their bytes
     windows = store(window_hashes(rows, crowd, byte_units, length), "windows")
-    runs = runs_of(repeated_windows(windows))
-    parts = (runs.withColumnRenamed("n", "__n").join(crowd, ["a", "s"])
-             .select(RID, "a", "s", "copies", "w0", (F.col("w") + F.col("w0")).alias("w"), F.col("__n").alias("n"),
-                     (F.col("p") - F.col("w0")).alias("p")))
+    parts = (runs_of(repeated_windows(windows)).withColumnRenamed("n", "__n").join(crowd, ["a", "s"])
+             .select(RID, "a", "s", "copies", "w0", (F.col("w") + F.col("w0")).alias("w"), F.col("__n").alias("n")))
+    parts = store(parts, "hot_parts")
+    hot_runs = store(runs_of(equal_windows(window_bytes(rows, parts, length))), "hot_runs")
     fields = [RID, "a", "s", "copies", "w0", "w", "n", "p"]
-    pieces = store(stretches(rows, calm.select(fields).unionByName(parts.select(fields)), length), "pieces")
-    for done in (distinct, crowded, crowd, windows):
+    pieces = store(stretches(rows, calm.select(fields), length), "pieces")
+    for done in (distinct, crowded, crowd, windows, parts):
         drop_stored(done)
     unique = (pieces.withColumn("t", F.xxhash64("bytes", F.lit(1)))
               .groupBy("a", "t", "p", "bytes").agg(F.sum("copies").alias("copies")))
@@ -278,8 +328,8 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
                           F.xxhash64("bytes", F.lit(1)).alias("__t"))
             .join(repeated, (F.col("__a") == F.col("a")) & (F.col("__t") == F.col("s")))
             .select(F.col("__a").alias("a"), F.col("__s").alias("s"), (F.col("w0") + F.col("__w")).alias("w0"), "n"))
-    ranges = covered(found, back)
-    for done in (pieces, repeated, found):
+    ranges = covered(found, back.unionByName(hot_runs.select("a", "s", "w0", "n")))
+    for done in (pieces, repeated, hot_runs, found):
         drop_stored(done)
     return ranges
 

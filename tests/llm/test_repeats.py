@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corvid.llm import line_dedup, substring_dedup, suffix_dedup
-from corvid.llm.hashing import words
+from corvid.llm.hashing import BYTE_VALUE, Stretches, words
 from corvid.llm.seeds import segments, sliding_min
 from llm_fixtures import docs, package  # noqa: F401
 
@@ -145,3 +145,34 @@ def test_line_runs_equal_brute_force(docs, run):
 def test_repeated_rows_are_copies(docs):
     got = line_dedup.drop_later_runs(docs([(1, "a\nb"), (1, "a\nb")])).collect()
     assert sorted(r["n_removed"] for r in got) == [0, 2]
+
+
+def test_no_task_holds_a_hot_anchor(docs, monkeypatch):
+    rng, sizes = random.Random(4), []
+    data = np.frombuffer(bytes(rng.choice(b"mnopqrst") for _ in range(20_000)), np.uint8)
+    at = np.arange(len(data) - 6)
+    low = int(Stretches(BYTE_VALUE[0][data]).hash(at, at + 6).argmin())
+    phrase = data[low:low + 6].tobytes().decode()      # of the least hash: the anchor of all windows that hold it
+    families = ["".join(rng.choice("abcdefgh") for _ in range(14)) + phrase + "".join(rng.choice("abcdefgh") for _ in range(14))
+                for _ in range(30)]
+    texts = [f"{rng.randrange(10**6)}{f}{rng.randrange(10**6)}" for f in families for _ in range(2)]
+    whole = suffix_dedup.compare
+
+    def counted(pieces, length):
+        sizes.append(max([r["count"] for r in pieces.groupBy("a").count().collect()], default=0))
+        return whole(pieces, length)
+
+    monkeypatch.setattr(suffix_dedup, "compare", counted)
+    got = suffix_dedup.remove_repeats(docs(list(enumerate(texts))), length=20, gram=6, hot=4).collect()
+    want = {i: sum(m) for i, m in enumerate(brute([t.encode() for t in texts], 20))}
+    assert {r["doc_id"]: r["n_removed"] for r in got} == want and min(want.values()) >= 34
+    assert max(sizes) <= 4
+
+
+def test_windows_of_one_hash_are_told_apart(spark):
+    rows = [(1, 1, 5, 10, 0, 1, b"aa"), (1, 1, 5, 11, 3, 1, b"aa"), (1, 1, 5, 12, 0, 1, b"ab"),     # one hash, two contents
+            (2, 2, 5, 10, 1, 1, b"cc"), (2, 2, 5, 11, 4, 1, b"cc"), (3, 3, 5, 13, 0, 2, b"dd"), (4, 4, 5, 14, 0, 1, b"ee")]
+    rows = [(*r[:6], bytearray(r[6])) for r in rows]
+    df = spark.createDataFrame(rows, "h1 long, h2 long, a long, s long, i int, copies long, bytes binary")
+    assert sorted(tuple(r) for r in suffix_dedup.equal_windows(df).collect()) == [
+        (5, 10, 0), (5, 10, 1), (5, 11, 3), (5, 11, 4), (5, 13, 0)]
