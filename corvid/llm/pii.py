@@ -37,13 +37,14 @@ from corvid.llm.common import store
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret", "code", "number")
 LABELERS = 6
+CLEAR = 128      # leading characters of an assigned value that must hold no base span
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)++")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-ASSIGNED = re.compile(r"[=:]\x20?\"?([^\s\"=:,;]{6,128})")
+ASSIGNED = re.compile(r"[=:]\x20?\"?([^\s\"=:,;]{6,}+)")
 CODE = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[A-Z0-9]{13,32}(?![0-9A-Za-z])")
 DASHED = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
@@ -200,7 +201,9 @@ def candidates(text: str) -> list[tuple[int, int, int, bool, int]]:
         e = -minus_e
         while i < len(base) and base[i][1] <= s:
             i += 1
-        if s >= last and not any(b < e and s < f for b, f in base[max(0, i - 8):i + 8]):
+        # base spans far inside a long value do not keep the rest of it from being judged
+        near = min(e, s + CLEAR) if kind == KINDS.index("secret") else e
+        if s >= last and not any(b < near and s < f for b, f in base[max(0, i - 8):i + 8]):
             taken.append((kind, s, e, False))
             last = e
     taken.sort()

@@ -94,3 +94,11 @@ def test_find_and_mask(spark, docs):
 def test_mask_joins_overlaps():
     assert mask("abcdefgh", [("card", 1, 4), ("phone", 3, 6), ("ip", 7, 8)]) == "a[CARD]g[IP]"
     assert BASE_KINDS == ("email", "ip", "card", "phone")
+
+
+def test_long_values_are_masked_whole(docs):
+    long = "ab12cd34" * 40
+    rows = [(i, f"words here password=ab12cd34ef56{i} and more text") for i in range(30)]
+    rows += [(100, f"token={long} end"), (101, f"token={long}4111111111111111{long} end")]
+    texts = {r["doc_id"]: r["text"] for r in redact(docs(rows)).collect()}
+    assert texts[100] == "token=[SECRET] end" and texts[101] == "token=[SECRET] end"
