@@ -193,19 +193,17 @@ def candidates(text: str) -> list[tuple[int, int, int, bool, int]]:
         return []
     base = sorted((s, e) for _, s, e, passed in found if passed)
     taken = [(kind, s, e, passed) for kind, s, e, passed in found if passed]
-    last = -1
-    others = sorted([(s, -e, kind) for kind, s, e in wide]
-                    + [(s, -e, kind) for kind, s, e, passed in found if not passed])
+    others = sorted({(s, -e, kind) for kind, s, e in wide}
+                    | {(s, -e, kind) for kind, s, e, passed in found if not passed})
     i = 0
-    for s, minus_e, kind in others:      # leftmost longest, clear of base spans and of each other
+    for s, minus_e, kind in others:      # clear of base spans; overlaps are settled among the accepted ones
         e = -minus_e
         while i < len(base) and base[i][1] <= s:
             i += 1
         # base spans far inside a long value do not keep the rest of it from being judged
         near = min(e, s + CLEAR) if kind == KINDS.index("secret") else e
-        if s >= last and not any(b < near and s < f for b, f in base[max(0, i - 8):i + 8]):
+        if not any(b < near and s < f for b, f in base[max(0, i - 8):i + 8]):
             taken.append((kind, s, e, False))
-            last = e
     taken.sort()
     return [(k, s, e, p, pack(votes(text, k, s, e, p), features(text, k, s, e, p))) for k, s, e, p in taken]
 
@@ -296,9 +294,15 @@ def train(spans: DataFrame, spans_col: str = "__spans") -> np.ndarray:
 
 
 def accepted(spans: list[dict], chance: np.ndarray) -> list[tuple[str, int, int, bool]]:
-    """Base spans and the candidates the classifier accepts: (kind, start, end, base)."""
-    return [(KINDS[s["kind"]], s["start"], s["end"], s["base"]) for s in spans
-            if s["base"] or chance[s["code"] % 512] >= 0.5]
+    """Base spans and, leftmost longest, the candidates the classifier accepts: (kind, start, end, base)."""
+    out, last = [s for s in spans if s["base"]], -1
+    for s in sorted((s for s in spans if not s["base"] and chance[s["code"] % 512] >= 0.5),
+                    key=lambda s: (s["start"], -s["end"], s["kind"])):
+        if s["start"] >= last:
+            out.append(s)
+            last = s["end"]
+    out.sort(key=lambda s: (s["kind"], s["start"], s["end"]))
+    return [(KINDS[s["kind"]], s["start"], s["end"], s["base"]) for s in out]
 
 
 def joined(spans: list[tuple]) -> str:

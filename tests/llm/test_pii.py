@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from corvid.llm.pii import (BASE_KINDS, KINDS, candidates, find_pii, luhn, mask, pack, redact, reliabilities,
+from corvid.llm.pii import (BASE_KINDS, KINDS, accepted, candidates, find_pii, luhn, mask, pack, redact, reliabilities,
                             span_classifier, unpack)
 from llm_fixtures import docs, package  # noqa: F401
 
@@ -102,3 +102,16 @@ def test_long_values_are_masked_whole(docs):
     rows += [(100, f"token={long} end"), (101, f"token={long}4111111111111111{long} end")]
     texts = {r["doc_id"]: r["text"] for r in redact(docs(rows)).collect()}
     assert texts[100] == "token=[SECRET] end" and texts[101] == "token=[SECRET] end"
+
+
+def test_overlaps_are_settled_among_accepted_candidates():
+    names = ("kind", "start", "end", "base", "code")
+    spans = [dict(zip(names, c)) for c in candidates("ref: DE89370400440532013000 end")]
+    assert [(KINDS[s["kind"]], s["start"], s["end"]) for s in spans] == [
+        ("secret", 5, 27), ("code", 5, 27), ("number", 7, 27)]
+    chance = np.zeros(512)
+    assert accepted(spans, chance) == []
+    chance[spans[1]["code"] % 512] = 0.9           # the code alone
+    assert accepted(spans, chance) == [("code", 5, 27, False)]
+    chance[spans[0]["code"] % 512] = 0.9
+    assert len(accepted(spans, chance)) == 1
