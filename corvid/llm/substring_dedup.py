@@ -1,15 +1,14 @@
-"""Substring dedup by seed and extend, over words.
+"""Substring dedup by seeds and window hashes, over words.
 
 Seeds are winnowed anchors of ``GRAM`` words (see :mod:`corvid.llm.seeds`): any
-window of ``LENGTH`` words holds one.  Occurrences of the same anchor meet by an
-equi-join on the anchor; an anchor found once has no match.  An occurrence is
-extended to the left and right as far as a window of ``LENGTH`` words around the
-anchor reaches.  Where all occurrences agree over the whole stretch, all of it
-repeats; where they part, each way of extending (left part, anchor, right part)
-is looked up among the extensions of the other occurrences, grouped by its
-128-bit hash and combined map-side, so that an anchor in a third of all rows
-makes no pairs and no large group.  The union of repeated windows of a text are
-its maximal repeats over the length threshold; their words are removed.
+window of ``LENGTH`` words holds one.  Anchors only filter: one found once has no
+match.  Segments are the stretches of windows around an anchor; where all segments
+of an anchor have the same hash, all of it repeats.  Of the others, each distinct
+segment once, every window of ``LENGTH`` words is counted by its 128-bit hash,
+combined map-side, so that an anchor in a third of all rows makes no pairs and no
+large group.  No occurrence is extended and no two are compared: equal hashes count
+as equal words.  The union of repeated windows of a text are its maximal repeats
+over the length threshold; their words are removed.
 
 Defined cases: a null or empty text has no words; a text shorter than a window
 loses nothing; repeated rows are copies of each other; null ids are kept; an
