@@ -1,6 +1,6 @@
 """All queries of this subpackage.  Importing this module fills the registry."""
 
-from corvid.llm import (q_exact, q_lines, q_near, q_packing, q_pii, q_sentencepiece, q_substring,  # noqa: F401
+from corvid.llm import (q_conversations, q_exact, q_lines, q_near, q_packing, q_pii, q_sentencepiece, q_substring,  # noqa: F401
                         q_suffix, q_topk, q_toxicity)
 from corvid.llm.registry import ORACLES, QUERIES
 

@@ -20,10 +20,12 @@ COLUMNS = {
     "op8_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op9_sentencepiece": ["doc_id", "n_ids", "ids_sha256", "decoded_sha256", "round_trip"],
     "op10_threshold_top_k": ["query_id", "rank", "vec_id", "score"],
+    "op13_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                                 "repaired_sha256"],
 }
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     assert sorted(catalog.queries()) == sorted(COLUMNS)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "pii", "packing"]
 
@@ -33,7 +35,7 @@ def test_query(spark, name):
     df = catalog.queries()[name](spark, SF_SMALL)
     assert df.columns == COLUMNS[name]
     rows = [tuple(r) for r in df.collect()]
-    if name in ("op4_best_fit_packing", "op10_threshold_top_k"):
+    if name in ("op4_best_fit_packing", "op10_threshold_top_k", "op13_conversation_repair"):
         assert rows
     else:
         assert len(rows) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
