@@ -1,12 +1,15 @@
 """Vectorised hashes of words and n-grams over UTF-8 buffers (numpy, inside tasks).
 
-Hashes are polynomials over 64-bit values modulo 2^64, taken from prefix sums,
-so a hash of any stretch costs two look-ups, then mixed.  The tables come from
-a fixed seed: every task, executor and run hashes alike.
+Words are hashed block by block and runs of a fixed number of words by doubling,
+with a mixing step between any two parts.  :class:`Stretches` hashes stretches of
+any length by polynomials modulo 2^64 from prefix sums: it serves as a filter (where
+to look, what to merge), never as the last word on whether two words are equal.
+The constants are fixed: every task, executor and run hashes alike.
 """
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
@@ -78,5 +81,47 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return start, end, np.searchsorted(start, off, "left")
 
 
+_SEEDS = (_U(0x243F6A8885A308D3), _U(0x13198A2E03707344))
+LONG_WORD = 64
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
-    return Stretches(BYTE_VALUE[which][data], which).hash(start, end)
+    """64-bit hash of every word: its length and its 8-byte blocks, mixed one after the other.
+
+    No polynomial: mixing between the blocks leaves no family of words that collide
+    for every base.  Words over ``LONG_WORD`` bytes take blake2b, keyed by ``which``.
+    """
+    size = end - start
+    out = mix(size.astype(_U) * BASE[which] + _SEEDS[which])
+    if not len(out):
+        return out
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    block = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))      # the 8 bytes from every place on
+    short = np.flatnonzero(size <= LONG_WORD)
+    at = 0
+    while len(short):
+        left = size[short] - at
+        value = block[start[short] + at]
+        part = left < 8
+        value[part] &= (_U(1) << (left[part] * 8).astype(_U)) - _U(1)
+        out[short] = mix((out[short] ^ value) * BASE[which] + _SEEDS[which])
+        at += 8
+        short = short[left > 8]
+    for i in np.flatnonzero(size > LONG_WORD):
+        word = data[start[i]:end[i]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8, person=b"words%d" % which).digest(), "little")
+    return out
+
+
+def gram_hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every ``size`` consecutive values, by doubling: two halves (overlapping at the end) mixed in order."""
+    def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return mix(mix(a * BASE[0] + _SEEDS[0]) + b * BASE[1])
+
+    span, out = 1, values
+    while 2 * span <= size:
+        out = pair(out[:max(0, len(out) - span)], out[span:])
+        span *= 2
+    if span < size:
+        out = pair(out[:max(0, len(out) - (size - span))], out[size - span:])
+    return out

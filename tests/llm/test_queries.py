@@ -20,6 +20,7 @@ COLUMNS = {
     "op8_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op9_sentencepiece": ["doc_id", "n_ids", "ids_sha256", "decoded_sha256", "round_trip"],
     "op10_threshold_top_k": ["query_id", "rank", "vec_id", "score"],
+    "op12_ngram_jaccard_join": ["doc_id", "n_shingles", "component_id"],
     "op13_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
                                  "repaired_sha256"],
 }
