@@ -20,6 +20,7 @@ COLUMNS = {
     "op8_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op9_sentencepiece": ["doc_id", "n_ids", "ids_sha256", "decoded_sha256", "round_trip"],
     "op10_threshold_top_k": ["query_id", "rank", "vec_id", "score"],
+    "op11_phrase_collocations": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
     "op12_ngram_jaccard_join": ["doc_id", "n_shingles", "component_id"],
     "op13_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
                                  "repaired_sha256"],
@@ -36,7 +37,8 @@ def test_query(spark, name):
     df = catalog.queries()[name](spark, SF_SMALL)
     assert df.columns == COLUMNS[name]
     rows = [tuple(r) for r in df.collect()]
-    if name in ("op4_best_fit_packing", "op10_threshold_top_k", "op13_conversation_repair"):
+    if name in ("op4_best_fit_packing", "op10_threshold_top_k", "op13_conversation_repair",
+                "op11_phrase_collocations"):
         assert rows
     else:
         assert len(rows) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
