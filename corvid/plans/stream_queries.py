@@ -55,3 +55,47 @@ def q_stream_stop_table(spark, sf):
     kept = ts.stop_list_stream(ts.stream_words(_doc_lines(spark, sf)), stop)
     ts.run_until_done(ts.start_append(kept, f"{base}/out", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/out").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _in_parts(spark, sf, base, parts):
+    """The documents dealt by id over ``parts`` folders, for streams that take several batches."""
+    docs = load_table(spark, sf, "documents").select("doc_id", "text")
+    for i in range(parts):
+        docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == i).coalesce(1).write.parquet(f"{base}/in/part={i}")
+
+
+def _run_parts(spark, base, found, start, files_per_batch=1):
+    lines = ts.line_stream(spark, f"{base}/in/part={found}", fmt="parquet", text_col="text", schema="doc_id long, text string",
+                           max_files_per_trigger=files_per_batch)
+    ts.run_until_done(start(ts.stream_words(lines)))
+
+
+@query("stream_running_count", _WORDS_SQL + """
+SELECT word, count(*) AS n, count(*) AS from_batches, 4 AS batches FROM dw GROUP BY word""", ("T01", "T03", "T05"))
+def q_stream_running_count(spark, sf):
+    """Counts carried over four batches, with a restart from the checkpoint after the second."""
+    base = scratch_path(spark, "stream-running")
+    _in_parts(spark, sf, base, 4)
+
+    def start(words):
+        return ts.start_running_word_count(words, f"{base}/out", f"{base}/ckpt")
+
+    _run_parts(spark, base, "[01]", start)
+    _run_parts(spark, base, "[0123]", start)
+    running = spark.read.option("basePath", f"{base}/out/running").schema("word string, n long, batch_id int").parquet(f"{base}/out/running")
+    added = spark.read.schema("word string, n long, batch_id int").parquet(f"{base}/out/added")
+    batches = running.agg(F.count_distinct("batch_id")).scalar()
+    now = running.groupBy("word").agg(F.max("n").alias("n"))
+    sums = added.groupBy("word").agg(F.sum("n").alias("from_batches"))
+    return now.join(sums, "word").select("word", "n", "from_batches", batches.cast("int").alias("batches"))
+
+
+@query("stream_memory_sink", _WORDS_SQL + """
+SELECT CAST(least(length(word), 64) AS INTEGER) AS letters, count(*) AS n FROM dw GROUP BY 1""", ("K07", "T05"))
+def q_stream_memory_sink(spark, sf):
+    """Running counts per word length (65 rows at most) in the memory sink, read back as a table."""
+    name = "lengths_" + scratch_path(spark, "m").rsplit("-", 1)[1]
+    words = ts.stream_words(_doc_lines(spark, sf))
+    counts = words.groupBy(F.least(F.length("word"), F.lit(64)).alias("letters")).agg(F.count(F.lit(1)).alias("n"))
+    ts.run_until_done(ts.start_append(counts, name, f"{scratch_path(spark, 'stream-memory')}/ckpt", fmt="memory", mode="complete"))
+    return spark.table(name)

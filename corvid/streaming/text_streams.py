@@ -71,15 +71,53 @@ def running_word_count(words: DataFrame) -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def start_running_word_count(words: DataFrame, out_path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """T01 + T03: counts carried over between batches in the state store, and the counts of each batch alone.
+
+    Every batch writes the words it changed: ``n`` up to now under ``running/batch_id=<n>``, and what the batch
+    added under ``added/batch_id=<n>``.  A retried batch replaces its own output; a restart from the same
+    checkpoint goes on with the state of the last finished batch.
+    """
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+    def per_batch(changed: DataFrame, batch_id: int) -> None:
+        changed.persist()
+        try:
+            changed.write.mode("overwrite").parquet(f"{out_path}/running/batch_id={batch_id}")
+            spark = changed.sparkSession
+            earlier = _batches_before(spark, f"{out_path}/running", batch_id)
+            before = (spark.read.schema("word string, n long").parquet(*earlier) if earlier
+                      else spark.createDataFrame([], "word string, n long"))
+            known = before.groupBy("word").agg(F.max("n").alias("before"))
+            added = (changed.join(known, changed["word"].eqNullSafe(known["word"]), "left")
+                     .select(changed["word"], (F.col("n") - F.coalesce("before", F.lit(0))).alias("n")))
+            added.write.mode("overwrite").parquet(f"{out_path}/added/batch_id={batch_id}")
+        finally:
+            changed.unpersist()
+
+    w = counted.writeStream.outputMode("update").foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
+def _batches_before(spark: SparkSession, path: str, batch_id: int) -> list[str]:
+    """Folders of the batches before this one that have been written."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return [f"{path}/{n}" for n in names if n.startswith("batch_id=") and int(n.split("=")[1]) < batch_id]
+
+
 def stop_list_stream(words: DataFrame, stop=STREAM_STOP_LIST) -> DataFrame:
     """Words not on the stop list (a list or a table), duplicates kept."""
     return stop_list_filter(words, stop)
 
 
 def start_append(df: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet",
-                 trigger: str | None = None) -> StreamingQuery:
-    """Append a stream to a file sink (K07 use ``fmt="console"``/``"memory"``)."""
-    w = df.writeStream.outputMode("append").format(fmt).option("checkpointLocation", checkpoint)
+                 trigger: str | None = None, mode: str = "append") -> StreamingQuery:
+    """Append a stream to a file sink (K07 use ``fmt="console"``/``"memory"``; ``mode="complete"`` for a small table
+    of running aggregates, the only thing the memory sink, which lives on the driver, should hold)."""
+    w = df.writeStream.outputMode(mode).format(fmt).option("checkpointLocation", checkpoint)
     if fmt not in ("console", "memory"):
         w = w.option("path", out_path)
     elif fmt == "memory":
