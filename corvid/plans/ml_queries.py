@@ -43,7 +43,7 @@ def q_forest(spark, sf):
     return pred.select("artist_id", "ds", "label", F.round("prediction", 4).alias("prediction"))
 
 
-@query("gbt_regression", None, ("M12", "M28", "M14"))
+@query("gbt_regression", None, ("M12", "M14"))
 def q_gbt_regression(spark, sf):
     data = _features(spark, sf).withColumn("_key", F.concat_ws("|", "artist_id", "ds"))
     train, test = ml.hash_split(data, "_key", 80)
