@@ -115,6 +115,14 @@ def gbt_regression(train: DataFrame, test: DataFrame, trees: int = 10, depth: in
     return m, m.transform(test)
 
 
+def gbt_score_table(train: DataFrame, valid: DataFrame, trees: int = 10, depth: int = 5, seed: int = 7) -> DataFrame:
+    """``trees, train_mse, valid_mse``: the error after each tree on both frames."""
+    m = GBTRegressor(maxIter=trees, maxDepth=depth, seed=seed).fit(train)
+    scores = zip(m.evaluateEachIteration(train, "squared"), m.evaluateEachIteration(valid, "squared"))
+    return train.sparkSession.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(scores, 1)],
+                                              "trees int, train_mse double, valid_mse double")
+
+
 def gamma_glm(df: DataFrame, link: str = "inverse", reg_grid=(0.0, 0.01, 0.1), seed: int = 7):
     """Gamma GLM with an explicit link and a regularization search
     (the reference's lambda search) by train/validation split."""

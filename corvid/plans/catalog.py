@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from corvid.plans import (activity_queries, basic_queries, io_queries, json_queries,  # noqa: F401
-                          keyed_tree_queries, ml_queries, neural_queries, position_queries, regression_queries, scoring_queries,
-                          stream_queries, text_queries, vector_queries)
+from corvid.plans import (activity_queries, basic_queries, check_queries, glm_queries, io_queries,  # noqa: F401
+                          json_queries, keyed_tree_queries, ml_queries, neural_queries, position_queries,
+                          regression_queries, scoring_queries, stream_queries, text_queries,
+                          vector_queries)
 from corvid.plans.registry import REGISTRY
 
 
