@@ -38,6 +38,7 @@ def _tail_regex(sep_regex: str) -> str:
     return (sep_regex if sep_regex.endswith("+") else f"(?:{sep_regex})+") + r"\z"
 
 
+_LITERAL = re.compile(r"^\\?([^\w\\.*+?^$|()\[\]{}])$")      # one plain character, escaped or not
 _ONE_CHAR = re.compile(r"^(?:\\.|\\[A-Za-z]|[^\\\[\](){}.*+?^$|])\+?$")
 
 
@@ -48,7 +49,10 @@ def _strip_trailing(col: Column, sep_regex: str) -> Column:
     in the middle of a text (quadratic on junk).  For one-character
     separators (``\W+``, a blank, a comma) the match may only start where a
     run starts (negative look-behind) and takes the run possessively, so
-    every run is scanned once."""
+    every run is scanned once.  One plain character needs no regex at all."""
+    literal = _LITERAL.match(sep_regex)
+    if literal:
+        return F.rtrim(col, F.lit(literal.group(1)))
     if _ONE_CHAR.match(sep_regex):
         unit = sep_regex[:-1] if sep_regex.endswith("+") else sep_regex
         return F.regexp_replace(col, f"(?<!{unit})(?:{unit})++\\z", "")
