@@ -5,23 +5,25 @@ Two documents link when the sets of their ``SIZE``-word shingles have at least
 
 1. Equal sets are merged first; every later step sees each distinct set once.
 2. Shingles are ordered rarest first.  How rare one is comes from ``SLOTS`` counters
-   over all sets, summed by block of counters; any order is right, this one keeps
+   over all texts, summed by block of counters; any order is right, this one keeps
    frequent shingles out of the prefixes.  The table has ``SLOTS`` entries at any
    input size and is all that tasks share.
 3. A set's prefix is its first ``n * (100 - PERCENT) / 100 + 1`` shingles: sets that
    link have a shingle of their prefixes in common.  Sets of equal size and equal
    prefix collapse into one group; a group enters the lists once, whatever the
    number of its members.
-4. Prefix shingles are sorted by range over (shingle, size, group), so that a list of
-   any length lies over as many tasks as it needs.  Those found once drop out.
+4. Prefix shingles are sorted by range over (shingle, place, size, group), so that a
+   list of any length lies over as many tasks as it needs.  Those found once drop out.
 5. Group pairs are filtered by size and by the place of the common shingle: what
-   stands before it cannot match.  Then they are expanded to members and verified on
-   full sets.  Verified links are contracted to components, and a list asks first
-   only neighbours in its order, of these each group its partners with the most
-   common prefix shingles.  The last round asks for every pair of groups, and every
-   pair of members, that is not yet in one component: lists whose members are all in
-   one component are closed, so a family of near copies never makes all its pairs,
-   and no link between two components can be missing at the end.
+   stands before it cannot match.  Then they are expanded to members, and member pairs
+   are filtered by parity maps of ``BITS`` bits (two sets differ in at least as many
+   shingles as their maps differ in bits) and verified on full sets.  Verified links
+   are contracted to components.  A list first asks each group only about its neighbour
+   and about the list's head, the set with the fewest shingles of its own.  The last
+   round asks for every pair of groups, and every pair of members, that is not yet in
+   one component: lists whose members are all in one component are closed, so a family
+   of near copies never makes all its pairs, and no link between two components can be
+   missing at the end.
 
 Defined cases: a null, empty or blank text has an empty set and links with nothing;
 fewer words than ``SIZE`` make one shingle of all of them; repeated rows are equal
@@ -46,9 +48,9 @@ SIZE = 4
 PERCENT = 85
 SLOTS = 1 << 22
 BLOCK = 1 << 10
-#: rounds that ask each group's likeliest partners before the last round asks for all that is open
+BITS = 1024
+#: rounds that ask each set's likeliest partner before the last round asks for all that is open
 EARLY_ROUNDS = 2
-PARTNERS = 2
 
 
 # --- sets ---------------------------------------------------------------------------
@@ -162,7 +164,7 @@ def _one_block(block: int, total: np.ndarray) -> pa.RecordBatch:
 # --- prefixes and groups ----------------------------------------------------------------
 
 def prefixes(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """``node, n, key`` (digest of size and prefix) and ``prefix``, rarest shingle first, of numbered rows."""
+    """``node, n, key`` (digest of size and prefix), ``bits`` and ``prefix``, rarest shingle first, of numbered rows."""
     rare = rows.sparkSession.sparkContext.broadcast(rarity(rows, size))
 
     def cut(batches):
@@ -172,6 +174,7 @@ def prefixes(rows: DataFrame, size: int, percent: int) -> DataFrame:
             of = np.repeat(np.arange(len(n), dtype=np.uint64), n)
             # stable: shingles of one slot count stay in the order of their hashes
             flat = flat[np.argsort((of << np.uint64(16)) | rare.value[slots_of(flat)], kind="stable")]
+            bits = parity_maps(flat, of, len(n))
             take = np.where(n > 0, n * (100 - percent) // 100 + 1, 0)
             bounds = np.concatenate([[0], np.cumsum(take)])
             pick = np.arange(bounds[-1]) - np.repeat(bounds[:-1], take) + np.repeat(off[:-1], take)
@@ -180,29 +183,48 @@ def prefixes(rows: DataFrame, size: int, percent: int) -> DataFrame:
                    for a, b, m in zip(bounds[:-1], bounds[1:], n)]
             yield pa.RecordBatch.from_arrays(
                 [part.column(RID), pa.array(n), pa.array(key, pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * bits.shape[1]), pa.array(bits.ravel())),
                  pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(chosen.view(np.int64)))],
-                names=["node", "n", "key", "prefix"])
+                names=["node", "n", "key", "bits", "prefix"])
 
-    return rows.select(RID, "__text").mapInArrow(cut, "node long, n long, key binary, prefix array<long>")
+    return rows.select(RID, "__text").mapInArrow(cut, "node long, n long, key binary, bits array<long>, prefix array<long>")
+
+
+def parity_maps(flat: np.ndarray, of: np.ndarray, sets: int) -> np.ndarray:
+    """``BITS`` bits per set, as int64 words: whether an odd number of its shingles falls on the bit."""
+    out = np.empty((sets, BITS // 64), np.int64)
+    step = max(1, (1 << 22) // BITS)
+    for lo in range(0, sets, step):
+        hi = min(sets, lo + step)
+        a, b = np.searchsorted(of, [lo, hi])
+        spot = (of[a:b].astype(np.int64) - lo) * BITS + (flat[a:b] & np.uint64(BITS - 1)).astype(np.int64)
+        odd = (np.bincount(spot, minlength=(hi - lo) * BITS) & 1).astype(bool)
+        out[lo:hi] = np.packbits(odd, bitorder="little").view(np.int64).reshape(hi - lo, -1)
+    return out
+
+
+def differing(x: str, y: str):
+    """In how many bits two parity maps differ."""
+    total = F.lit(0)
+    for k in range(BITS // 64):
+        total = total + F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k]))
+    return total
 
 
 def postings(groups: DataFrame) -> DataFrame:
-    """Prefix shingles that two groups share: ``s, g, n, i``, and the row before in the list (``pg, pn, pi``).
+    """Prefix shingles that two groups share: ``s, i, n, g``, the group before in the list ``pg`` and its head ``hg``.
 
-    Sorted by range over the whole (shingle, size, group): a list may run over many
-    tasks.  Rows at the edge of a task stay, whatever lies beyond.
+    Sorted by range over the whole (shingle, place, size, group): a list may run over
+    many tasks (the head is then the first one in the task).  Rows at the edge of a
+    task stay, whatever lies beyond.
     """
     rows = (groups.select("g", "n", F.posexplode("prefix").alias("i", "s"))
-            .select("s", F.col("n").cast("long").alias("n"), "g", F.col("i").cast("long").alias("i"))
-            .repartitionByRange("s", "n", "g").sortWithinPartitions("s", "n", "g"))
-
-    def chosen(cols, same, at):
-        out = [pa.array(c[at]) for c in cols]
-        out += [pa.array(cols[k][at - 1], mask=~same[at]) for k in (2, 1, 3)]
-        return pa.RecordBatch.from_arrays(out, names=["s", "n", "g", "i", "pg", "pn", "pi"])
+            .select("s", F.col("i").cast("long").alias("i"), F.col("n").cast("long").alias("n"), "g")
+            .repartitionByRange("s", "i", "n", "g").sortWithinPartitions("s", "i", "n", "g"))
 
     def scan(batches):
         held = None                                   # the last two rows; of these the last waits for its successor
+        head = None                                   # (shingle, head) of the last row's list
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -210,18 +232,28 @@ def postings(groups: DataFrame) -> DataFrame:
             if held is not None:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
             done = 0 if held is None else len(held[0]) - 1
-            same = np.zeros(len(cols[0]), bool)       # one list with the row before
-            same[1:] = cols[0][1:] == cols[0][:-1]
+            s, g = cols[0], cols[3]
+            same = np.zeros(len(s), bool)             # one list with the row before
+            same[1:] = s[1:] == s[:-1]
+            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(s))))
+            heads = g[first]
+            if head is not None:
+                heads = np.where(s == head[0], head[1], heads)
             keep = same.copy()
             keep[:-1] |= same[1:]
             if done == 0:
                 keep[0] = True
-            yield chosen(cols, same, np.flatnonzero(keep[done:-1]) + done)
-            held, same = [c[-2:] for c in cols], same[-2:]
+            yield chosen(cols, heads, same, np.flatnonzero(keep[done:-1]) + done)
+            held, same, heads, head = [c[-2:] for c in cols], same[-2:], heads[-2:], (s[-1], heads[-1])
         if held is not None:
-            yield chosen(held, same, np.array([len(held[0]) - 1]))
+            yield chosen(held, heads, same, np.array([len(held[0]) - 1]))
 
-    return rows.mapInArrow(scan, "s long, n long, g long, i long, pg long, pn long, pi long")
+    def chosen(cols, heads, same, at):
+        out = [pa.array(c[at]) for c in cols]
+        out += [pa.array(x, mask=~same[at]) for x in (cols[3][at - 1], heads[at])]
+        return pa.RecordBatch.from_arrays(out, names=["s", "i", "n", "g", "pg", "hg"])
+
+    return rows.mapInArrow(scan, "s long, i long, n long, g long, pg long, hg long")
 
 
 def _possible(n1, i1, n2, i2, percent: int):
@@ -233,13 +265,18 @@ def _possible(n1, i1, n2, i2, percent: int):
 
 # --- links --------------------------------------------------------------------------------
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes (``a``, ``b``) whose full sets reach the threshold."""
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"))
+def confirmed(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs of nodes (``a``, ``b``) whose full sets, made from the texts of numbered rows, reach the threshold."""
+    wanted = pairs.select(F.col("a").alias(RID)).union(pairs.select("b")).distinct()
+    # one plan at every size: pairs grow with the input and are never a broadcast
+    sets = store(sets_of(rows.join(wanted.hint("shuffle_hash"), RID, "left_semi"), size), "join_sets")
+    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")).hint("merge"), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")).hint("merge"), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
-    return (both.select("a", "b", common.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
-            .filter(F.col("i") * 100 >= percent * (F.col("n") - F.col("i"))).select("a", "b"))
+    found = store(both.select("a", "b", common.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
+                  .filter(F.col("i") * 100 >= percent * (F.col("n") - F.col("i"))).select("a", "b"), "join_links")
+    drop_stored(sets)
+    return found
 
 
 def _pair(x, y):
@@ -247,89 +284,97 @@ def _pair(x, y):
 
 
 def _with_part(members: DataFrame, parts: DataFrame | None) -> DataFrame:
-    """Members (``node``, ``g``) with ``part``, their component so far (themselves if none)."""
+    """Members with ``part``, their component so far (themselves if none)."""
     if parts is None:
         return members.withColumn("part", F.col("node"))
     named = parts.select(F.col("node").alias("__n"), "component")
     return (members.join(named, F.col("node") == F.col("__n"), "left")
-            .select("node", "g", F.coalesce("component", "node").alias("part")))
+            .withColumn("part", F.coalesce("component", "node")).drop("__n", "component"))
 
 
-def links(rows: DataFrame, size: int, percent: int) -> DataFrame | None:
-    """(``node``, ``component``) of the linked ones among numbered rows with distinct sets; None if there is no link."""
-    cut = store(prefixes(rows, size, percent), "join_prefixes")
-    cut = cut.filter("n > 0")
-    named = store(cut.groupBy("key").agg(F.min("node").alias("g")), "join_groups")
-    members = store(cut.join(named, "key").select("node", "g"), "join_members")
-    groups = cut.join(named.select(F.col("g").alias("node"), F.col("g")), "node").select("g", "n", "prefix")
-    lists = store(postings(groups), "join_lists")
+def near(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of nodes whose parity maps allow a link, with ``far``, the share of shingles that differ at least."""
+    def side(name):
+        return members.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("bits").alias(f"w{name}"))
+
+    both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
+    sizes = F.col("na") + F.col("nb")
+    return (both.withColumn("d", differing("wa", "wb")).filter(F.col("d") * (100 + percent) <= sizes * (100 - percent))
+            .select("a", "b", (F.col("d") / sizes).alias("far")))
+
+
+def links(rows: DataFrame, nodes: DataFrame, size: int, percent: int, tested: DataFrame | None = None,
+          found: DataFrame | None = None, early_rounds: int = EARLY_ROUNDS) -> DataFrame | None:
+    """(``node``, ``component``) of the linked ones among the ``nodes`` of numbered rows; None if there is no link.
+
+    ``nodes``: one row of each distinct set.  ``tested`` and ``found``: pairs that were verified before and those of
+    them that link, from another source of candidates.
+    """
+    cut = store(prefixes(rows, size, percent).filter("n > 0").join(nodes.hint("shuffle_hash"), "node", "left_semi"), "join_prefixes")
+    named = cut.groupBy("key").agg(F.min("node").alias("g"))
+    members = store(cut.join(named, "key").select("node", "g", "n", "bits"), "join_members")
+    lists = store(postings(cut.join(members.filter("node = g").select("node", "g"), "node").select("g", "n", "prefix")), "join_lists")
     drop_stored(cut)
 
-    # first: neighbours in the lists, and each member's group
-    beside = (lists.filter(F.col("pg").isNotNull() & _possible(F.col("n"), F.col("i"), F.col("pn"), F.col("pi"), percent))
-              .groupBy(*_pair("g", "pg")).agg(F.count("*").alias("shared")))
-    beside = store(beside, "join_beside")
-    inside = members.filter("node <> g").select(*_pair("node", "g"))
-    # whoever can be asked at all: members of groups that share a list, or a group
-    several = lists.select("g").union(members.groupBy("g").count().filter("count > 1").select("g")).distinct()
-    wanted = members.join(several, "g", "left_semi").select(F.col("node").alias(RID))
-    sets = store(sets_of(rows.join(wanted, RID, "left_semi"), size), "join_sets")
-
-    found = tested = parts = None
-    for number in range(EARLY_ROUNDS + 1):
-        parted = store(_with_part(members, parts), "join_parts")
-        if number < EARLY_ROUNDS:
-            lead = parted.filter("node = g").select("g", "part")
-            open_pairs = (beside.join(lead.toDF("a", "pa"), "a").join(lead.toDF("b", "pb"), "b").filter("pa <> pb"))
-            if tested is not None:
-                open_pairs = open_pairs.join(tested, ["a", "b"], "left_anti")
-            asked = likeliest(store(open_pairs.select("a", "b", "shared"), "join_open_pairs"))
-            if number == 0:
-                asked = asked.unionByName(inside)
+    # first: neighbours and heads in the lists, and each member's group
+    beside = (lists.select(F.explode(F.array("pg", "hg")).alias("x"), "g").filter("x is not null and x <> g").select(*_pair("x", "g"))
+              .union(members.filter("node <> g").select(*_pair("node", "g"))).distinct())
+    beside = store(near(beside, members, percent), "join_beside")
+    parts = None if found is None or found.isEmpty() else store(connected_components(found), "join_components")
+    for number in range(early_rounds + 1):
+        if number < early_rounds:
+            asked = likeliest(across(beside, parts))
         else:
-            asked = open_members(lists, parted, percent)
-            asked = asked if tested is None else asked.join(tested, ["a", "b"], "left_anti")
+            asked = open_members(lists, store(_with_part(members, parts), "join_parts"), percent)
+        asked = asked if tested is None else asked.join(tested, ["a", "b"], "left_anti")
         asked = store(asked, "join_pairs")
-        new = store(confirmed(asked, sets, percent), "join_links")
+        new = confirmed(asked, rows, size, percent)
         tested = asked if tested is None else tested.unionByName(asked)
         found = new if found is None else found.unionByName(new)
         if not new.isEmpty():
             parts = store(connected_components(found), "join_components")
-    drop_stored(sets)
     return parts
 
 
+def across(pairs: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """Those of the pairs that join two components."""
+    if parts is None:
+        return pairs
+    a = _with_part(pairs.withColumn("node", F.col("a")), parts).withColumnRenamed("part", "pa")
+    return _with_part(a.withColumn("node", F.col("b")), parts).filter("pa <> part").select("a", "b", "far")
+
+
 def likeliest(pairs: DataFrame) -> DataFrame:
-    """Of the pairs (``a``, ``b``, ``shared``) each side's ``PARTNERS`` with the most shared, ties to smaller ids."""
-    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "shared").unionByName(
-        pairs.select(F.col("b").alias("x"), F.col("a").alias("y"), "shared"))
-    left, out = both, None
-    for _ in range(PARTNERS):
-        best = left.groupBy("x").agg(F.min_by("y", F.struct(-F.col("shared"), F.col("y"))).alias("y"))
-        out = best if out is None else out.unionByName(best)
-        left = left.join(best, ["x", "y"], "left_anti")
-    return out.select(*_pair("x", "y")).distinct()
+    """Of the pairs (``a``, ``b``, ``far``) each side's nearest, ties to the smaller node."""
+    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "far").unionByName(
+        pairs.select(F.col("b").alias("x"), F.col("a").alias("y"), "far"))
+    best = both.groupBy("x").agg(F.min_by("y", F.struct("far", "y")).alias("y"))
+    return best.select(*_pair("x", "y")).distinct()
 
 
 def open_members(lists: DataFrame, parted: DataFrame, percent: int) -> DataFrame:
     """All distinct member pairs (``a`` < ``b``) between components, of one group or of groups that may link."""
-    spans = store(parted.groupBy("g").agg(F.min("part").alias("lo"), F.max("part").alias("hi")), "join_spans")
-    rows = lists.select("s", "n", "g", "i").join(spans, "g")
+    spans = store(parted.groupBy("g").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("k"),
+                                          F.min_by("bits", "node").alias("bits")), "join_spans")
+    rows = lists.select("s", "i", "n", "g").join(spans.drop("bits"), "g")
     # a list within one component has nothing left to ask
     open_lists = rows.groupBy("s").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).filter("l <> h").select("s")
-    rows = store(rows.join(open_lists, "s", "left_semi"), "join_open")
-    large = rows.select("s", *[F.col(c).alias(f"{c}1") for c in ("g", "n", "i", "lo", "hi")])
+    rows = store(rows.join(open_lists, "s", "left_semi").join(spans.select("g", "bits").hint("merge"), "g"), "join_open")
+    large = rows.select("s", *[F.col(c).alias(f"{c}1") for c in ("i", "n", "g", "lo", "hi", "k", "bits")])
     small = (rows.filter(F.col("i") * (100 + percent) <= F.col("n") * (100 - percent))
-             .select(F.col("s").alias("t"), *[F.col(c).alias(f"{c}2") for c in ("g", "n", "i", "lo", "hi")]))
-    pairs = (large.join(small, (F.col("s") == F.col("t")) & (F.struct("n1", "g1") > F.struct("n2", "g2"))
-                        & _possible(F.col("n1"), F.col("i1"), F.col("n2"), F.col("i2"), percent)
-                        & ~((F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo1") == F.col("lo2"))))
+             .select(F.col("s").alias("t"), *[F.col(c).alias(f"{c}2") for c in ("i", "n", "g", "lo", "hi", "k", "bits")]))
+    one_part = (F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo1") == F.col("lo2"))
+    # groups of one member can be told apart here by their parity maps, others after they are expanded
+    apart = ((F.col("k1") == 1) & (F.col("k2") == 1)
+             & (differing("bits1", "bits2") * (100 + percent) > (F.col("n1") + F.col("n2")) * (100 - percent)))
+    pairs = (large.join(small.hint("merge"), (F.col("s") == F.col("t")) & (F.struct("n1", "g1") > F.struct("n2", "g2"))
+                        & _possible(F.col("n1"), F.col("i1"), F.col("n2"), F.col("i2"), percent) & ~one_part & ~apart)
              .select("g1", "g2").distinct())
     own = spans.filter("lo <> hi").select(F.col("g").alias("g1"), F.col("g").alias("g2"))
     one = parted.select(F.col("g").alias("g1"), F.col("node").alias("x"), F.col("part").alias("px"))
     two = parted.select(F.col("g").alias("g2"), F.col("node").alias("y"), F.col("part").alias("py"))
-    return (pairs.unionByName(own).join(one, "g1").join(two, "g2").filter("px <> py")
-            .select(*_pair("x", "y")).distinct())
+    every = pairs.unionByName(own).join(one, "g1").join(two, "g2").filter("px <> py").select(*_pair("x", "y")).distinct()
+    return near(every, parted, percent).select("a", "b")
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
@@ -339,8 +384,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     marks = store(marked_rows(rows, size), "join_marks")
     distinct = store(marks.filter("digest is not null").groupBy("digest")
                      .agg(F.min(RID).alias("node"), F.min("__id").alias("low")), "join_distinct")
-    firsts = store(rows.join(distinct.select(F.col("node").alias(RID)), RID, "left_semi"), "join_texts")
-    parts = links(firsts, size, percent)
+    parts = links(rows, distinct.select("node"), size, percent)
     named = distinct.withColumn("part", F.col("node"))
     if parts is not None:
         named = (distinct.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")))

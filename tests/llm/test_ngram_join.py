@@ -116,7 +116,8 @@ def test_lists_keep_what_is_shared(spark):
     kept = {}
     for r in lists:
         kept.setdefault(r["s"], set()).add(r["g"])
-        assert r["pg"] is None or (r["pg"] in holders[r["s"]] and r["pg"] < r["g"])
+        assert r["pg"] is None or (r["pg"] in holders[r["s"]] and r["pg"] != r["g"])
+        assert (r["hg"] is None) == (r["pg"] is None) and (r["hg"] is None or r["hg"] in holders[r["s"]])
     assert all(kept[s] == h for s, h in holders.items() if len(h) > 1)
     assert sum(r["pg"] is not None for r in lists) >= sum(len(h) - 1 for h in holders.values()) - 10
 
@@ -145,6 +146,17 @@ def test_defined_cases(docs):
     assert got(docs([])) == []
 
 
+def test_parity_maps_never_exceed_the_difference():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        a = rng.integers(0, 2**63, 300, dtype=np.int64).astype(np.uint64)
+        b = np.concatenate([a[:rng.integers(100, 300)], rng.integers(0, 2**63, 40, dtype=np.int64).astype(np.uint64)])
+        of = np.repeat(np.arange(2, dtype=np.uint64), [len(a), len(b)])
+        x, y = J.parity_maps(np.concatenate([a, b]), of, 2)
+        bits = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert 0.5 * len(np.setxor1d(a, b)) < bits <= len(np.setxor1d(a, b))
+
+
 def test_long_words_of_two_letters_do_not_collide(docs):
     """Thue-Morse words collide under every polynomial modulo 2^64."""
     a, b = "a", "b"
