@@ -2,31 +2,23 @@
 
 1. A text's set holds the 64-bit hashes of its distinct five-word shingles;
    equal sets are merged first, so only distinct sets go on.
-2. Each set has a signature of 128 minima.  The forest has 32 trees; tree t
-   orders signatures by the values from position 4t on.  Sets that share the
-   first 4 values of a tree's order are neighbours in it: a region.
-3. Depth adapts per region: one of more than ``REGION`` sets is split by longer
-   common prefixes (8, 16, 32 values); if sets agree that far, the region is
-   dealt over blocks by a hash that differs from tree to tree, so that a group
-   of any size is linked through many small overlapping random blocks.
-4. Within a region the one-byte minima of all 128 positions estimate each
-   similarity.  A first round passes on, for every set, its three most similar
-   partners (from ``MAYBE`` on); they are confirmed on the full sets, and
-   confirmed links contracted to connected components.  A second round asks for
-   all partners in another group that were not tested yet: a group linked by
-   the first round never makes all its pairs.
-5. Splitting parts pairs that are only just similar.  So the sets of all regions
-   of more than ``REGION`` sets are joined once more, exactly and across groups,
-   on their shingles, rarest first (:func:`rare_pairs`, a prefix filter): no pair
-   of theirs that reaches ``PERCENT`` is left out, however large the region.
-
-A pair of similarity 0.75 shares the first 4 values of a tree with probability over
-1 - 1e-5.  If one such region is large, step 5 finds it for certain; if not, its
-estimate falls below ``MAYBE`` with probability under 1e-6.
+2. Each set has a signature of 128 minima.  The forest has 32 trees; tree t orders
+   signatures by the values from position 4t on.  Each order is sorted by range over
+   all executors, so a region of any size lies over as many tasks as it needs.
+3. Neighbours in an order are candidates, rated by their longest common prefix; the
+   depth adapts by itself, since a set's neighbours in a crowded region share a longer
+   prefix than in a sparse one.  A set asks the ``PARTNERS`` with which it has the most
+   in common over all trees: its candidates grow with the number of trees, never with
+   the size of a region.
+4. Pairs are confirmed on full sets and contracted to components.
+5. A forest finds a pair with high probability only.  So what is still apart is joined
+   once more, exactly, by rare-first prefixes
+   (:func:`corvid.llm.ngram_join.links`): no pair of two components that reaches
+   ``PERCENT`` is left out, whatever the size of its region.
 
 Defined cases: a null, empty or blank text has an empty set and is linked with
 nothing; repeated rows are equal sets and so linked; the group is named by its
-smallest id (a null id counts as smallest); an empty table gives no rows.
+smallest id (null ids are ignored unless all are null); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,18 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvid.llm.common import (RID, byte_slices, connected_components, drop_stored, numbered, store, text_buffer,
-                               with_row_ids)
-from corvid.llm.hashing import LOWER, Stretches, mix, word_hashes, words
+from corvid.llm import ngram_join as join
+from corvid.llm.common import RID, byte_slices, numbered, store, text_buffer, with_row_ids
 
 SHINGLE = 5
 PERCENT = 75
 MINIMA = 128
 TREES = 32
-DEPTHS = (4, 8, 16, 32)
-REGION = 512
-MAYBE = 0.55
-PARTNERS = (3, 2 * REGION)
+DEPTH = 8          # values of an order that are compared
+PARTNERS = 2
+LEAST_COMMON = 6   # values in common over all trees from which a neighbour is asked in the first round
 
 _rng = np.random.default_rng(77)
 _XOR = _rng.integers(0, 2**32, MINIMA, dtype=np.uint64).astype(np.uint32)
@@ -61,24 +51,8 @@ _MUL = (_rng.integers(0, 2**31, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uin
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, size: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text in a buffer."""
-    data = LOWER[data]
-    start, end, first = words(data, off)
-    if not len(start):
-        return [np.zeros(0, np.uint64) for _ in off[:-1]]
-    hashes = Stretches(word_hashes(data, start, end))
-    n = np.diff(first)
-    out = []
-    at = np.arange(max(0, len(start) - size + 1))
-    grams = hashes.hash(at, at + size)
-    for lo, count in zip(first[:-1], n):
-        if count >= size:
-            out.append(np.unique(grams[lo:lo + count - size + 1]))
-        elif count:
-            whole = hashes.hash(np.array([lo]), np.array([lo + count]))
-            out.append(mix(whole + np.uint64(count)))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+    flat, bounds = join.flat_sets(data, off, size)
+    return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -98,16 +72,14 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def tree_keys(signature: np.ndarray, depth: int) -> np.ndarray:
-    """64-bit key of each set in each tree: the tree and the first ``depth`` values of its order."""
-    keys = np.empty((len(signature), TREES), np.int64)
+def tree_orders(signature: np.ndarray) -> np.ndarray:
+    """The first ``DEPTH`` values of each set in each tree's order, two to a 64-bit word: (sets, trees, words)."""
+    out = np.empty((len(signature), TREES, DEPTH // 2), np.int64)
     for tree in range(TREES):
-        at = (np.arange(depth) + tree * (MINIMA // TREES)) % MINIMA
-        key = np.full(len(signature), tree * 131 + depth, np.uint64)
-        for j in at:
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + signature[:, j])
-        keys[:, tree] = key.view(np.int64)
-    return keys
+        at = (np.arange(DEPTH) + tree * (MINIMA // TREES)) % MINIMA
+        values = signature[:, at].astype(np.uint64)
+        out[:, tree] = ((values[:, 0::2] << np.uint64(32)) | values[:, 1::2]).view(np.int64)
+    return out
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
@@ -144,227 +116,81 @@ def signed_rows(rows: DataFrame) -> DataFrame:
         T.StructField("digest", T.BinaryType()), T.StructField("signature", T.BinaryType())]))
 
 
-def sets_of(rows: DataFrame) -> DataFrame:
-    """``__rid`` and the full shingle set of numbered rows."""
+# --- the forest ------------------------------------------------------------------
 
-    def build(batches):
-        for batch in batches:
-            for part in byte_slices(batch, "__text"):
-                sets = shingle_sets(*text_buffer(part.column("__text")))
-                off = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(RID), pa.ListArray.from_arrays(pa.array(off), pa.array(flat))],
-                                                 names=[RID, "set"])
+_WORDS = [f"k{j}" for j in range(DEPTH // 2)]
 
-    return rows.select(RID, "__text").mapInArrow(build, f"{RID} long, set array<long>")
 
+def neighbours(signed: DataFrame) -> DataFrame:
+    """(``a`` < ``b``, ``common``) of sets side by side in some tree's order; ``common`` sums up their common prefixes."""
+    def orders(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                found = tree_orders(_matrix(part.column(1), np.uint32))
+                node = np.repeat(np.asarray(part.column(0)), TREES)
+                tree = np.tile(np.arange(TREES, dtype=np.int32), part.num_rows)
+                words = [pa.array(np.ascontiguousarray(found[:, :, j]).ravel()) for j in range(DEPTH // 2)]
+                yield pa.RecordBatch.from_arrays([pa.array(tree), *words, pa.array(node)], names=["tree", *_WORDS, "node"])
+
+    keys = ["tree", *_WORDS, "node"]
+    rows = (signed.select("node", "signature")
+            .mapInArrow(orders, ", ".join(["tree int", *[f"{w} long" for w in _WORDS], "node long"]))
+            .repartitionByRange(*keys).sortWithinPartitions(*keys))
+
+    def side_by_side(batches):
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [np.asarray(c) for c in batch.columns]
+            if before is not None:
+                cols = [np.concatenate([b, c]) for b, c in zip(before, cols)]
+            common = common_prefix(cols[0], cols[1:-1])
+            at = np.flatnonzero(common > 0)
+            one, two = cols[-1][at], cols[-1][at + 1]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(common[at])],
+                                             names=["a", "b", "common"])
+            before = [c[-1:] for c in cols]
+
+    pairs = rows.mapInArrow(side_by_side, "a long, b long, common long")
+    return pairs.groupBy("a", "b").agg(F.sum("common").alias("common"))
+
+
+def common_prefix(tree: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    """How many leading values every row shares with the next one of its tree."""
+    out = np.zeros(max(0, len(tree) - 1), np.int64)
+    open_ = tree[1:] == tree[:-1]
+    for word in words:
+        differ = word[1:] ^ word[:-1]
+        half = open_ & ((differ >> 32) == 0)
+        out += half
+        open_ = half & (differ == 0)
+        out += open_
+    return out
 
-# --- the forest ------------------------------------------------------------------
 
-def regions(signed: DataFrame, region: int = REGION) -> DataFrame:
-    """(``key``, ``node``) of every region with at least two sets, each of at most about ``region`` sets."""
-    return split_regions(signed, region)[0]
+def likeliest(pairs: DataFrame, partners: int = PARTNERS, least: int = LEAST_COMMON) -> DataFrame:
+    """Of the pairs (``a``, ``b``, ``common``) each set's ``partners`` with the most in common, ties to the smaller one.
 
+    A set has at most two neighbours a tree, so its list is bounded by the forest.
+    """
+    pairs = pairs.filter(F.col("common") >= least)
+    both = pairs.select(F.col("a").alias("x"), F.struct(-F.col("common"), F.col("b").alias("y")).alias("p")).unionByName(
+        pairs.select(F.col("b").alias("x"), F.struct(-F.col("common"), F.col("a").alias("y")).alias("p")))
+    best = both.groupBy("x").agg(F.slice(F.sort_array(F.collect_list("p")), 1, partners).alias("p"))
+    return (best.select("x", F.explode("p").alias("p")).select("x", F.col("p.y").alias("y"))
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
-def split_regions(signed: DataFrame, region: int) -> tuple[DataFrame, DataFrame | None]:
-    """:func:`regions`, and the ``node`` of every set of a region that was split (None if none was)."""
 
-    def keyed(rows: DataFrame, depth: int) -> DataFrame:
-        def keys(batches):
-            for batch in batches:
-                found = tree_keys(_matrix(batch.column(1), np.uint32), depth)
-                off = np.arange(len(found) + 1, dtype=np.int32) * TREES
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.ListArray.from_arrays(pa.array(off), pa.array(found.ravel()))],
-                    names=["node", "keys"])
-
-        return (rows.select("node", "signature").mapInArrow(keys, "node long, keys array<long>")
-                .select("node", F.posexplode("keys").alias("tree", "key")))
-
-    done, rows, hot, split = [], signed, None, None
-    for depth in DEPTHS:
-        at = keyed(rows, depth)
-        if hot is not None:
-            at = at.join(hot.select("node", "tree"), ["node", "tree"], "left_semi")
-        at = store(at, "forest")
-        sizes = store(at.groupBy("key").agg(F.count("*").alias("sets")).filter("sets > 1"), "forest_sizes")
-        done.append(at.join(sizes.filter(F.col("sets") <= region), "key").select("key", "node"))
-        large = sizes.filter(F.col("sets") > region)
-        if large.isEmpty():
-            break
-        hot = store(at.join(large, "key"), "forest_hot")
-        if split is None:
-            split = store(hot.select("node").distinct(), "forest_split")
-        rows = signed.join(hot.select("node").distinct(), "node", "left_semi")
-    else:
-        # equal to the deepest level: random blocks, other ones in each tree
-        block = F.pmod(F.xxhash64("tree", "node"), F.ceil(F.col("sets") / (region // 2)))
-        done.append(hot.select(F.xxhash64("key", block).alias("key"), "node"))
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out, split
-
-
-def select_pairs(key: np.ndarray, node: np.ndarray, sketch: np.ndarray, group: np.ndarray,
-                 partners: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each row its ``partners`` most similar rows of the same region and another group; rows sorted by key."""
-    left, right, score = [], [], []
-    lag, at = 1, np.arange(len(key))
-    while True:
-        at = at[at + lag < len(key)]
-        at = at[key[at] == key[at + lag]]
-        if not len(at):
-            break
-        i = at[group[at] != group[at + lag]]
-        same = (sketch[i] == sketch[i + lag]).mean(axis=1)
-        ok = same >= MAYBE
-        left.append(i[ok])
-        right.append(i[ok] + lag)
-        score.append(same[ok])
-        lag += 1
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a, b, s = np.concatenate(left), np.concatenate(right), np.concatenate(score)
-    x, y, s = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([s, s])
-    by = np.lexsort((node[y], -s, x))
-    x, y = x[by], y[by]
-    first = np.searchsorted(x, x, "left")
-    keep = np.arange(len(x)) - first < partners
-    one, two = node[x[keep]], node[y[keep]]
-    both = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)]), axis=1)
-    return both[0], both[1]
-
-
-def with_sketches(members: DataFrame, signed: DataFrame) -> DataFrame:
-    """Stored ``key, node, sketch``: the members of regions with their one-byte minima."""
-    def sketch(batches):
-        for batch in batches:
-            minima = _matrix(batch.column(1), np.uint32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _binary((minima & 255).astype(np.uint8))],
-                                             names=["node", "sketch"])
-
-    sketches = signed.select("node", "signature").mapInArrow(sketch, "node long, sketch binary")
-    return store(members.join(sketches, "node").select("key", "node", "sketch"), "forest_sketches")
-
-
-def candidates(sketched: DataFrame, groups: DataFrame | None, partners: int) -> DataFrame:
-    """Distinct candidate pairs (``a`` < ``b``) between groups (``node``, ``component``; others stand alone)."""
-    if groups is None:
-        rows = sketched.withColumn("group", F.col("node"))
-    else:
-        rows = (sketched.join(groups.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left")
-                .withColumn("group", F.coalesce("component", "node")))
-        # a region within one group has nothing left to ask
-        open_keys = (rows.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi"))
-                     .filter("lo <> hi").select(F.col("key").alias("__k")))
-        rows = rows.join(open_keys, F.col("key") == F.col("__k"), "left_semi")
-    rows = rows.select("key", "node", "sketch", "group").repartition("key").sortWithinPartitions("key", "node")
-
-    def pairs(batches):
-        def emit(parts):
-            a, b = select_pairs(*(np.concatenate(x) for x in zip(*parts)), partners)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-        held, size = [], 0
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                part = batch.slice(lo, 4096)
-                held.append((np.asarray(part.column(0)), np.asarray(part.column(1)),
-                             _matrix(part.column(2), np.uint8), np.asarray(part.column(3))))
-                size += part.num_rows
-                if size >= 8192 and held[0][0][0] != held[-1][0][-1]:
-                    whole = [np.concatenate(x) for x in zip(*held)]
-                    cut = int(np.searchsorted(whole[0], whole[0][-1]))     # keep the last, open region
-                    yield emit([tuple(x[:cut] for x in whole)])
-                    held, size = [tuple(x[cut:] for x in whole)], len(whole[0]) - cut
-        if held:
-            yield emit(held)
-
-    return rows.mapInArrow(pairs, "a long, b long").distinct()
-
-
-def rare_pairs(sets: DataFrame, groups: DataFrame | None, percent: int = PERCENT) -> DataFrame:
-    """Distinct pairs (``a`` < ``b``) between groups that may reach ``percent``; none that does is missing.
-
-    Sets list their shingles rarest first.  From its place on, the first common
-    shingle bounds the common ones: they can only be enough if it is among the
-    first (100 - percent) / 100 of the larger set and (100 - percent) / (100 + percent)
-    of the smaller one, so that a template shared by all makes pairs only where it
-    is itself enough.  Shingles held by one group only ask nothing.
-    """
-    rows = sets.select(F.col(RID).alias("node"), "set")
-    if groups is None:
-        rows = rows.withColumn("group", F.col("node"))
-    else:
-        rows = (rows.join(groups.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left")
-                .withColumn("group", F.coalesce("component", "node")))
-    held = store(rows.select("node", "group", F.size("set").cast("long").alias("n"), F.explode("set").alias("shingle")),
-                 "hot_shingles")
-    known = store(held.groupBy("shingle").agg(F.count("*").alias("k"), F.min("group").alias("lo"), F.max("group").alias("hi"))
-                  .filter("k > 1").select(F.col("shingle").alias("__s"), "k", (F.col("lo") != F.col("hi")).alias("open")),
-                  "hot_counts")
-    # a set's own shingles: bounded by its text; those of no other set come first
-    listed = (held.join(known, F.col("shingle") == F.col("__s")).groupBy("node", "group", "n")
-              .agg(F.sort_array(F.collect_list(F.struct("k", "shingle", "open"))).alias("list")))
-    placed = (listed.select("node", "group", "n", F.size("list").alias("m"), F.posexplode("list").alias("i", "at"))
-              .select("node", "group", "n", (F.col("n") - F.col("m") + F.col("i")).alias("i"),
-                      F.col("at")["shingle"].alias("shingle"), F.col("at")["open"].alias("open")))
-    placed = store(placed.filter(F.col("open") & (F.col("i") * 100 <= F.col("n") * (100 - percent))).drop("open"), "hot_places")
-    drop_stored(held)
-    drop_stored(known)
-    big = placed.select("shingle", *[F.col(c).alias(f"{c}1") for c in ("node", "group", "n", "i")])
-    small = (placed.filter(F.col("i") * (100 + percent) <= F.col("n") * (100 - percent))
-             .select(F.col("shingle").alias("__s"), *[F.col(c).alias(f"{c}2") for c in ("node", "group", "n", "i")]))
-    need = percent * (F.col("n1") + F.col("n2"))       # (100 + percent) * the common shingles a pair must have
-    return (big.join(small, (F.col("shingle") == F.col("__s")) & (F.col("group1") != F.col("group2"))
-                     & (F.struct("n1", "node1") > F.struct("n2", "node2"))
-                     & ((F.col("n1") - F.col("i1")) * (100 + percent) >= need)
-                     & ((F.col("n2") - F.col("i2")) * (100 + percent) >= need))
-            .select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct())
-
-
-def linked(rows: DataFrame, signed: DataFrame, region: int = REGION) -> DataFrame:
+def linked(rows: DataFrame, signed: DataFrame) -> DataFrame:
     """(``node``, ``component``) of all sets with a confirmed link."""
-    members, split = split_regions(signed, region)
-    sketched = with_sketches(members, signed)
-    groups = tested = links = sets = None
-    for partners in PARTNERS:
-        asked = candidates(sketched, groups, partners)
-        if tested is not None:
-            asked = asked.join(tested, ["a", "b"], "left_anti")
-        asked = store(asked, "pairs")
-        if asked.isEmpty():
-            break
-        if sets is None:          # whoever has a partner at all has one in the first round
-            wanted = asked.select(F.col("a").alias(RID)).union(asked.select("b")).distinct()
-            # this list grows with the input: never a broadcast, one plan at every size
-            sets = store(sets_of(rows.join(wanted.hint("shuffle_hash"), RID, "left_semi")), "sets")
-        found = store(confirmed(asked, sets), "links")
-        tested = asked if tested is None else tested.unionByName(asked)
-        links = found if links is None else links.unionByName(found)
-        if groups is None or not found.isEmpty():
-            groups = store(connected_components(links), "components")
-    if split is not None:         # what the splitting parted
-        sets = store(sets_of(rows.join(split.select(F.col("node").alias(RID)).hint("shuffle_hash"), RID, "left_semi")), "sets")
-        asked = rare_pairs(sets, groups)
-        asked = store(asked if tested is None else asked.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = store(confirmed(asked, sets), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            groups = store(connected_components(links), "components")
+    asked = store(likeliest(neighbours(signed)), "pairs")
+    found = join.confirmed(asked, rows, SHINGLE, PERCENT)
+    groups = join.links(rows, signed.select("node"), SHINGLE, PERCENT, asked, found, early_rounds=1)
     return groups if groups is not None else signed.select("node", F.col("node").alias("component")).limit(0)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union."""
-    both = (pairs.join(sets.select(F.col(RID).alias("a"), F.col("set").alias("sa")), "a")
-            .join(sets.select(F.col(RID).alias("b"), F.col("set").alias("sb")), "b"))
-    inter = F.size(F.array_intersect("sa", "sb"))
-    return (both.select("a", "b", inter.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
-            .filter(F.col("i") * 100 >= percent * (F.col("n") - F.col("i"))).select("a", "b"))
-
-
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``__rid, __id, n_shingles, component_id`` (smallest id of the group)."""
     rows = numbered(df, id_col, text_col)

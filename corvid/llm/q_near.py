@@ -12,4 +12,4 @@ from corvid.llm.registry import query
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents")).select(
         F.col("__id").alias("doc_id"), "n_shingles", "component_id",
-        (F.col("__id") == F.col("component_id")).alias("kept"))
+        F.coalesce(F.col("__id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.common import RID, byte_slices, drop_stored, store, text_buffer
-from corvid.llm.hashing import BYTE_VALUE, Stretches, word_hashes, words
+from corvid.llm.hashing import BYTE_VALUE, Stretches, gram_hashes, word_hashes, words
 
 CHUNK = 1 << 20     # windows hashed at a time
 _POS = np.uint64((1 << 24) - 1)
@@ -135,7 +135,7 @@ def window_hashes(rows: DataFrame, places: DataFrame, units, length: int) -> Dat
                 for which in (0, 1):
                     values, first = units(data, off, which)
                     start = np.repeat(first[doc] + w, n) + inner
-                    cols.append(pa.array(Stretches(values, which).hash(start, start + length).view(np.int64)))
+                    cols.append(pa.array(gram_hashes(values, length)[start].view(np.int64)))
                 pick = pa.array(np.repeat(np.arange(len(n)), n))
                 yield pa.RecordBatch.from_arrays(
                     [*cols, *[flat.field(f).take(pick) for f in ("a", "s")], pa.array(inner.astype(np.int32)),

@@ -176,3 +176,14 @@ def test_windows_of_one_hash_are_told_apart(spark):
     df = spark.createDataFrame(rows, "h1 long, h2 long, a long, s long, i int, copies long, bytes binary")
     assert sorted(tuple(r) for r in suffix_dedup.equal_windows(df).collect()) == [
         (5, 10, 0), (5, 10, 1), (5, 11, 3), (5, 11, 4), (5, 13, 0)]
+
+
+def test_windows_with_different_long_words_stay(docs):
+    """Thue-Morse words collide under every polynomial modulo 2^64; windows that differ in one of them are no copies."""
+    a, b = "a", "b"
+    while len(a) < 2048:
+        a, b = a + b, b + a
+    common = " ".join(f"w{i}" for i in range(34))
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(
+        docs([(1, f"{common} {a}"), (2, f"{common} {b}"), (3, f"{common} c"), (4, f"x {common} c")]), with_text=False).collect()}
+    assert got == {1: 0, 2: 0, 3: 35, 4: 35}
