@@ -7,7 +7,7 @@
    all executors, so a region of any size lies over as many tasks as it needs.
 3. Neighbours in an order are candidates, rated by their longest common prefix; the
    depth adapts by itself, since a set's neighbours in a crowded region share a longer
-   prefix than in a sparse one.  A set asks the ``PARTNERS`` with which it has the most
+   prefix than in a sparse one.  A set asks the ``PARTNERS`` sets with which it has the most
    in common over all trees: its candidates grow with the number of trees, never with
    the size of a region.
 4. Pairs are confirmed on full sets and contracted to components.
@@ -39,7 +39,7 @@ PERCENT = 75
 MINIMA = 128
 TREES = 32
 DEPTH = 8          # values of an order that are compared
-PARTNERS = 2
+PARTNERS = 1
 LEAST_COMMON = 6   # values in common over all trees from which a neighbour is asked in the first round
 
 _rng = np.random.default_rng(77)

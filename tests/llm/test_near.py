@@ -84,7 +84,7 @@ def test_a_crowded_region_makes_few_pairs_and_stays_whole(spark):
     signed = spark.createDataFrame(rows, "node long, signature binary").repartition(4)
     every = neighbours(signed)
     assert every.count() <= 150 * 32               # one a tree and set, whatever the size of the region
-    links = likeliest(every)
+    links = likeliest(every, 2)
     assert links.count() <= 300
     parts = {r["node"]: r["component"] for r in connected_components(links).collect()}
     assert len(parts) == 150 and len(set(parts.values())) <= 3
