@@ -142,8 +142,49 @@ def test_line_runs_equal_brute_force(docs, run):
     assert got == want
 
 
+def brute_lines(rows, least):
+    """Every run of every length: later copies of runs with at least ``least`` words go."""
+    seen, out = set(), {}
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        mask = [False] * len(lines)
+        for p in range(len(lines)):
+            for q in range(p + 1, len(lines) + 1):
+                if sum(len(x.split()) for x in lines[p:q]) >= least:
+                    run = tuple(lines[p:q])
+                    if run in seen:
+                        mask[p:q] = [True] * (q - p)
+                    seen.add(run)
+        runs = sum(1 for j in range(len(mask)) if mask[j] and (j == 0 or not mask[j - 1]))
+        out[i] = (len(lines), sum(mask), runs, "\n".join(x for x, m in zip(lines, mask) if not m))
+    return out
+
+
+@pytest.mark.parametrize("seed,least", [(1, 1), (2, 4), (3, 7), (4, 12)])
+def test_heavy_line_runs_equal_brute_force(docs, seed, least):
+    rng = random.Random(seed)
+    lines = ["", "", " \t", "a", "b c", "d e f", "one two three four five", "x " * 9]
+    stock = [[rng.choice(lines) for _ in range(rng.randint(2, 7))] for _ in range(3)]
+    rows = []
+    for i in range(30):
+        text = [rng.choice(lines) for _ in range(rng.randint(0, 5))]
+        text[rng.randint(0, len(text)):0] = rng.choice(stock)
+        rows.append((i, "\n".join(text + [f"own{i}"] + (rng.choice(stock) if rng.random() < 0.4 else []))))
+    rows += [(40, None), (41, ""), (42, "\n" * 50), (43, "\n" * 50)]
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["n_runs"], r["kept_text"])
+           for r in line_dedup.drop_later_runs(docs(rows).repartition(3), min_words=least).collect()}
+    assert got == brute_lines(rows, least)
+
+
+def test_long_lines_go_and_blank_lines_stay(docs):
+    long_line = " ".join(f"w{i}" for i in range(120))
+    got = {r["doc_id"]: r["kept_text"] for r in line_dedup.drop_later_runs(docs(
+        [(1, f"a\n{long_line}\nb"), (2, f"c\n{long_line}\nd"), (3, "c\n\n\nd"), (4, "c\n\n\nd")])).collect()}
+    assert got == {1: f"a\n{long_line}\nb", 2: "c\nd", 3: "c\n\n\nd", 4: "c\n\n\nd"}
+
+
 def test_repeated_rows_are_copies(docs):
-    got = line_dedup.drop_later_runs(docs([(1, "a\nb"), (1, "a\nb")])).collect()
+    got = line_dedup.drop_later_runs(docs([(1, "a\nb"), (1, "a\nb")]), min_run=2).collect()
     assert sorted(r["n_removed"] for r in got) == [0, 2]
 
 
