@@ -137,7 +137,8 @@ def codec(model_path: str) -> Codec:
 
 
 def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``df`` plus the ids of each whole text."""
+    """``df`` plus the ids of each whole text; a column that has their name already gives way."""
+    df = df.drop(ids_col)
     at = df.columns.index(text_col)
 
     def run(batches):
@@ -156,7 +157,8 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str
 
 
 def decode(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``df`` plus the text of each id sequence."""
+    """``df`` plus the text of each id sequence; a column that has its name already gives way."""
+    df = df.drop(text_col)
     at = df.columns.index(ids_col)
 
     def run(batches):

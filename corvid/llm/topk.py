@@ -14,9 +14,10 @@ Scores are exact integers: components are turned into integers first.
 
 Defined cases: a vector that is null or holds a null or non-finite component takes
 no part; components past the shorter of two vectors count as 0; ties go to the
-smaller id; each query row leaves out only itself, so a repeated row is a
-candidate like any other; fewer candidates than k give fewer rows; empty tables
-give no rows.
+smaller id, null ids last; a null id stays null in the result; each query row
+leaves out only itself, so a repeated row is a candidate like any other; fewer
+candidates than k give fewer rows; empty tables give no rows; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -113,7 +114,8 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
 
     def search(group: pa.Table) -> pa.Table:
         ask = np.asarray(group["__q"])
-        ids, rids = np.asarray(group["__id"].fill_null(-2**63)), np.asarray(group[RID])
+        named = np.asarray(group["__id"].is_valid())
+        ids, rids = np.asarray(group["__id"].fill_null(2**63 - 1)), np.asarray(group[RID])
         width = int(np.diff(np.asarray(group["__v"].combine_chunks().offsets)).max(initial=0))
         vectors = _dense(group["__v"], width)
         cands, qs = np.flatnonzero(~ask), np.flatnonzero(ask)
@@ -125,14 +127,14 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", v
         for j, row in enumerate(qs):
             best = threshold_top(x, ids[cands], rids[cands], q[j], rids[row], k, order, values)
             score = x[best] @ q[j]
-            out += [(int(rids[row]), int(ids[row]), int(ids[cands[b]]), int(rids[cands[b]]), int(s))
-                    for b, s in zip(best, score)]
+            out += [(int(rids[row]), int(ids[row]) if named[row] else None, int(ids[cands[b]]) if named[cands[b]] else None,
+                     int(rids[cands[b]]), int(s)) for b, s in zip(best, score)]
         names = ["q_row", "query_id", "found_id", "found_row", "score"]
         cols = list(zip(*out)) if out else [()] * 5
         return pa.table({name: pa.array(col, pa.int64()) for name, col in zip(names, cols)})
 
     found = (cand.unionByName(asked).groupBy("cb", "qb")
              .applyInArrow(search, "q_row long, query_id long, found_id long, found_row long, score long"))
-    best = Window.partitionBy("q_row").orderBy(F.desc("score"), "found_id", "found_row")
+    best = Window.partitionBy("q_row").orderBy(F.desc("score"), F.asc_nulls_last("found_id"), "found_row")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", F.col("found_id").alias(id_col), "score"))

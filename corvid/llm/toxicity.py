@@ -264,7 +264,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def with_score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``df`` plus the score of each whole text."""
+    """``df`` plus the score of each whole text; a column that has its name already gives way."""
+    df = df.drop(score_col)
     shared = df.sparkSession.sparkContext.broadcast(model)
     at = df.columns.index(text_col)
 

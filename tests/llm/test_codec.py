@@ -78,3 +78,9 @@ def test_frames(docs):
     assert got[(4, f"x{BLANK}y")]["decoded"] == "x y"
     assert all(r["decoded"] == t for (i, t), r in got.items() if i != 4)
     assert encode(docs([]), MODEL).count() == 0
+
+
+def test_clashing_columns_give_way(docs):
+    df = docs([(1, "a b"), (2, "c")]).withColumn("ids", F.lit(1)).withColumn("decoded", F.lit("z"))
+    out = decode(encode(df, MODEL), MODEL)
+    assert sorted(out.columns) == sorted(df.columns) and {r["doc_id"]: r["decoded"] for r in out.collect()} == {1: "a b", 2: "c"}

@@ -44,6 +44,13 @@ def test_few_and_no_candidates(spark):
     assert top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_null_ids_stay_null_and_come_last_in_ties(spark):
+    df = spark.createDataFrame([(0, [1.0], 1), (None, [1.0], 1), (9, [1.0], 1), (5, [0.5], 1)], SCHEMA).withColumn("rank", F.lit(1))
+    got = top_k(df, F.col("vec_id").isNull() | (F.col("vec_id") == 0), k=2).collect()
+    assert sorted(((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got), key=repr) == sorted(
+        [(0, 1, 9, 65536), (0, 2, None, 65536), (None, 1, 0, 65536), (None, 2, 9, 65536)], key=repr)
+
+
 def test_reading_stops_early():
     rng = np.random.default_rng(5)
     block = rng.normal(0, 10, (5000, 3)).astype(np.int64).astype(float)
