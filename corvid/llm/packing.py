@@ -6,12 +6,17 @@ plus that number: no sort and no window over a hot length.  Only the length
 histogram (at most ``capacity`` rows) reaches the driver.  There the
 configuration LP (cover every length class with as few filled sequences as
 possible) is solved by multiplicative weights; a knapsack dynamic program
-prices the best configuration per round.  The fractional solution is rounded
-down and split into exact lengths, its smallest piece is chosen anew best-fit
-along with whatever else fits the exact room, and what is left is packed by
-repeated largest-fit configurations.  The plan is a
-bounded table of slot runs (length, ranks, sequence, offset); tasks look their
-pieces up in it.
+prices the best configuration per round.  It is rounded in two ways, and the
+plan with fewer sequences is taken:
+
+* the fractional solution is rounded down and split into exact lengths, its
+  smallest piece chosen anew best-fit along with whatever else fits the exact
+  room (with short pieces kept back as filling, without, and with fine steps);
+* the averaged weights are the pieces' prices, and the knapsack program prices
+  one configuration after the other for what is left, the fullest of the best.
+
+The plan is a bounded table of slot runs (length, ranks, sequence, offset);
+tasks look their pieces up in it.
 
 Defined cases: a null or empty text is the single end id; repeated rows are
 packed each on their own; an empty table gives no rows.
@@ -36,8 +41,7 @@ from corvid.llm.common import store
 
 CAPACITY = 4096
 END_ID = 1
-CLASS_TOKENS = 16       # the LP sees lengths in classes of so many tokens
-FILLER_TOKENS = 1024    # shorter pieces are kept out of the LP, to fill what it leaves
+CLASSES = 256           # the LP sees lengths in so many classes of equal width
 ROUNDS = 1500
 MEMO_WORDS = 400_000    # per Python worker
 
@@ -173,8 +177,13 @@ def price(value: np.ndarray, room: int) -> list[int]:
     return out
 
 
-def fractional(demand: np.ndarray, room: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], float]]:
-    """Multiplicative weights for: cover ``demand[s - 1]`` pieces of class size s by configurations."""
+def fractional(demand: np.ndarray, room: int, rounds: int = ROUNDS, part: float = 0.5, sharp: float = 40.0,
+               skip: float = 0.0) -> list[tuple[dict[int, int], float]]:
+    """Multiplicative weights for: cover ``demand[s - 1]`` pieces of class size s by configurations.
+
+    A step covers ``part`` of what its scarcest class needs; configurations found before the share ``skip`` is covered
+    only teach the weights.
+    """
     need = demand.astype(float)
     live = need > 0
     covered, found = np.zeros(len(need)), {}
@@ -183,18 +192,23 @@ def fractional(demand: np.ndarray, room: int, rounds: int = ROUNDS) -> list[tupl
         low = share.min()
         if low >= 1:
             break
-        weight = np.where(live, np.exp(-40.0 * np.minimum(share - low, 10.0)) / np.maximum(need, 1), 0.0)
+        weight = np.where(live, np.exp(-sharp * np.minimum(share - low, 10.0)) / np.maximum(need, 1), 0.0)
         config = price(weight, room)
         sizes, copies = np.unique(config, return_counts=True)
-        step = float((need[sizes - 1] / copies).min()) * 0.5
+        step = float((need[sizes - 1] / copies).min()) * part
         covered[sizes - 1] += step * copies
-        key = tuple(config)
-        found[key] = found.get(key, 0.0) + step
+        if low >= skip:
+            key = tuple(config)
+            found[key] = found.get(key, 0.0) + step
     out = []
-    over = np.maximum(covered / np.maximum(need, 1), 1.0)
+    grown = 1.0 / (1.0 - skip)                        # in place of what the skipped ones covered
+    used = np.zeros(len(need))
+    for config, times in found.items():
+        np.add.at(used, np.array(config) - 1, times * grown)
+    over = np.maximum(used / np.maximum(need, 1), 1.0)
     for config, times in found.items():
         sizes, copies = np.unique(config, return_counts=True)
-        out.append((dict(zip(sizes.tolist(), copies.tolist())), times / over[sizes - 1].max()))
+        out.append((dict(zip(sizes.tolist(), copies.tolist())), times * grown / over[sizes - 1].max()))
     return out
 
 
@@ -240,22 +254,86 @@ def _fill(stock: _Stock, config: dict[int, int], times: int, capacity: int) -> l
     return out
 
 
+def prices(demand: np.ndarray, room: int, rounds: int = 600) -> np.ndarray:
+    """Value of a piece of each class, the best configuration being worth 1: the average weights that bound most."""
+    need = demand.astype(float)
+    live = need > 0
+    covered, total, best, out = np.zeros(len(need)), np.zeros(len(need)), -1.0, np.zeros(len(need))
+    for number in range(1, rounds + 1 if live.any() else 1):
+        share = np.where(live, covered / np.maximum(need, 1), np.inf)
+        weight = np.where(live, np.exp(-40.0 * np.minimum(share - share.min(), 10.0)) / np.maximum(need, 1), 0.0)
+        config = price(weight, room)
+        sizes, copies = np.unique(config, return_counts=True)
+        step = float((need[sizes - 1] / copies).min()) * 0.1
+        covered[sizes - 1] += step * copies
+        total += step * weight / weight[np.array(config) - 1].sum()
+        if number % 20 == 0:
+            worth = total[np.array(price(total, room)) - 1].sum()
+            if (total @ need) / worth > best:
+                best, out = (total @ need) / worth, total / worth
+    return out
+
+
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
     """Configurations (length -> copies) with multiplicities that hold every piece exactly once."""
+    fine = dict(classes=4 * CLASSES, rounds=400, part=0.02, sharp=200.0, skip=0.3)
+    tries = [plan_by_rounding(histogram, capacity, filler=capacity // 4), plan_by_rounding(histogram, capacity),
+             plan_by_rounding(histogram, capacity, **fine), plan_by_prices(histogram, capacity)]
+    return min(tries, key=lambda configs: sum(times for _, times in configs))
+
+
+def _started(histogram: dict[int, int], capacity: int) -> tuple[_Stock, list[tuple[dict[int, int], int]]]:
+    """The stock without the pieces that fill a sequence, and those."""
     stock, out = _Stock(histogram, capacity), []
     if stock.count[capacity]:
         out.append(({capacity: 1}, int(stock.count[capacity])))
         stock.count[capacity] = 0
         stock.refresh()
-    g = CLASS_TOKENS if capacity >= 512 else 1
-    filler = FILLER_TOKENS if capacity >= 512 else 0
+    return stock, out
+
+
+def plan_by_prices(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
+    """One configuration after the other by the classes' prices, of equal ones the fullest, as often as the stock allows."""
+    stock, out = _started(histogram, capacity)
+    g = max(1, capacity // CLASSES)
+    classes, room = -(-np.arange(capacity + 1) // g), capacity // g          # rounded up: whatever is chosen fits
+
+    def demand():
+        return np.bincount(classes[1:], weights=stock.count[1:], minlength=room + 1)[1:room + 1]
+
+    value = prices(demand(), room) + 1e-3 * np.arange(1, room + 1) / room
+    by_class = [np.flatnonzero(classes == c) for c in range(room + 1)]
+    while stock.count.any():
+        sizes, copies = np.unique(price(np.where(demand() > 0, value, 0.0), room), return_counts=True)
+        exact: dict[int, int] = {}
+        for size, left in zip(sizes[::-1].tolist(), copies[::-1].tolist()):
+            left -= size == sizes[0] and copies.sum() > 1                    # the smallest is chosen anew, best-fit
+            for length in by_class[size][::-1]:
+                use = min(left, int(stock.count[length]))
+                if use:
+                    exact[int(length)] = use
+                    left -= use
+        times = min(int(stock.count[length]) // use for length, use in exact.items())
+        for length, use in exact.items():
+            stock.count[length] -= use * times
+        stock.refresh()
+        out += _fill(stock, exact, times, capacity)
+        stock.refresh()
+    return out
+
+
+def plan_by_rounding(histogram: dict[int, int], capacity: int = CAPACITY, filler: int = 0, classes: int = CLASSES,
+                     **weights) -> list[tuple[dict[int, int], int]]:
+    """The fractional solution rounded down, the rest filled in best-fit; pieces up to ``filler`` are kept for filling."""
+    stock, out = _started(histogram, capacity)
+    g = max(1, capacity // classes)
     classes = np.maximum(np.arange(capacity + 1) // g, 1)      # rounded down: the exact fit is made below
     room = capacity // g
     demand = np.bincount(classes[1:], weights=np.where(np.arange(1, capacity + 1) > filler, stock.count[1:], 0),
                          minlength=room + 1)[1:room + 1]
     by_class = [np.flatnonzero(classes == c) for c in range(room + 1)]
     open_configs = []
-    for config, times in sorted(fractional(demand, room), key=lambda x: -x[1]):
+    for config, times in sorted(fractional(demand, room, **weights), key=lambda x: -x[1]):
         times = int(times)
         while times > 0:
             exact, run = {}, times

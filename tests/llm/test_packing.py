@@ -86,6 +86,25 @@ def test_plan_of_large_pieces_only():
     assert held(configs) == {3000: 7, 1096: 3, 2048: 5} and sum(n for _, n in configs) == 10
 
 
+def test_three_lengths_that_fit_together():
+    """750 sequences would do (150 of four 1000s, 600 of 2 x 683 + 2 x 820 + 1000); 780 are reached."""
+    histogram = {683: 1200, 820: 1200, 1000: 1200}
+    configs = plan(histogram)
+    assert held(configs) == histogram and all(sum(l * a for l, a in c.items()) <= 4096 for c, _ in configs)
+    assert sum(n for _, n in configs) <= 780
+
+
+@pytest.mark.parametrize("low,high", [(600, 1024), (700, 900)])
+def test_even_lengths_are_within_a_percent(low, high):
+    """The bounds: all tokens over 4096, and (from 683 tokens on) five pieces a sequence at most."""
+    lengths = np.random.default_rng(0).integers(low, high + 1, 4200)
+    histogram = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))))
+    configs = plan(histogram)
+    assert held(configs) == histogram
+    bound = max(-(-int(lengths.sum()) // 4096), -(-int((lengths >= 683).sum()) // 5))
+    assert sum(n for _, n in configs) <= 1.007 * bound
+
+
 def test_price_is_the_best_knapsack():
     value = np.array([0, 3.0, 4.1, 0, 7.5])
     picked = price(value, 11)
