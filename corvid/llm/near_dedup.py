@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvid.llm import ngram_join as join
-from corvid.llm.common import RID, byte_slices, numbered, store, text_buffer, with_row_ids
+from corvid.llm.common import RID, byte_slices, drop_stored, numbered, store, text_buffer, with_row_ids
 
 SHINGLE = 5
 PERCENT = 75
@@ -184,22 +184,26 @@ def likeliest(pairs: DataFrame, partners: int = PARTNERS, least: int = LEAST_COM
 
 
 def linked(rows: DataFrame, signed: DataFrame) -> DataFrame:
-    """(``node``, ``component``) of all sets with a confirmed link."""
+    """(``node``, ``component``) of all sets with a confirmed link; the stored signatures are dropped on the way."""
+    nodes = store(signed.select("node"), "forest_nodes")
     asked = store(likeliest(neighbours(signed)), "pairs")
+    drop_stored(signed)
     found = join.confirmed(asked, rows, SHINGLE, PERCENT)
-    groups = join.links(rows, signed.select("node"), SHINGLE, PERCENT, asked, found, early_rounds=1)
-    return groups if groups is not None else signed.select("node", F.col("node").alias("component")).limit(0)
+    groups = join.links(rows, nodes, SHINGLE, PERCENT, asked, found, early_rounds=1)
+    return groups if groups is not None else nodes.select("node", F.col("node").alias("component")).limit(0)
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``__rid, __id, n_shingles, component_id`` (smallest id of the group)."""
     rows = numbered(df, id_col, text_col)
-    marks = store(signed_rows(rows), "signatures")
+    everything = store(signed_rows(rows), "signatures")
+    marks = store(everything.drop("signature"), "marks")
     distinct = (marks.filter("digest is not null").groupBy("digest")
                 .agg(F.min(RID).alias("node"), F.min("__id").alias("low"), F.min("n_shingles").alias("n")))
     distinct = store(distinct, "sets_distinct")
-    signed = marks.join(distinct.select(F.col("node").alias(RID)), RID, "left_semi").select(F.col(RID).alias("node"), "signature")
+    signed = everything.join(distinct.select(F.col("node").alias(RID)), RID, "left_semi").select(F.col(RID).alias("node"), "signature")
     signed = store(signed, "signed")
+    drop_stored(everything)
     parts = linked(rows, signed)
     named = distinct.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
     smallest = named.groupBy("part").agg(F.min("low").alias("component_id"))

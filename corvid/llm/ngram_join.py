@@ -51,6 +51,7 @@ BLOCK = 1 << 10
 BITS = 1024
 #: rounds that ask each set's likeliest partner before the last round asks for all that is open
 EARLY_ROUNDS = 2
+SALTS = 16
 
 
 # --- sets ---------------------------------------------------------------------------
@@ -94,16 +95,22 @@ def marked_rows(rows: DataFrame, size: int) -> DataFrame:
                                                T.StructField("digest", T.BinaryType())]))
 
 
-def sets_of(rows: DataFrame, size: int) -> DataFrame:
-    """``node`` and the full ``set`` of numbered rows."""
+def pair_sets(rows: DataFrame, size: int) -> DataFrame:
+    """(``a``, ``b``, ``set``) of rows with ``pairs``: the full set of a row's text once for each pair it is in."""
     def build(batches):
-        for part in _texts(batches):
-            flat, off = flat_sets(*text_buffer(part.column("__text")), size)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(RID), pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat.view(np.int64)))],
-                names=["node", "set"])
+        for batch in batches:
+            for part in byte_slices(batch, "__text"):
+                flat, off = flat_sets(*text_buffer(part.column("__text")), size)
+                sets = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat.view(np.int64)))
+                held = part.column("pairs")
+                pairs = held.flatten()
+                of = np.repeat(np.arange(part.num_rows), np.diff(np.asarray(held.offsets)))
+                for lo in range(0, len(of), 256):
+                    some = pa.array(of[lo:lo + 256])
+                    yield pa.RecordBatch.from_arrays([*[pairs.field(c).slice(lo, 256) for c in ("a", "b")], sets.take(some)],
+                                                     names=["a", "b", "set"])
 
-    return rows.select(RID, "__text").mapInArrow(build, "node long, set array<long>")
+    return rows.select("__text", "pairs").mapInArrow(build, "a long, b long, set array<long>")
 
 
 # --- the order of shingles ------------------------------------------------------------
@@ -266,17 +273,22 @@ def _possible(n1, i1, n2, i2, percent: int):
 # --- links --------------------------------------------------------------------------------
 
 def confirmed(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs of nodes (``a``, ``b``) whose full sets, made from the texts of numbered rows, reach the threshold."""
-    wanted = pairs.select(F.col("a").alias(RID)).union(pairs.select("b")).distinct()
+    """Pairs of nodes (``a``, ``b``) whose full sets, made from the texts of numbered rows, reach the threshold.
+
+    A text meets the list of its pairs (few: candidates ask for a bounded number of partners a round) and sends its
+    set to each of them, so a set crosses the shuffle once a pair and is written nowhere else.
+    """
+    ends = pairs.select(F.col("a").alias("__n"), "a", "b").unionByName(pairs.select(F.col("b").alias("__n"), "a", "b"))
+    # a node that very many pairs ask for (a list's head) is dealt over salts, its text once for each
+    ends = ends.withColumn("__salt", F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)))
+    lists = ends.groupBy("__n", "__salt").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
     # one plan at every size: pairs grow with the input and are never a broadcast
-    sets = store(sets_of(rows.join(wanted.hint("shuffle_hash"), RID, "left_semi"), size), "join_sets")
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")).hint("merge"), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")).hint("merge"), "b"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    found = store(both.select("a", "b", common.alias("i"), (F.size("sa") + F.size("sb")).alias("n"))
-                  .filter(F.col("i") * 100 >= percent * (F.col("n") - F.col("i"))).select("a", "b"), "join_links")
-    drop_stored(sets)
-    return found
+    texts = rows.join(lists.hint("shuffle_hash"), F.col(RID) == F.col("__n"))
+    both = pair_sets(texts, size).groupBy("a", "b").agg(F.collect_list("set").alias("sets"))
+    common = F.size(F.array_intersect(F.col("sets")[0], F.col("sets")[1]))
+    total = F.size(F.col("sets")[0]) + F.size(F.col("sets")[1])
+    return store(both.select("a", "b", common.alias("i"), total.alias("n"))
+                 .filter(F.col("i") * 100 >= percent * (F.col("n") - F.col("i"))).select("a", "b"), "join_links")
 
 
 def _pair(x, y):
