@@ -2,7 +2,13 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and
 returns a DataFrame, which is written as Parquet and read back as the next
-stage's documents.  All but the last return the columns of ``documents``.
+stage's documents.  All but the last return the columns of ``documents``, in
+their order, extra ones included.
+
+Defined cases, the same in every stage: a null text counts as an empty one and
+stays null; null ids are ids like any other (for "largest" and "smallest" they
+give way to real ones); repeated rows are judged row by row and are copies of each
+other; texts are read whole, however long; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,9 +47,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is masked; ``n_chars`` is that of the masked text."""
+    """Personal data is masked; ``n_chars``, where there is one, is that of the masked text (unchanged for a null text)."""
     reach_package(spark)
     masked = redact(docs)
+    if "n_chars" not in docs.columns:
+        return masked
     return masked.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
 
 
