@@ -29,10 +29,12 @@ rows; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +47,7 @@ TOP = 2000
 SALTS = 64
 BURST = 4096
 LIMIT = 400_000
+PART_PHRASES = 400_000
 WORDS = 500_000            # words a task numbers before it starts anew
 SLICE = 2 << 20
 FILTER_BITS = 1 << 26
@@ -104,8 +107,8 @@ class HatTrie:
                 above[step] = grown
 
     def spill(self, everything: bool = False):
-        """Leave out whole subtrees, the largest first, until half the limit is free (or all): sorted (key, count)."""
-        goal = 0 if everything else self.limit // 2
+        """Leave out whole subtrees, the largest first, until a quarter of the limit is left (or nothing): sorted (key, count)."""
+        goal = 0 if everything else self.limit // 4
         for first in sorted(self.root, key=lambda w: -self.root[w][0]):
             if self.size <= goal and not everything:
                 break
@@ -231,9 +234,21 @@ def pair_slots(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return (gram_hashes(both, 2)[0::2] >> np.uint64(_SHIFT)).astype(np.int64)
 
 
-def phrase_counts(rows: DataFrame, words, pairs=None) -> DataFrame:
-    """``lang, phrase, f``: pairs of words in the filter ``words``, or phrases of 3 and more words all of whose pairs are
-    in the filter ``pairs`` (broadcast bit fields)."""
+def packed_run(phrases: list[bytes], counts: list[int]) -> bytes:
+    """A run of phrases and counts, compressed: neighbours in a sorted run share their first words."""
+    text = b"\n".join(phrases)
+    return zstandard.compress(len(text).to_bytes(8, "little") + text + np.array(counts, "<i8").tobytes(), 1)
+
+
+def opened_run(run: bytes) -> tuple[list[bytes], list[int]]:
+    data = zstandard.decompress(run)
+    cut = 8 + int.from_bytes(data[:8], "little")
+    return data[8:cut].split(b"\n"), np.frombuffer(data[cut:], "<i8").tolist()
+
+
+def phrase_counts(rows: DataFrame, least: int, parts: int, words, pairs=None) -> DataFrame:
+    """``lang, phrase, f`` from ``least`` on: pairs of words in the filter ``words``, or phrases of 3 and more words all of
+    whose pairs are in the filter ``pairs`` (broadcast bit fields); counted over ``parts`` prefix partitions."""
     def count(batches):
         numbers: dict[str, Numbers] = {}
         tries: dict[str, HatTrie] = {}
@@ -261,19 +276,40 @@ def phrase_counts(rows: DataFrame, words, pairs=None) -> DataFrame:
             yield from runs(lang, trie, numbers[lang], True)
 
     def runs(lang, trie, ids, everything):
-        phrases, counts = [], []
+        name, dealt = ids.words, {}
         for run in trie.spill(everything):
-            phrases += [b" ".join([ids.words[i] for i in key]) for key, _ in run]
-            counts += [n for _, n in run]
-            if len(phrases) >= 20_000:
-                yield _run(lang, phrases, counts)
-                phrases, counts = [], []
-        if phrases:
-            yield _run(lang, phrases, counts)
+            for key, n in run:
+                prefix = name[key[0]] + b" " + name[key[1]]
+                phrase = prefix if len(key) == 2 else b" ".join([prefix, *[name[i] for i in key[2:]]])
+                part = dealt.setdefault(zlib.crc32(prefix) % parts, ([], []))
+                part[0].append(phrase)
+                part[1].append(n)
+        todo = sorted(dealt)
+        for lo in range(0, len(todo), 64):
+            some = todo[lo:lo + 64]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some, pa.int64()),
+                                              pa.array([packed_run(*dealt.pop(p)) for p in some], pa.binary())],
+                                             names=["lang", "part", "run"])
+
+    def merge(batches):
+        place, total = None, {}
+        for batch in batches:
+            for lang, part, run in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if (lang, part) != place:
+                    yield from frequent(place, total)
+                    place, total = (lang, part), {}
+                seen = total.get
+                for phrase, n in zip(*opened_run(run.as_buffer())):
+                    total[phrase] = seen(phrase, 0) + n
+        yield from frequent(place, total)
+
+    def frequent(place, total):
+        found = [(p, n) for p, n in total.items() if n >= least]
+        if found:
+            yield _run(place[0], [p for p, _ in found], [n for _, n in found])
 
-    found = rows.mapInArrow(count, _COUNTS).withColumn("prefix", F.substring_index("phrase", " ", 2))
-    return (found.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("f").alias("f"))
-            .select("lang", "phrase", "f"))
+    dealt = rows.mapInArrow(count, "lang string, part long, run binary")
+    return dealt.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(merge, _COUNTS)
 
 
 def longer(seq: np.ndarray, hashes: np.ndarray, known: np.ndarray) -> Counter:
@@ -353,8 +389,9 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.filter(F.col("f") >= least)
     word_field = spark.sparkContext.broadcast(bit_field(frequent, False))
-    pairs = store(phrase_counts(rows, word_field).filter(F.col("f") >= least), "phrase_pairs")
+    parts = 1 + (totals.agg(F.sum("n")).first()[0] or 0) // PART_PHRASES
+    pairs = store(phrase_counts(rows, least, parts, word_field), "phrase_pairs")
     pair_field = spark.sparkContext.broadcast(bit_field(pairs, True))
-    more = phrase_counts(rows, word_field, pair_field).filter(F.col("f") >= least)
+    more = phrase_counts(rows, least, parts, word_field, pair_field)
     counts = store(frequent.unionByName(pairs).unionByName(more), "phrase_counts")
     return scored(counts, totals)

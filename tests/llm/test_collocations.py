@@ -99,7 +99,7 @@ def test_trie_bursts_and_spills_sorted_runs():
             for run in trie.spill():
                 assert run == sorted(run)
                 spilt.update(dict(run))
-            assert trie.size <= 150 < before
+            assert trie.size <= 75 < before
     assert any(type(tree[1]) is C._Node for tree in trie.root.values())
     assert trie.size == sum(tree[0] for tree in trie.root.values()) == sum(len(list(C._walk((w,), t[1]))) for w, t in trie.root.items())
     for run in trie.spill(everything=True):
@@ -107,6 +107,11 @@ def test_trie_bursts_and_spills_sorted_runs():
     assert spilt == plain and trie.size == 0 and not trie.root
 
 
+def test_runs_survive_packing():
+    phrases, counts = [b"a b", b"a b \xc3\xa9", b"b ."], [1, 2**40, 3]
+    assert C.opened_run(C.packed_run(phrases, counts)) == (phrases, counts)
+
+
 def test_numbers_know_only_the_filter():
     known = np.zeros(C.FILTER_BITS // 8, np.uint8)
     h = C.word_key(b"en", b"the") >> C._SHIFT
