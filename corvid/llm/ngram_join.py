@@ -52,6 +52,7 @@ BITS = 1024
 #: rounds that ask each set's likeliest partner before the last round asks for all that is open
 EARLY_ROUNDS = 2
 SALTS = 16
+TURNS = 3
 
 
 # --- sets ---------------------------------------------------------------------------
@@ -276,19 +277,25 @@ def confirmed(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> Dat
     """Pairs of nodes (``a``, ``b``) whose full sets, made from the texts of numbered rows, reach the threshold.
 
     A text meets the list of its pairs (few: candidates ask for a bounded number of partners a round) and sends its
-    set to each of them, so a set crosses the shuffle once a pair and is written nowhere else.
+    set to each of them, so a set crosses the shuffle once a pair and is written nowhere else.  Pairs are taken in
+    ``TURNS`` turns, so that only the sets of one turn are on disk at a time.
     """
-    ends = pairs.select(F.col("a").alias("__n"), "a", "b").unionByName(pairs.select(F.col("b").alias("__n"), "a", "b"))
-    # a node that very many pairs ask for (a list's head) is dealt over salts, its text once for each
-    ends = ends.withColumn("__salt", F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)))
-    lists = ends.groupBy("__n", "__salt").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
-    # one plan at every size: pairs grow with the input and are never a broadcast
-    texts = rows.join(lists.hint("shuffle_hash"), F.col(RID) == F.col("__n"))
-    both = pair_sets(texts, size).groupBy("a", "b").agg(F.collect_list("set").alias("sets"))
-    common = F.size(F.array_intersect(F.col("sets")[0], F.col("sets")[1]))
-    total = F.size(F.col("sets")[0]) + F.size(F.col("sets")[1])
-    return store(both.select("a", "b", common.alias("i"), total.alias("n"))
-                 .filter(F.col("i") * 100 >= percent * (F.col("n") - F.col("i"))).select("a", "b"), "join_links")
+    found = None
+    for turn in range(TURNS):
+        some = pairs.filter(F.pmod(F.xxhash64(F.lit(3), "a", "b"), F.lit(TURNS)) == turn)
+        ends = some.select(F.col("a").alias("__n"), "a", "b").unionByName(some.select(F.col("b").alias("__n"), "a", "b"))
+        # a node that very many pairs ask for (a list's head) is dealt over salts, its text once for each
+        ends = ends.withColumn("__salt", F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)))
+        lists = ends.groupBy("__n", "__salt").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+        # one plan at every size: pairs grow with the input and are never a broadcast
+        texts = rows.join(lists.hint("shuffle_hash"), F.col(RID) == F.col("__n"))
+        both = pair_sets(texts, size).groupBy("a", "b").agg(F.collect_list("set").alias("sets"))
+        common = F.size(F.array_intersect(F.col("sets")[0], F.col("sets")[1]))
+        total = F.size(F.col("sets")[0]) + F.size(F.col("sets")[1])
+        links = store(both.select("a", "b", common.alias("i"), total.alias("n"))
+                      .filter(F.col("i") * 100 >= percent * (F.col("n") - F.col("i"))).select("a", "b"), "join_links")
+        found = links if found is None else found.unionByName(links)
+    return found
 
 
 def _pair(x, y):
