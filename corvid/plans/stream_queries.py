@@ -9,7 +9,7 @@ from corvid.operators import text
 from corvid.plans.registry import query
 from corvid.plans.sqltext import jsplit, lines
 from corvid.session import scratch_path
-from corvid.sources.tables import load_table
+from corvid.sources.tables import load_table, table_path
 from corvid.streaming import text_streams as ts
 
 _WORDS_SQL = f"""
@@ -18,9 +18,11 @@ dw AS (SELECT unnest({jsplit('line', ' ', ' +$')}) AS word FROM dl)"""
 
 
 def _doc_lines(spark, sf):
+    """The documents as a stream; the bracketed last letter makes the path a pattern, which a stream takes for a table
+    that is one file as well as for one that is a folder of parts."""
     static = load_table(spark, sf, "documents")
-    return ts.line_stream(spark, sf, fmt="parquet", text_col="text", glob="documents.parquet",
-                          schema=static.schema)
+    path = table_path(sf, "documents")
+    return ts.line_stream(spark, f"{path[:-1]}[{path[-1]}]", fmt="parquet", text_col="text", schema=static.schema)
 
 
 @query("stream_word_count", _WORDS_SQL + """

@@ -2,6 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from corvid.plans import stream_queries
 from corvid.session import scratch_path
 from corvid.streaming import text_streams as ts
 
@@ -48,3 +49,21 @@ def test_running_count_complete_mode(spark, tmp_dir):
     ts.run_until_done(q, 120)
     got = {r.word: r.n for r in spark.sql("select * from running_wc").collect()}
     assert got == {"x": 2, "y": 2}
+
+
+def _documents(spark, sf, tasks):
+    rows = [(i, "good fail\nsad good" if i % 2 else None if i == 4 else f"w{i} good ") for i in range(12)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(tasks).write.parquet(f"{sf}/documents.parquet")
+
+
+def test_streams_read_a_table_that_is_a_folder(spark, tmp_dir):
+    _documents(spark, tmp_dir, 3)
+    spark.createDataFrame([(1, "good better")], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    kept = {"good": 17, **{f"w{i}": 1 for i in (0, 2, 6, 8, 10)}}
+    count = stream_queries.q_stream_word_count(spark, tmp_dir).collect()
+    assert {(r.batch_id, r.word): r.n for r in count} == {(0, w): n for w, n in {**kept, "fail": 6, "sad": 6}.items()}
+    assert {r.word: r.n for r in stream_queries.q_stream_stop_list(spark, tmp_dir).collect()} == kept
+    table = {r.word: r.n for r in stream_queries.q_stream_stop_table(spark, tmp_dir).collect()}
+    assert table == {**{w: n for w, n in kept.items() if w != "good"}, "fail": 6, "sad": 6}
+    lengths = {r.letters: r.n for r in stream_queries.q_stream_memory_sink(spark, tmp_dir).collect()}
+    assert lengths == {4: 17 + 6, 3: 6 + 1, 2: 4}
