@@ -60,15 +60,19 @@ def q_stream_stop_table(spark, sf):
 
 
 def _in_parts(spark, sf, base, parts):
-    """The documents dealt by id over ``parts`` folders, for streams that take several batches."""
+    """The documents dealt by id over ``parts`` folders, for streams that take several batches.
+    Every task writes its own files, so a folder holds any number of them, one at least."""
     docs = load_table(spark, sf, "documents").select("doc_id", "text")
     for i in range(parts):
-        docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == i).coalesce(1).write.parquet(f"{base}/in/part={i}")
+        docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == i).write.parquet(f"{base}/in/part={i}")
 
 
-def _run_parts(spark, base, found, start, files_per_batch=1):
-    lines = ts.line_stream(spark, f"{base}/in/part={found}", fmt="parquet", text_col="text", schema="doc_id long, text string",
-                           max_files_per_trigger=files_per_batch)
+def _run_parts(spark, base, found, new, start, batches):
+    """Stream the folders ``found``, of which the folders ``new`` have not been read, their files in ``batches`` batches."""
+    schema = "doc_id long, text string"
+    files = len(spark.read.schema(schema).parquet(f"{base}/in/part={new}").inputFiles())
+    lines = ts.line_stream(spark, f"{base}/in/part={found}", fmt="parquet", text_col="text", schema=schema,
+                           max_files_per_trigger=-(-files // batches))
     ts.run_until_done(start(ts.stream_words(lines)))
 
 
@@ -82,8 +86,8 @@ def q_stream_running_count(spark, sf):
     def start(words):
         return ts.start_running_word_count(words, f"{base}/out", f"{base}/ckpt")
 
-    _run_parts(spark, base, "[01]", start)
-    _run_parts(spark, base, "[0123]", start)
+    _run_parts(spark, base, "[01]", "[01]", start, 2)
+    _run_parts(spark, base, "[0123]", "[23]", start, 2)
     running = spark.read.option("basePath", f"{base}/out/running").schema("word string, n long, batch_id int").parquet(f"{base}/out/running")
     added = spark.read.schema("word string, n long, batch_id int").parquet(f"{base}/out/added")
     batches = running.agg(F.count_distinct("batch_id")).scalar()

@@ -67,3 +67,14 @@ def test_streams_read_a_table_that_is_a_folder(spark, tmp_dir):
     assert table == {**{w: n for w, n in kept.items() if w != "good"}, "fail": 6, "sad": 6}
     lengths = {r.letters: r.n for r in stream_queries.q_stream_memory_sink(spark, tmp_dir).collect()}
     assert lengths == {4: 17 + 6, 3: 6 + 1, 2: 4}
+
+
+def test_running_count_takes_parts_of_many_files_in_four_batches(spark, tmp_dir):
+    _documents(spark, tmp_dir, 5)
+    base = scratch_path(spark, "t-parts")
+    stream_queries._in_parts(spark, tmp_dir, base, 4)
+    files = [len(spark.read.parquet(f"{base}/in/part={i}").inputFiles()) for i in range(4)]
+    assert max(files) > 1 and min(files) > 0                          # not one writer per folder
+    assert sorted(r.doc_id for r in spark.read.parquet(f"{base}/in").collect()) == list(range(12))
+    got = {r.word: (r.n, r.from_batches, r.batches) for r in stream_queries.q_stream_running_count(spark, tmp_dir).collect()}
+    assert got["good"] == (17, 17, 4) and got["fail"] == (6, 6, 4) and got["w8"] == (1, 1, 4) and len(got) == 8
