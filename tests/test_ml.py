@@ -5,6 +5,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from corvid.ml import models as ml
+from corvid.plans import ml_queries
 from corvid.sources import files as src
 
 
@@ -78,3 +79,13 @@ def test_tree_with_as_many_values_as_categories(spark):
     df = ml.assemble(spark.range(400).select((F.col("id") % 100).cast("double").alias("x"),
                                              F.col("id").cast("double").alias("label")), ["x"])
     assert ml.decision_tree(df, df, df)[1].count() == 400
+
+
+def test_labeled_documents_are_split_into_words_once(spark, tmp_dir):
+    docs = [(1, "Good words, good deeds"), (2, "no label here"), (3, None), (1, "Twice the same id")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(1, 1), (3, 0), (9, 1)], "doc_id long, quality int").write.parquet(f"{tmp_dir}/labels.parquet")
+    got = ml_queries._labeled_docs(spark, tmp_dir, "quality")
+    assert "corvid/labeled-docs-" in got.inputFiles()[0]              # read back, not computed again on each pass
+    rows = sorted((r.doc_id, r.label, r.tokens) for r in got.collect())
+    assert rows == [(1, 1.0, ["good", "words", "deeds"]), (1, 1.0, ["twice", "same"]), (3, 0.0, None)]
