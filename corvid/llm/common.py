@@ -9,6 +9,7 @@ input never clash with them.
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Iterator
 
@@ -53,6 +54,15 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def give_memory_back() -> None:
+    """Return what this process has freed to the system: glibc and Arrow keep it otherwise, over all later steps."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):      # another C library
+        pass
+
+
 def with_row_ids(df: DataFrame) -> DataFrame:
     """``df`` plus a unique long ``__rid``; wrap in :func:`store` before joining on it."""
     return df.withColumn(RID, F.monotonically_increasing_id())

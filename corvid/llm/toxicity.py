@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvid.llm.common import drop_stored, give_memory_back, store
+
 POSITIVES = 2000
 UNLABELLED = 3500
 FEATURES = 4096
@@ -112,8 +114,8 @@ def _sample(df: DataFrame, id_col: str, n: int, salt: int) -> DataFrame:
 
 
 def fitting_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str,
-                 label_col: str, positives: int, unlabelled: int, clean: int) -> pa.Table:
-    """(``positive``, ``unlabelled``, ``clean``, ``features``) of the bounded fitting sample."""
+                 label_col: str, positives: int, unlabelled: int, clean: int) -> DataFrame:
+    """Stored (``positive``, ``unlabelled``, ``clean``, ``features``, ``at``) of the bounded fitting sample; ``at`` numbers the rows."""
     marks = (labels.filter(F.col(label_id).isNotNull() & ~held_out(label_id))
              .groupBy(F.col(label_id).alias("__i")).agg(F.max(label_col).alias("__mark")))
     present = docs.filter(F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("__i")).distinct()
@@ -135,21 +137,33 @@ def fitting_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
     # at most POSITIVES + UNLABELLED + CLEAN ids: a proven bound for the broadcast
     picked = (docs.select(F.col(id_col).alias("__d"), F.col(text_col).alias("__t"))
               .join(F.broadcast(wanted), F.col("__d") == F.col("__i")).select("__pos", "__unl", "__clean", "__t"))
-    return picked.mapInArrow(features, "positive int, unlabelled int, clean int, features array<long>").toArrow()
-
-
-def frequent_only(cells: pa.ChunkedArray, positive: np.ndarray, least: int = 3) -> list[np.ndarray]:
-    """The features of each row that ``least`` positive rows have; no other feature can be chosen."""
-    rows = [np.asarray(chunk.values)[a:b] for chunk in cells.chunks
-            for a, b in zip(np.asarray(chunk.offsets)[:-1], np.asarray(chunk.offsets)[1:])]
-    of_positive = [r for r, k in zip(rows, positive) if k]
-    if not of_positive:
-        return [r[:0] for r in rows]
-    hashes, counts = np.unique(np.concatenate(of_positive), return_counts=True)
-    hashes = hashes[counts >= least]
-    if not len(hashes):
-        return [r[:0] for r in rows]
-    return [r[hashes[np.minimum(np.searchsorted(hashes, r), len(hashes) - 1)] == r] for r in rows]
+    rows = picked.mapInArrow(features, "positive int, unlabelled int, clean int, features array<long>")
+    return store(rows.withColumn("at", F.monotonically_increasing_id()), "fitting_rows")
+
+
+def frequent_only(rows: DataFrame, least: int = 3) -> tuple[pa.Table, np.ndarray]:
+    """The fitting rows with those features only that ``least`` positive rows have (no other feature can be chosen),
+    and the sorted hashes of these features; ``features`` are places among them.
+
+    Counted and cut by the executors: the driver gets four bytes for a feature that may be chosen, nothing for others.
+    """
+    counts = rows.filter("positive > 0").select(F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n"))
+    hashes = np.sort(counts.filter(F.col("n") >= least).select("f").toArrow().column(0).to_numpy())
+    shared = rows.sparkSession.sparkContext.broadcast(hashes)
+
+    def cut(batches):
+        hashes = shared.value
+        for batch in batches:
+            cells = batch.column(3)
+            off, flat = np.asarray(cells.offsets), np.asarray(cells.flatten())
+            at = np.searchsorted(hashes, flat)
+            ok = hashes[np.minimum(at, len(hashes) - 1)] == flat if len(hashes) else np.zeros(len(flat), bool)
+            ends = np.concatenate([[0], np.cumsum(ok)])[off - off[0]]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(at[ok].astype(np.int32))),
+                 batch.column(4)], names=batch.schema.names)
+
+    return rows.mapInArrow(cut, "positive int, unlabelled int, clean int, features array<int>, at long").toArrow(), hashes
 
 
 def choose_features(pos: list[np.ndarray], unl: list[np.ndarray], limit: int, evidence: float) -> np.ndarray:
@@ -246,12 +260,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_id: str = "doc_id", label_col: str = "toxic", positives: int = POSITIVES,
         unlabelled: int = UNLABELLED, clean: int = CLEAN) -> Model:
     """Fit on the training folds of ``docs`` and ``labels`` (two tables joined by their ids)."""
+    try:
+        return _fit(docs, labels, id_col, text_col, label_id, label_col, positives, unlabelled, clean)
+    finally:
+        give_memory_back()
+
+
+def _fit(docs, labels, id_col, text_col, label_id, label_col, positives, unlabelled, clean) -> Model:
     known = labels.filter(F.col(label_col).isNotNull() & F.col(label_id).isNotNull() & ~held_out(label_id))
     prior = known.agg(F.avg(F.col(label_col).cast("double")).alias("prior")).first()["prior"] or 0.0
-    rows = fitting_rows(docs, labels, id_col, text_col, label_id, label_col, positives, unlabelled, clean)
-    roles = [rows.column(c).to_numpy() for c in ("positive", "unlabelled", "clean")]
-    each = frequent_only(rows.column("features"), roles[0] > 0)
-    del rows
+    stored = fitting_rows(docs, labels, id_col, text_col, label_id, label_col, positives, unlabelled, clean)
+    rows, hashes = frequent_only(stored)
+    drop_stored(stored)
+    order = np.argsort(rows.column("at").to_numpy())
+    roles = [rows.column(c).to_numpy()[order] for c in ("positive", "unlabelled", "clean")]
+    cells = rows.column("features").combine_chunks()
+    off, flat = np.asarray(cells.offsets), np.asarray(cells.values)
+    each = [flat[off[k]:off[k + 1]] for k in order.tolist()]
     pos, unl, ok = ([x for x, k in zip(each, role) if k] for role in roles)
     if not pos or not unl or not 0 < prior < 1:
         return Model({}, np.zeros((0, CLASSIFIERS)), prior)
@@ -260,7 +285,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     evidence = EVIDENCE[-1]
     if keep and ok:
         evidence = min(EVIDENCE, key=lambda e: _loss(_ensemble(keep, unl, prior, e), out, ok))
-    return _ensemble(pos, unl, prior, evidence)
+    model = _ensemble(pos, unl, prior, evidence)
+    return Model({int(hashes[f]): i for f, i in model.columns.items()}, model.weights, prior)
 
 
 def with_score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:

@@ -201,8 +201,9 @@ def word2vec(tokens: DataFrame, col: str = "tokens", size: int = 100, min_count:
              seed: int = 42, max_iter: int = 1, partitions: int | None = None):
     """Word2Vec; ``transform`` gives the per-row mean of word
     vectors, with unknown words counting as zero vectors (as the reference).
-    Trains in as many tasks as the input has partitions, if not told otherwise."""
-    partitions = partitions or max(1, tokens.rdd.getNumPartitions())
+    Trains in as many tasks as the input has partitions, but not more than run at a time, if not told
+    otherwise: every task has a model of its own, which is sent and averaged whole at the end."""
+    partitions = partitions or max(1, min(tokens.rdd.getNumPartitions(), tokens.sparkSession.sparkContext.defaultParallelism))
     w2v = Word2Vec(inputCol=col, outputCol="vector", vectorSize=size, minCount=min_count, seed=seed,
                    maxIter=max_iter, numPartitions=partitions)
     m = w2v.fit(tokens)

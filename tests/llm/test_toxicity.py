@@ -2,12 +2,13 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corvid.llm.toxicity import choose_features, fit, fit_nnpu, held_out, levels, with_score
+from corvid.llm.toxicity import choose_features, fit, fit_nnpu, fitting_rows, frequent_only, held_out, levels, with_score
 from llm_fixtures import docs, package  # noqa: F401
 
 BAD = ["vilefoo", "grossbar", "nastybaz"]
@@ -78,3 +79,25 @@ def test_non_negative_risk_finds_the_hidden_positives():
     w = fit_nnpu(pos, unl, chosen, 0.2)
     at = int(np.searchsorted(chosen, 1))
     assert w[-1] < 0 < w[-1] + w[at]
+
+
+def test_driver_gets_only_features_that_may_be_chosen(labelled):
+    """The fitting rows come as places among the features that three positive rows have, not as all their hashes."""
+    df, marks = labelled
+    stored = fitting_rows(df, marks, "doc_id", "text", "doc_id", "toxic", 2000, 3500, 1000)
+    before = stored.orderBy("at").collect()
+    rows, hashes = frequent_only(stored)
+    counts = Counter(f for r in before if r["positive"] for f in r["features"])
+    assert hashes.tolist() == sorted(f for f, n in counts.items() if n >= 3)
+    after = rows.sort_by("at").to_pylist()
+    assert [[int(hashes[f]) for f in r["features"]] for r in after] == [[f for f in r["features"] if counts[f] >= 3] for r in before]
+    assert rows.schema.field("features").type.value_type.bit_width == 32
+
+
+def test_fit_leaves_no_freed_memory_behind(labelled, monkeypatch):
+    from corvid.llm import toxicity
+    called = []
+    monkeypatch.setattr(toxicity, "give_memory_back", lambda: called.append(1))
+    df, marks = labelled
+    fit(df, marks)
+    assert called == [1]

@@ -58,6 +58,23 @@ def test_word2vec_unknown_word_is_zero(spark):
     assert v == [0.0, 0.0, 0.0, 0.0]
 
 
+def test_word2vec_trains_in_the_tasks_that_run_at_a_time(spark):
+    df = spark.createDataFrame([(["a", "b"],)] * 10, "tokens array<string>").repartition(200)
+    m, _ = ml.word2vec(df, size=4)
+    assert m.getNumPartitions() == min(200, spark.sparkContext.defaultParallelism)
+    m, _ = ml.word2vec(df.coalesce(1), size=4)
+    assert m.getNumPartitions() == 1
+
+
+def test_word2vec_splits_titles_once(spark, tmp_dir):
+    rows = [(i, "red green blue red green") for i in range(20)] + [(20, "once only words"), (21, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(os.path.join(tmp_dir, "documents.parquet"))
+    out = ml_queries.q_word2vec_titles(spark, tmp_dir)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "split(" not in plan      # read from the stored tokens
+    assert sorted((r.doc_id, r.n_tokens) for r in out.collect()) == [(i, 5) for i in range(20)]
+
+
 def test_tree_fits_any_number_of_artists(spark):
     rows = spark.range(5000 * 4).select((F.col("id") % 5000).cast("string").alias("artist_id"),
                                         (F.col("id") / 5000).cast("int").cast("double").alias("day_num"),
