@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -43,7 +44,7 @@ CAPACITY = 4096
 END_ID = 1
 CLASSES = 256           # the LP sees lengths in so many classes of equal width
 ROUNDS = 1500
-MEMO_WORDS = 400_000    # per Python worker
+MEMO_WORDS = 400_000    # per Python worker, and as many old ones
 
 
 # --- tokenizing ---------------------------------------------------------------
@@ -60,12 +61,15 @@ class WordIds(dict):
 
     White space separates words for this tokenizer and is dropped, so a text's
     ids are those of its blank-free chunks in turn, and each distinct chunk is
-    encoded once per worker (the table is emptied at ``MEMO_WORDS`` entries).
-    Letters of Latin-1 with trailing punctuation, the usual case, go straight to
-    the BPE model; all else takes the whole tokenizer.
+    encoded once per worker (at ``MEMO_WORDS`` entries the table becomes the old
+    one, from which what is still in use is taken over).  Chunks of printable
+    ASCII and letters of Latin-1, the usual case, are split here as the tokenizer
+    splits them, and each piece goes to the BPE model once; all else takes the
+    whole tokenizer.
     """
 
-    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|]*)")
+    PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-zà-öø-ÿß0-9]+")     # of lower-cased chunks
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -73,38 +77,46 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.parts: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.chars = _byte_chars()
 
-    def part(self, s: str) -> bytes:
-        found = self.parts.get(s)
-        if found is None:
-            word = s if s.isascii() else "".join(map(self.chars.__getitem__, s.encode()))
-            found = np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
-            self.parts[s] = found
-        return found
+    def piece(self, s: str) -> bytes:
+        word = s if s.isascii() else "".join(map(self.chars.__getitem__, s.encode()))
+        return _uint32([t.id for t in self.model.tokenize(word)])
 
     def __missing__(self, chunk: str) -> bytes:
-        if plain := self.PLAIN.fullmatch(chunk):
-            found = self.part(plain[1].lower())
-            if plain[2]:
-                found += self.part(plain[2])
-        else:
-            found = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        found = self.old.get(chunk)
+        if found is None:
+            if chunk.isascii() and chunk.isalpha():
+                pieces = [chunk.lower()]
+            elif self.PLAIN.fullmatch(chunk):
+                pieces = self.PIECE.findall(chunk.lower())
+            else:
+                pieces = []
+            if not pieces:
+                found = _uint32(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+            elif pieces[0] == chunk:
+                found = self.piece(chunk)
+            else:
+                found = b"".join([self[p] for p in pieces])
         if len(chunk) <= 64:
             self[chunk] = found
         return found
 
     def encode(self, text: str) -> bytes:
-        if len(self) > MEMO_WORDS or len(self.parts) > MEMO_WORDS:
+        if len(self) > MEMO_WORDS:
+            self.old = self.copy()
             self.clear()
-            self.parts.clear()
         for blank in "\n\t\r":
             if blank in text:
                 text = text.replace(blank, " ")
         return b"".join(map(self.__getitem__, text.split(" ")))
 
 
+def _uint32(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)

@@ -125,3 +125,19 @@ def test_fractional_solution_does_not_cover_more_than_needed():
 def test_slots_number_every_rank_once():
     rows = slots([({5: 2, 3: 1}, 2), ({3: 4}, 1)])
     assert [tuple(r) for r in rows] == [(3, 0, 2, 0, 1, 10), (3, 2, 6, 2, 4, 0), (5, 0, 4, 0, 2, 0)]
+
+
+def test_printable_chunks_are_split_here(tokenizer):
+    text = "(224) 555-4542 a.b68@m9.example.com 4.0. antion,%%% Don't we'Re 'S ''ll Érase"
+    memo = WordIds(tokenizer_path())
+    memo.tokenizer = None
+    assert np.frombuffer(memo.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_full_word_table_keeps_what_is_in_use(tokenizer, monkeypatch):
+    monkeypatch.setattr("corvid.llm.packing.MEMO_WORDS", 2)
+    memo = WordIds(tokenizer_path())
+    first = memo.encode("alpha beta gamma")
+    memo.model = None
+    assert memo.encode("alpha beta gamma") == first
+    assert sorted(memo) == ["alpha", "beta", "gamma"]
