@@ -83,6 +83,7 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 _SEEDS = (_U(0x243F6A8885A308D3), _U(0x13198A2E03707344))
 LONG_WORD = 64
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], _U)      # masks of the first k bytes of a block
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
@@ -102,8 +103,7 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int
     while len(short):
         left = size[short] - at
         value = block[start[short] + at]
-        part = left < 8
-        value[part] &= (_U(1) << (left[part] * 8).astype(_U)) - _U(1)
+        value &= _FIRST[np.minimum(left, 8)]
         out[short] = mix((out[short] ^ value) * BASE[which] + _SEEDS[which])
         at += 8
         short = short[left > 8]

@@ -94,26 +94,36 @@ def _matrix(column: pa.Array, dtype) -> np.ndarray:
     return data.view(dtype).reshape(len(off) - 1, -1) if len(off) > 1 else np.zeros((0, 1), dtype)
 
 
-def signed_rows(rows: DataFrame) -> DataFrame:
-    """``__rid``, ``__id``, number of shingles, digest of the set (null if empty) and signature of numbered rows."""
+def signed_rows(rows: DataFrame, counted: bool = False) -> DataFrame:
+    """``__rid``, ``__id``, number of shingles, digest of the set (null if empty) and signature of numbered rows.
 
+    ``counted``: with ``block`` and ``counts``, null here; besides, rows of these two alone, each task's
+    :class:`corvid.llm.ngram_join.SlotCounts`.
+    """
     def sign(batches):
-        for batch in batches:
-            for part in byte_slices(batch, "__text"):
-                sets = shingle_sets(*text_buffer(part.column("__text")))
-                has = np.array([len(s) > 0 for s in sets])
-                sigs = np.zeros((len(sets), MINIMA), np.uint32)
-                sigs[has] = signatures(sets)
-                digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(RID), part.column("__id"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(digest, pa.binary()), _binary(sigs)],
-                    names=[RID, "__id", "n_shingles", "digest", "signature"])
+        counts = join.SlotCounts() if counted else None
+
+        def signed():
+            for batch in batches:
+                for part in byte_slices(batch, "__text"):
+                    flat, off = join.flat_sets(*text_buffer(part.column("__text")), SHINGLE)
+                    if counted:
+                        counts.add(flat)
+                    sets = [flat[a:b] for a, b in zip(off[:-1], off[1:])]
+                    sigs = np.zeros((len(sets), MINIMA), np.uint32)
+                    sigs[np.diff(off) > 0] = signatures(sets)
+                    digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(RID), part.column("__id"), pa.array(np.diff(off)),
+                         pa.array(digest, pa.binary()), _binary(sigs)],
+                        names=[RID, "__id", "n_shingles", "digest", "signature"])
+
+        yield from join.with_counts(signed(), counts) if counted else signed()
 
     rows = rows.select(RID, "__id", "__text")
     return rows.mapInArrow(sign, T.StructType([
-        rows.schema[RID], rows.schema["__id"], T.StructField("n_shingles", T.LongType()),
-        T.StructField("digest", T.BinaryType()), T.StructField("signature", T.BinaryType())]))
+        T.StructField(RID, T.LongType()), T.StructField("__id", rows.schema["__id"].dataType), T.StructField("n_shingles", T.LongType()),
+        T.StructField("digest", T.BinaryType()), T.StructField("signature", T.BinaryType()), *(join.COUNTS if counted else [])]))
 
 
 # --- the forest ------------------------------------------------------------------
@@ -183,28 +193,37 @@ def likeliest(pairs: DataFrame, partners: int = PARTNERS, least: int = LEAST_COM
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
-def linked(rows: DataFrame, signed: DataFrame) -> DataFrame:
-    """(``node``, ``component``) of all sets with a confirmed link; the stored signatures are dropped on the way."""
+def linked(rows: DataFrame, signed: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """(``node``, ``component``) of all sets with a confirmed link; the stored signatures are dropped on the way.
+
+    ``counts``: see :func:`corvid.llm.ngram_join.prefixes`.
+    """
     nodes = store(signed.select("node"), "forest_nodes")
     asked = store(likeliest(neighbours(signed)), "pairs")
     drop_stored(signed)
     found = join.confirmed(asked, rows, SHINGLE, PERCENT)
-    groups = join.links(rows, nodes, SHINGLE, PERCENT, asked, found, early_rounds=1)
+    groups = join.links(rows, nodes, SHINGLE, PERCENT, asked, found, early_rounds=1, counts=counts)
     return groups if groups is not None else nodes.select("node", F.col("node").alias("component")).limit(0)
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``__rid, __id, n_shingles, component_id`` (smallest id of the group)."""
-    rows = numbered(df, id_col, text_col)
-    everything = store(signed_rows(rows), "signatures")
-    marks = store(everything.drop("signature"), "marks")
+    return groups_of(numbered(df, id_col, text_col))
+
+
+def groups_of(rows: DataFrame) -> DataFrame:
+    """:func:`near_groups` of numbered rows (``__rid``, ``__id``, ``__text``) that are stored."""
+    everything = store(signed_rows(rows, counted=True), "signatures")
+    marks = store(everything.filter("block is null").drop("signature", "block", "counts"), "marks")
+    counts = store(everything.filter("block is not null").select("block", "counts"), "slot_counts")
     distinct = (marks.filter("digest is not null").groupBy("digest")
                 .agg(F.min(RID).alias("node"), F.min("__id").alias("low"), F.min("n_shingles").alias("n")))
     distinct = store(distinct, "sets_distinct")
     signed = everything.join(distinct.select(F.col("node").alias(RID)), RID, "left_semi").select(F.col(RID).alias("node"), "signature")
     signed = store(signed, "signed")
     drop_stored(everything)
-    parts = linked(rows, signed)
+    parts = linked(rows, signed, counts)
+    drop_stored(counts)
     named = distinct.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
     smallest = named.groupBy("part").agg(F.min("low").alias("component_id"))
     by_set = named.join(smallest, "part").select(F.col("digest").alias("__digest"), "component_id")
@@ -216,8 +235,8 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay: of each group the one with the smallest id; columns unchanged."""
     rows = store(with_row_ids(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"))), "near_rows")
-    names = rows.select(F.struct(F.col("__row")[id_col].alias("i"), F.col(RID).alias("r")).alias("__i"),
-                        F.col("__row")[text_col].alias("__t"))
-    groups = near_groups(names, "__i", "__t")
+    names = rows.select(RID, F.struct(F.col("__row")[id_col].alias("i"), F.col(RID).alias("r")).alias("__id"),
+                        F.coalesce(F.col("__row")[text_col], F.lit("")).alias("__text"))
+    groups = groups_of(names)
     kept = groups.filter(F.col("__id") == F.col("component_id")).select(F.col("__id")["r"].alias(RID))
     return rows.join(kept, RID, "left_semi").select("__row.*")

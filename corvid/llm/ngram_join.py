@@ -64,16 +64,20 @@ def flat_sets(data: np.ndarray, off: np.ndarray, size: int = SIZE) -> tuple[np.n
     n = np.diff(first)
     values = word_hashes(data, start, end)
     grams = gram_hashes(values, size)
-    parts = []
-    for lo, count in zip(first[:-1].tolist(), n.tolist()):
+    held = np.where(n >= size, n - size + 1, np.minimum(n, 1))
+    bounds = np.concatenate([[0], np.cumsum(held)]).astype(np.int64)
+    flat = np.empty(bounds[-1], np.uint64)
+    for lo, count, a, b in zip(first[:-1].tolist(), n.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
         if count >= size:
-            parts.append(np.unique(grams[lo:lo + count - size + 1]))
+            some = flat[a:b]
+            some[:] = grams[lo:lo + b - a]
+            some.sort()
         elif count:
-            parts.append(mix(gram_hashes(values[lo:lo + count], count) + np.uint64(count)))
-        else:
-            parts.append(np.zeros(0, np.uint64))
-    bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-    return np.concatenate([*parts, np.zeros(0, np.uint64)]), bounds
+            flat[a:b] = mix(gram_hashes(values[lo:lo + count], count) + np.uint64(count))
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    new[bounds[:-1][held > 0]] = True
+    return flat[new], np.concatenate([[0], np.cumsum(new)])[bounds]
 
 
 def _texts(batches):
@@ -81,19 +85,71 @@ def _texts(batches):
         yield from byte_slices(batch, "__text")
 
 
+COUNTS = [T.StructField("block", T.LongType()), T.StructField("counts", T.BinaryType())]
+
+
+class SlotCounts:
+    """How many sets of a task hold a shingle of each slot, as rows (``block``, ``counts`` of ``BLOCK`` slots)."""
+
+    def __init__(self):
+        self.total = np.zeros(SLOTS, np.uint32)
+        self.held, self.size = [], 0
+
+    def add(self, flat: np.ndarray) -> None:
+        self.held.append(slots_of(flat))
+        self.size += len(flat)
+        if self.size >= SLOTS:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.held:
+            self.total += np.bincount(np.concatenate(self.held), minlength=SLOTS).astype(np.uint32)
+        self.held, self.size = [], 0
+
+    def batches(self, before: list[pa.DataType] = (), names: list[str] = ()):
+        """The rows with counts; the columns ``names`` that stand before them are null."""
+        self.flush()
+        blocks = self.total.reshape(-1, BLOCK)
+        used = np.flatnonzero(blocks.any(axis=1))
+        for lo in range(0, len(used), 256):
+            some = used[lo:lo + 256]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.nulls(len(some), t) for t in before], pa.array(some, pa.int64()),
+                 pa.array([blocks[b].tobytes() for b in some], pa.binary())], names=[*names, *[f.name for f in COUNTS]])
+
+
+def with_counts(batches, counts: SlotCounts):
+    """Batches of other columns with empty ``block`` and ``counts``; after the last one the rows of ``counts``."""
+    kinds, names = None, None
+    for batch in batches:
+        kinds, names = batch.schema.types, batch.schema.names
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.binary())],
+                                         names=[*names, *[f.name for f in COUNTS]])
+    if names is not None:
+        yield from counts.batches(kinds, names)
+
+
 def marked_rows(rows: DataFrame, size: int) -> DataFrame:
-    """``__rid, __id, n_shingles, digest`` (null for an empty set) of numbered rows."""
+    """``__rid, __id, n_shingles, digest`` (null for an empty set) of numbered rows, ``block`` and ``counts`` being null;
+    besides, rows of these two alone: each task's :class:`SlotCounts`."""
     def mark(batches):
-        for part in _texts(batches):
-            flat, off = flat_sets(*text_buffer(part.column("__text")), size)
-            digest = [hashlib.blake2b(flat[a:b].tobytes(), digest_size=16).digest() if b > a else None
-                      for a, b in zip(off[:-1], off[1:])]
-            yield pa.RecordBatch.from_arrays([part.column(RID), part.column("__id"), pa.array(np.diff(off)),
-                                              pa.array(digest, pa.binary())], names=[RID, "__id", "n_shingles", "digest"])
+        counts = SlotCounts()
+
+        def marks():
+            for part in _texts(batches):
+                flat, off = flat_sets(*text_buffer(part.column("__text")), size)
+                counts.add(flat)
+                digest = [hashlib.blake2b(flat[a:b].tobytes(), digest_size=16).digest() if b > a else None
+                          for a, b in zip(off[:-1], off[1:])]
+                yield pa.RecordBatch.from_arrays([part.column(RID), part.column("__id"), pa.array(np.diff(off)),
+                                                  pa.array(digest, pa.binary())], names=[RID, "__id", "n_shingles", "digest"])
+
+        yield from with_counts(marks(), counts)
 
     rows = rows.select(RID, "__id", "__text")
-    return rows.mapInArrow(mark, T.StructType([rows.schema[RID], rows.schema["__id"], T.StructField("n_shingles", T.LongType()),
-                                               T.StructField("digest", T.BinaryType())]))
+    return rows.mapInArrow(mark, T.StructType([T.StructField(RID, T.LongType()), T.StructField("__id", rows.schema["__id"].dataType),
+                                               T.StructField("n_shingles", T.LongType()),
+                                               T.StructField("digest", T.BinaryType()), *COUNTS]))
 
 
 def pair_sets(rows: DataFrame, size: int) -> DataFrame:
@@ -120,68 +176,60 @@ def slots_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(17)).astype(np.int64) & (SLOTS - 1)
 
 
-def rarity(rows: DataFrame, size: int) -> np.ndarray:
-    """For each of ``SLOTS`` counters how many sets hold a shingle of it, on a logarithmic scale."""
+def slot_counts(rows: DataFrame, size: int) -> DataFrame:
+    """Each task's :class:`SlotCounts` of numbered rows."""
     def count(batches):
-        total = np.zeros(SLOTS, np.int64)
-        held, size_held = [], 0
+        counts = SlotCounts()
         for part in _texts(batches):
-            flat, _ = flat_sets(*text_buffer(part.column("__text")), size)
-            held.append(slots_of(flat))
-            size_held += len(flat)
-            if size_held >= SLOTS:
-                total += np.bincount(np.concatenate(held), minlength=SLOTS)
-                held, size_held = [], 0
-        if held:
-            total += np.bincount(np.concatenate(held), minlength=SLOTS)
-        blocks = total.reshape(-1, BLOCK)
-        used = np.flatnonzero(blocks.any(axis=1))
-        for lo in range(0, len(used), 256):
-            some = used[lo:lo + 256]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([blocks[b].tobytes() for b in some], pa.binary())],
-                                             names=["block", "counts"])
+            counts.add(flat_sets(*text_buffer(part.column("__text")), size)[0])
+        yield from counts.batches()
+
+    return rows.select("__text").mapInArrow(count, T.StructType(COUNTS))
+
 
+def rarity(counts: DataFrame) -> np.ndarray:
+    """For each of ``SLOTS`` counters how many sets hold a shingle of it, on a logarithmic scale."""
     def add(batches):
         block, total = None, None
         for batch in batches:
             for b, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(counts.as_buffer(), np.int64)
+                part = np.frombuffer(counts.as_buffer(), np.uint32)
                 if b != block:
                     if block is not None:
-                        yield _one_block(block, total)
+                        yield scale(block, total)
                     block, total = b, np.zeros(BLOCK, np.int64)
                 total += part
         if block is not None:
-            yield _one_block(block, total)
+            yield scale(block, total)
+
+    def scale(block, total):
+        rare = np.minimum(np.log2(total + 1.0) * 1024, 65535).astype(np.uint16)
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([rare.tobytes()], pa.binary())],
+                                          names=["block", "counts"])
 
-    schema = "block long, counts binary"
-    summed = (rows.select("__text").mapInArrow(count, schema).repartition("block").sortWithinPartitions("block")
-              .mapInArrow(add, schema))
+    summed = (counts.filter("block is not null").select("block", "counts").repartition("block").sortWithinPartitions("block")
+              .mapInArrow(add, T.StructType(COUNTS)).toArrow())
     out = np.zeros(SLOTS, np.uint16)                  # SLOTS values at any input size
-    for r in summed.toLocalIterator():
-        counts = np.frombuffer(bytes(r["counts"]), np.int64)
-        out[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.minimum(np.log2(counts + 1.0) * 1024, 65535).astype(np.uint16)
+    for b, rare in zip(summed.column(0).to_pylist(), summed.column(1)):
+        out[b * BLOCK:(b + 1) * BLOCK] = np.frombuffer(rare.as_buffer(), np.uint16)
     return out
 
 
-def _one_block(block: int, total: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([total.tobytes()], pa.binary())],
-                                      names=["block", "counts"])
-
-
 # --- prefixes and groups ----------------------------------------------------------------
 
-def prefixes(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """``node, n, key`` (digest of size and prefix), ``bits`` and ``prefix``, rarest shingle first, of numbered rows."""
-    rare = rows.sparkSession.sparkContext.broadcast(rarity(rows, size))
+def prefixes(rows: DataFrame, size: int, percent: int, counts: DataFrame | None = None) -> DataFrame:
+    """``node, n, key`` (digest of size and prefix), ``bits`` and ``prefix``, rarest shingle first, of numbered rows.
+
+    ``counts``: the slot counts of these rows, where an earlier pass has made them.
+    """
+    rare = rows.sparkSession.sparkContext.broadcast(rarity(slot_counts(rows, size) if counts is None else counts))
 
     def cut(batches):
         for part in _texts(batches):
             flat, off = flat_sets(*text_buffer(part.column("__text")), size)
             n = np.diff(off)
             of = np.repeat(np.arange(len(n), dtype=np.uint64), n)
-            # stable: shingles of one slot count stay in the order of their hashes
-            flat = flat[np.argsort((of << np.uint64(16)) | rare.value[slots_of(flat)], kind="stable")]
+            flat = rarest_first(flat, of, rare.value)
             bits = parity_maps(flat, of, len(n))
             take = np.where(n > 0, n * (100 - percent) // 100 + 1, 0)
             bounds = np.concatenate([[0], np.cumsum(take)])
@@ -198,6 +246,14 @@ def prefixes(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return rows.select(RID, "__text").mapInArrow(cut, "node long, n long, key binary, bits array<long>, prefix array<long>")
 
 
+def rarest_first(flat: np.ndarray, of: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    """Shingles of the sets ``of``, each set's rarest first; those of one slot count stay in the order of their hashes."""
+    place = np.uint64(len(flat).bit_length())         # set, rarity and place fill less than 64 bits: a buffer holds 2^31 bytes
+    order = (((of << np.uint64(16)) | rare[slots_of(flat)]) << place) | np.arange(len(flat), dtype=np.uint64)
+    order.sort()
+    return flat[(order & ((np.uint64(1) << place) - np.uint64(1))).astype(np.int64)]
+
+
 def parity_maps(flat: np.ndarray, of: np.ndarray, sets: int) -> np.ndarray:
     """``BITS`` bits per set, as int64 words: whether an odd number of its shingles falls on the bit."""
     out = np.empty((sets, BITS // 64), np.int64)
@@ -276,25 +332,28 @@ def _possible(n1, i1, n2, i2, percent: int):
 def confirmed(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs of nodes (``a``, ``b``) whose full sets, made from the texts of numbered rows, reach the threshold.
 
-    A text meets the list of its pairs (few: candidates ask for a bounded number of partners a round) and sends its
-    set to each of them, so a set crosses the shuffle once a pair and is written nowhere else.  Pairs are taken in
-    ``TURNS`` turns, so that only the sets of one turn are on disk at a time.
+    Texts cross the shuffle once: they meet the list of their pairs (few: candidates ask for a bounded number of
+    partners a round), and those with a list are stored beside it.  Each sends its set to its pairs, so a set crosses
+    the shuffle once a pair and is written nowhere else.  Pairs are taken in ``TURNS`` turns, so that only the sets of
+    one turn are on disk at a time.
     """
+    ends = pairs.select(F.col("a").alias("__n"), "a", "b").unionByName(pairs.select(F.col("b").alias("__n"), "a", "b"))
+    # a node that very many pairs ask for (a list's head) is dealt over salts, its text once for each
+    ends = ends.withColumn("__salt", F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)))
+    lists = ends.groupBy("__n", "__salt").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+    # one plan at every size: pairs grow with the input and are never a broadcast
+    texts = store(rows.join(lists.hint("shuffle_hash"), F.col(RID) == F.col("__n")).select("__text", "pairs"), "join_texts")
     found = None
     for turn in range(TURNS):
-        some = pairs.filter(F.pmod(F.xxhash64(F.lit(3), "a", "b"), F.lit(TURNS)) == turn)
-        ends = some.select(F.col("a").alias("__n"), "a", "b").unionByName(some.select(F.col("b").alias("__n"), "a", "b"))
-        # a node that very many pairs ask for (a list's head) is dealt over salts, its text once for each
-        ends = ends.withColumn("__salt", F.pmod(F.xxhash64("a", "b"), F.lit(SALTS)))
-        lists = ends.groupBy("__n", "__salt").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
-        # one plan at every size: pairs grow with the input and are never a broadcast
-        texts = rows.join(lists.hint("shuffle_hash"), F.col(RID) == F.col("__n"))
-        both = pair_sets(texts, size).groupBy("a", "b").agg(F.collect_list("set").alias("sets"))
+        some = F.filter("pairs", lambda p: F.pmod(F.xxhash64(F.lit(3), p["a"], p["b"]), F.lit(TURNS)) == turn)
+        now = texts.select("__text", some.alias("pairs")).filter(F.size("pairs") > 0)
+        both = pair_sets(now, size).groupBy("a", "b").agg(F.collect_list("set").alias("sets"))
         common = F.size(F.array_intersect(F.col("sets")[0], F.col("sets")[1]))
         total = F.size(F.col("sets")[0]) + F.size(F.col("sets")[1])
         links = store(both.select("a", "b", common.alias("i"), total.alias("n"))
                       .filter(F.col("i") * 100 >= percent * (F.col("n") - F.col("i"))).select("a", "b"), "join_links")
         found = links if found is None else found.unionByName(links)
+    drop_stored(texts)
     return found
 
 
@@ -323,13 +382,13 @@ def near(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
 
 def links(rows: DataFrame, nodes: DataFrame, size: int, percent: int, tested: DataFrame | None = None,
-          found: DataFrame | None = None, early_rounds: int = EARLY_ROUNDS) -> DataFrame | None:
+          found: DataFrame | None = None, early_rounds: int = EARLY_ROUNDS, counts: DataFrame | None = None) -> DataFrame | None:
     """(``node``, ``component``) of the linked ones among the ``nodes`` of numbered rows; None if there is no link.
 
     ``nodes``: one row of each distinct set.  ``tested`` and ``found``: pairs that were verified before and those of
-    them that link, from another source of candidates.
+    them that link, from another source of candidates.  ``counts``: see :func:`prefixes`.
     """
-    cut = store(prefixes(rows, size, percent).filter("n > 0").join(nodes.hint("shuffle_hash"), "node", "left_semi"), "join_prefixes")
+    cut = store(prefixes(rows, size, percent, counts).filter("n > 0").join(nodes.hint("shuffle_hash"), "node", "left_semi"), "join_prefixes")
     named = cut.groupBy("key").agg(F.min("node").alias("g"))
     members = store(cut.join(named, "key").select("node", "g", "n", "bits"), "join_members")
     lists = store(postings(cut.join(members.filter("node = g").select("node", "g"), "node").select("g", "n", "prefix")), "join_lists")
@@ -352,6 +411,8 @@ def links(rows: DataFrame, nodes: DataFrame, size: int, percent: int, tested: Da
         found = new if found is None else found.unionByName(new)
         if not new.isEmpty():
             parts = store(connected_components(found), "join_components")
+    for used in (members, lists, beside, tested, found):
+        drop_stored(used)
     return parts
 
 
@@ -400,10 +461,11 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                        percent: int = PERCENT) -> DataFrame:
     """One row per input row: ``__rid, __id, n_shingles, component_id`` (smallest id reachable)."""
     rows = numbered(df, id_col, text_col)
-    marks = store(marked_rows(rows, size), "join_marks")
+    everything = store(marked_rows(rows, size), "join_marks")
+    marks = everything.filter("block is null").drop("block", "counts")
     distinct = store(marks.filter("digest is not null").groupBy("digest")
                      .agg(F.min(RID).alias("node"), F.min("__id").alias("low")), "join_distinct")
-    parts = links(rows, distinct.select("node"), size, percent)
+    parts = links(rows, distinct.select("node"), size, percent, counts=everything)
     named = distinct.withColumn("part", F.col("node"))
     if parts is not None:
         named = (distinct.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")))

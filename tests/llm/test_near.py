@@ -1,5 +1,6 @@
 """Near-dedup: equal to all-pairs on fixtures, hot groups, regions of any size, defined cases."""
 
+import os
 import random
 import re
 
@@ -160,3 +161,32 @@ def test_small_and_large_regions_lose_no_link(docs, seed):
         rows.append((i, " ".join(text)))
     got = {r["__id"]: (r["n_shingles"], r["component_id"]) for r in near_groups(docs(rows).repartition(5)).collect()}
     assert got == brute(rows)
+
+
+def test_texts_are_stored_once_and_working_tables_go(docs, monkeypatch):
+    """Texts cross the shuffle once a round of pairs, not once a turn; the rows of a pipeline stage are not stored again."""
+    made = []
+
+    def noted(df, name):
+        made.append((name, store(df, name)))
+        return made[-1][1]
+
+    for module in ("common", "near_dedup", "ngram_join"):
+        monkeypatch.setattr(f"corvid.llm.{module}.store", noted)
+    rows = [(i, " ".join(f"w{i // 3}x{j}" for j in range(40)) + f" o{i}") for i in range(30)] + [(99, None), (None, "")]
+    kept = drop_near_copies(docs(rows))
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([*range(0, 30, 3), 99, None], key=str)
+    names = [n for n, _ in made]
+    assert "rows" not in names and names.count("near_rows") == 1
+    assert names.count("join_links") == ngram_join.TURNS * names.count("join_texts")
+    for name, df in made:
+        if name in ("signatures", "slot_counts", "join_texts", "join_members", "join_lists", "join_beside", "join_links"):
+            assert not any(os.path.exists(f.removeprefix("file:")) for f in df.inputFiles()), name
+
+
+def test_slot_counts_come_with_the_signatures(docs):
+    texts = [(i, f"a b c d e f g h{i % 4}") for i in range(20)] + [(77, "")]
+    rows = numbered(docs(texts).repartition(3), "doc_id", "text")
+    both = store(signed_rows(rows, counted=True), "both")
+    assert both.filter("block is null").count() == 21
+    assert (ngram_join.rarity(both) == ngram_join.rarity(ngram_join.slot_counts(rows, 5))).all()
