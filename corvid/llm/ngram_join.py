@@ -17,7 +17,8 @@ Two documents link when the sets of their ``SIZE``-word shingles have at least
 5. Group pairs are filtered by size and by the place of the common shingle: what
    stands before it cannot match.  Then they are expanded to members, and member pairs
    are filtered by parity maps of ``BITS`` bits (two sets differ in at least as many
-   shingles as their maps differ in bits) and verified on full sets.  Verified links
+   shingles as their maps differ in bits; sets of more shingles than bits are filtered
+   once more by maps that grow with the set) and verified on full sets.  Verified links
    are contracted to components.  A list first asks each group only about its neighbour
    and about the list's head, the set with the fewest shingles of its own.  The last
    round asks for every pair of groups, and every pair of members, that is not yet in
@@ -218,7 +219,8 @@ def rarity(counts: DataFrame) -> np.ndarray:
 # --- prefixes and groups ----------------------------------------------------------------
 
 def prefixes(rows: DataFrame, size: int, percent: int, counts: DataFrame | None = None) -> DataFrame:
-    """``node, n, key`` (digest of size and prefix), ``bits`` and ``prefix``, rarest shingle first, of numbered rows.
+    """``node, n, key`` (digest of size and prefix), ``bits``, ``wide`` (null for sets of at most ``BITS`` shingles) and
+    ``prefix``, rarest shingle first, of numbered rows.
 
     ``counts``: the slot counts of these rows, where an earlier pass has made them.
     """
@@ -231,6 +233,7 @@ def prefixes(rows: DataFrame, size: int, percent: int, counts: DataFrame | None
             of = np.repeat(np.arange(len(n), dtype=np.uint64), n)
             flat = rarest_first(flat, of, rare.value)
             bits = parity_maps(flat, of, len(n))
+            wide = [wide_map(flat[a:b]) if b - a > BITS else None for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
             take = np.where(n > 0, n * (100 - percent) // 100 + 1, 0)
             bounds = np.concatenate([[0], np.cumsum(take)])
             pick = np.arange(bounds[-1]) - np.repeat(bounds[:-1], take) + np.repeat(off[:-1], take)
@@ -240,10 +243,12 @@ def prefixes(rows: DataFrame, size: int, percent: int, counts: DataFrame | None
             yield pa.RecordBatch.from_arrays(
                 [part.column(RID), pa.array(n), pa.array(key, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * bits.shape[1]), pa.array(bits.ravel())),
+                 pa.array(wide, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(chosen.view(np.int64)))],
-                names=["node", "n", "key", "bits", "prefix"])
+                names=["node", "n", "key", "bits", "wide", "prefix"])
 
-    return rows.select(RID, "__text").mapInArrow(cut, "node long, n long, key binary, bits array<long>, prefix array<long>")
+    return rows.select(RID, "__text").mapInArrow(
+        cut, "node long, n long, key binary, bits array<long>, wide binary, prefix array<long>")
 
 
 def rarest_first(flat: np.ndarray, of: np.ndarray, rare: np.ndarray) -> np.ndarray:
@@ -267,6 +272,20 @@ def parity_maps(flat: np.ndarray, of: np.ndarray, sets: int) -> np.ndarray:
     return out
 
 
+def wide_map(shingles: np.ndarray) -> bytes:
+    """The parity map of one set with between two and four bits a shingle, a power of two; its halves, one XORed onto the
+    other, are the map of half as many bits."""
+    bits = 1 << (2 * len(shingles)).bit_length()
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def wide_differing(x: bytes, y: bytes) -> int:
+    """In how many bits two wide maps differ, the longer one folded to the length of the other."""
+    x, y = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    return int(np.bitwise_count(np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0) ^ x).sum())
+
+
 def differing(x: str, y: str):
     """In how many bits two parity maps differ."""
     total = F.lit(0)
@@ -377,8 +396,25 @@ def near(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
     both = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
     sizes = F.col("na") + F.col("nb")
-    return (both.withColumn("d", differing("wa", "wb")).filter(F.col("d") * (100 + percent) <= sizes * (100 - percent))
-            .select("a", "b", (F.col("d") / sizes).alias("far")))
+    allowed = (both.withColumn("d", differing("wa", "wb")).filter(F.col("d") * (100 + percent) <= sizes * (100 - percent))
+               .select("a", "b", sizes.alias("n"), "d"))
+
+    # maps of BITS bits let all pairs of large sets pass: what is left of these is told apart by their wide maps
+    def wide(name):
+        return members.filter("wide is not null").select(F.col("node").alias(name), F.col("wide").alias(f"w{name}"))
+
+    def tell_apart(batches):
+        for batch in batches:
+            d = np.asarray(batch.column(3)).copy()
+            for at, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
+                if x.is_valid and y.is_valid:
+                    d[at] = max(d[at], wide_differing(x.as_buffer(), y.as_buffer()))
+            n = np.asarray(batch.column(2))
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d / n)], names=["a", "b", "far"])
+            yield out.filter(pa.array(d * (100 + percent) <= n * (100 - percent)))
+
+    return (allowed.join(wide("a").hint("merge"), "a", "left").join(wide("b").hint("merge"), "b", "left")
+            .select("a", "b", "n", "d", "wa", "wb").mapInArrow(tell_apart, "a long, b long, far double"))
 
 
 def links(rows: DataFrame, nodes: DataFrame, size: int, percent: int, tested: DataFrame | None = None,
@@ -390,7 +426,7 @@ def links(rows: DataFrame, nodes: DataFrame, size: int, percent: int, tested: Da
     """
     cut = store(prefixes(rows, size, percent, counts).filter("n > 0").join(nodes.hint("shuffle_hash"), "node", "left_semi"), "join_prefixes")
     named = cut.groupBy("key").agg(F.min("node").alias("g"))
-    members = store(cut.join(named, "key").select("node", "g", "n", "bits"), "join_members")
+    members = store(cut.join(named, "key").select("node", "g", "n", "bits", "wide"), "join_members")
     lists = store(postings(cut.join(members.filter("node = g").select("node", "g"), "node").select("g", "n", "prefix")), "join_lists")
     drop_stored(cut)
 

@@ -171,3 +171,31 @@ def test_long_words_of_two_letters_do_not_collide(docs):
     while len(one) < 2048:
         one, two = np.concatenate([one, two]), np.concatenate([two, one])
     assert gram_hashes(one, 2048)[0] != gram_hashes(two, 2048)[0]
+
+
+def test_wide_maps_never_exceed_the_difference():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(1100, 9000))).astype(np.uint64))
+        keep = int(rng.integers(1, len(a)))
+        b = np.unique(np.concatenate([a[:keep], rng.integers(0, 2**63, int(rng.integers(1100, 9000))).astype(np.uint64)]))
+        x, y = J.wide_map(a), J.wide_map(b)
+        assert 2 * len(a) < 8 * len(x) <= 4 * len(a)
+        assert J.wide_differing(x, y) == J.wide_differing(y, x) <= len(np.setxor1d(a, b))
+        assert J.wide_differing(x, x) == 0
+
+
+def test_full_sets_of_long_texts_are_asked_for_only_if_they_may_link(spark, docs):
+    """Maps of a fixed number of bits let every pair of long texts pass, so that their full sets crossed the shuffle."""
+    rng = random.Random(12)
+    shared = [f"s{i}" for i in range(40)]
+    rows = [(i, " ".join([*shared, *(f"w{rng.randrange(10**6)}" for _ in range(4000))])) for i in range(8)]
+    near = rows[0][1].split(" ")
+    rows.append((8, " ".join([*near[:3000], "other", *near[3001:]])))
+    numbers = store(numbered(docs(rows), "doc_id", "text"), "long_texts")
+    members = store(J.prefixes(numbers, 4, 85), "long_members")
+    nodes = [r["node"] for r in members.select("node").collect()]
+    pairs = spark.createDataFrame([(a, b) for a in nodes for b in nodes if a < b], "a long, b long")
+    ids = {r["__rid"]: r["__id"] for r in numbers.collect()}
+    asked = [tuple(sorted((ids[r["a"]], ids[r["b"]]))) for r in J.near(pairs, members, 85).collect()]
+    assert asked == [(0, 8)]
